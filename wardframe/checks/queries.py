@@ -512,10 +512,15 @@ def bronze_manifest(spark, folder):
 
 @query
 def duplicate_header_names(spark, folder):
-    clashing = derived.dim_raw(spark, folder).select(
-        F.col("State"), F.col("Provider Name").alias("STATE "), F.col("City/Town")
-    )
-    path = _write_csv(clashing, scratch_path(spark, "clash"), ignoreTrailingWhiteSpace="true")
+    before = spark.conf.get("spark.sql.caseSensitive")
+    spark.conf.set("spark.sql.caseSensitive", "true")  # to write the clashing header at all
+    try:
+        clashing = derived.dim_raw(spark, folder).select(
+            "State", F.col("`Provider Name`").alias("STATE"), "`City/Town`"
+        )
+        path = _write_csv(clashing, scratch_path(spark, "clash"))
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", before)
     return duplicate_headers(spark, path)
 
 

@@ -15,15 +15,25 @@ def _number(column: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def _edges(extent: Column, i: int, bins: int) -> tuple[Column, Column, Column]:
-    """Lower end, upper end and bin width of column ``i``.
+def _range(df: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
+    """One row: per column its lower end, upper end and bin width, as an array.
 
     A column with one value gets a range of 1 around it, an empty one 0 to 1.
     """
-    least, most = extent[f"lo{i}"], extent[f"hi{i}"]
-    lo = F.when(least.isNull(), 0.0).when(least == most, least - 0.5).otherwise(least)
-    hi = F.when(most.isNull(), 1.0).when(least == most, most + 0.5).otherwise(most)
-    return lo, hi, (hi - lo) / bins
+    ends = df.agg(
+        *[
+            f(_number(c)).alias(f"{end}{i}")
+            for i, c in enumerate(columns)
+            for end, f in (("lo", F.min), ("hi", F.max))
+        ]
+    )
+    ranges = []
+    for i in range(len(columns)):
+        least, most = F.col(f"lo{i}"), F.col(f"hi{i}")
+        single = F.when(least == most, 0.5).otherwise(0.0)
+        lo, hi = F.coalesce(least - single, F.lit(0.0)), F.coalesce(most + single, F.lit(1.0))
+        ranges.append(F.struct(lo.alias("lo"), hi.alias("hi"), ((hi - lo) / bins).alias("width")))
+    return ends.select(F.array(*ranges).alias("ranges"))
 
 
 def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 50) -> DataFrame:
@@ -33,58 +43,46 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 5
     Only bin counts are shuffled: at most ``bins`` rows per column and task.
     """
     columns = columns or numeric_columns(df)
-    ends = [
-        f(_number(c)).alias(f"{end}{i}")
-        for i, c in enumerate(columns)
-        for end, f in (("lo", F.min), ("hi", F.max))
-    ]
-    # One scalar subquery over the table, evaluated once and used as a constant.
-    extent = df.agg(F.struct(*ends)).scalar()
-    edges = [_edges(extent, i, bins) for i in range(len(columns))]
-
-    def bin_of(i: int, value: Column) -> Column:
-        lo, hi, width = edges[i]
-        guess = F.least(F.floor((value - lo) * bins / (hi - lo)), F.lit(bins - 1))
-        # The division may land one bin beside the edges that are reported.
-        return (
-            guess
-            - F.when(value < lo + guess * width, 1).otherwise(0)
-            + F.when((guess < bins - 1) & (value >= lo + (guess + 1) * width), 1).otherwise(0)
-        ).cast("int")
+    # A scalar subquery: run once over the table, then a constant of the plan.
+    ranges = _range(df, columns, bins).scalar()
+    series = F.col("series")
+    lo, hi, width = (F.element_at(ranges, series + 1)[end] for end in ("lo", "hi", "width"))
 
-    placed = df.select(
+    values = df.select(
         F.inline(
             F.array(
                 *[
-                    F.struct(F.lit(i).alias("series"), bin_of(i, _number(c)).alias("bin"))
+                    F.struct(F.lit(i).alias("series"), _number(c).alias("value"))
                     for i, c in enumerate(columns)
                 ]
             )
         )
+    ).filter("value IS NOT NULL")
+    value, guess = F.col("value"), F.col("guess")
+    # The division may land one bin beside the edges that are reported.
+    bin_of_value = (
+        guess
+        - F.when(value < lo + guess * width, 1).otherwise(0)
+        + F.when((guess < bins - 1) & (value >= lo + (guess + 1) * width), 1).otherwise(0)
     )
-    counts = placed.filter("bin IS NOT NULL").groupBy("series", "bin").agg(F.count("*").alias("n"))
-
-    grid = df.sparkSession.range(1).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("series"),
-                        F.lit(c).alias("column"),
-                        *[e.alias(n) for e, n in zip(edges[i], ("lo", "hi", "width"))],
-                    )
-                    for i, c in enumerate(columns)
-                ]
-            )
+    counts = (
+        values.withColumn(
+            "guess", F.least(F.floor((value - lo) * bins / (hi - lo)), F.lit(bins - 1))
         )
-    ).select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    last = F.col("bin") == bins - 1
+        .groupBy("series", bin_of_value.cast("int").alias("bin"))
+        .agg(F.count("*").alias("n"))
+    )
+
+    names = F.array(*[F.lit(c) for c in columns])
+    grid = df.sparkSession.range(len(columns)).select(
+        F.col("id").cast("int").alias("series"),
+        F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),
+    )
+    bin_start, next_start = (lo + (F.col("bin") + i) * width for i in (0, 1))
     return grid.join(counts, ["series", "bin"], "left").select(
-        "column",
+        F.element_at(names, series + 1).alias("column"),
         "bin",
-        (F.col("lo") + F.col("bin") * F.col("width")).alias("bin_start"),
-        F.when(last, F.col("hi"))
-        .otherwise(F.col("lo") + (F.col("bin") + 1) * F.col("width"))
-        .alias("bin_end"),
+        bin_start.alias("bin_start"),
+        F.when(F.col("bin") == bins - 1, hi).otherwise(next_start).alias("bin_end"),
         F.coalesce("n", F.lit(0)).alias("n"),
     )
