@@ -53,16 +53,33 @@ def labelled_column(label: str, columns: Mapping[str, str]) -> str:
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN as null in every floating-point column, since Spark treats them apart."""
     floating = (T.FloatType, T.DoubleType)
-    return df.select(
+    return df.selectExpr(
         *[
-            F.when(~F.isnan(quoted(f.name)), quoted(f.name)).alias(f.name)
-            if isinstance(f.dataType, floating)
-            else quoted(f.name)
+            f"nullif({n}, double('NaN')) AS {n}" if isinstance(f.dataType, floating) else n
             for f in df.schema
+            for n in [backticked(f.name)]
         ]
     )
 
 
+def number(column: str) -> Column:
+    """The column as a double, with NaN as null."""
+    value = quoted(column).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
+def numbers_long(df: DataFrame, values: Sequence[Column]) -> DataFrame:
+    """Rows (series, value): every value that is not null, under its position in ``values``."""
+    wide = df.select(*[v.alias(f"{i}") for i, v in enumerate(values)])
+    long = wide.unpivot([], [F.col(f"`{i}`") for i in range(len(values))], "series", "value")
+    return long.filter("value IS NOT NULL").withColumn("series", F.col("series").cast("int"))
+
+
+def backticked(name: str) -> str:
+    """A literal column name for use in SQL text, dots and spaces included."""
+    return f"`{name.replace('`', '``')}`"
+
+
 def quoted(name: str) -> Column:
-    """Column by its literal name, dots and spaces included."""
-    return F.col(f"`{name.replace('`', '``')}`")
+    """Column by its literal name."""
+    return F.col(backticked(name))

@@ -4,15 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardframe.operators.columns import numeric_columns, quoted
-
-
-def _number(column: str) -> Column:
-    value = quoted(column).cast("double")
-    return F.when(~F.isnan(value), value)
+from wardframe.operators.columns import number, numbers_long, numeric_columns
 
 
 def _range(df: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
@@ -22,7 +17,7 @@ def _range(df: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
     """
     ends = df.agg(
         *[
-            f(_number(c)).alias(f"{end}{i}")
+            f(number(c)).alias(f"{end}{i}")
             for i, c in enumerate(columns)
             for end, f in (("lo", F.min), ("hi", F.max))
         ]
@@ -48,16 +43,7 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 5
     series = F.col("series")
     lo, hi, width = (F.element_at(ranges, series + 1)[end] for end in ("lo", "hi", "width"))
 
-    values = df.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("series"), _number(c).alias("value"))
-                    for i, c in enumerate(columns)
-                ]
-            )
-        )
-    ).filter("value IS NOT NULL")
+    values = numbers_long(df, [number(c) for c in columns])
     value, guess = F.col("value"), F.col("guess")
     # The division may land one bin beside the edges that are reported.
     bin_of_value = (

@@ -13,14 +13,12 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wardframe.operators.columns import numeric_columns, quoted
+from wardframe.operators.columns import number, numbers_long, numeric_columns, quoted
 from wardframe.operators.rows import outside
 
 # Values one task may order at the end; more are narrowed down first.
@@ -43,35 +41,20 @@ class Bracket:
     inside: int
 
 
-def _number(column: str) -> Column:
-    """The column as a double, with NaN as null."""
-    value = quoted(column).cast("double")
-    return F.when(~F.isnan(value), value)
-
-
 def _bracketed(df: DataFrame, brackets: Sequence[Bracket]) -> DataFrame:
     """Rows (bracket, value): each value once per bracket that holds it."""
-    hits = [
-        F.struct(
-            F.lit(i).alias("bracket"),
-            F.when(_number(b.column).between(b.lo, b.hi), _number(b.column)).alias("value"),
-        )
-        for i, b in enumerate(brackets)
-    ]
-    return df.select(F.inline(F.array(*hits))).filter("value IS NOT NULL")
+    held = [F.when(number(b.column).between(b.lo, b.hi), number(b.column)) for b in brackets]
+    return numbers_long(df, held).withColumnRenamed("series", "bracket")
 
 
 def _holds_rank(wanted: Mapping[int, set[int]]) -> Column:
     """True where the running count passes a wanted rank of the bracket."""
-    rank, upto = F.col("upto") - F.col("n"), F.col("upto")
-    return reduce(
-        or_,
-        [
-            (F.col("bracket") == i) & (rank <= r) & (upto > r)
-            for i, ranks in wanted.items()
-            for r in sorted(ranks)
-        ],
-    )
+    passes = [
+        f"(bracket = {i} AND upto - n <= {r} AND upto > {r})"
+        for i, ranks in wanted.items()
+        for r in sorted(ranks)
+    ]
+    return F.expr(" OR ".join(passes))
 
 
 def _running(counts: DataFrame, order: str) -> DataFrame:
@@ -164,7 +147,7 @@ def column_quantiles(
         return {}
     extent = df.agg(
         *[
-            f(_number(c)).alias(f"{name}{i}")
+            f(number(c)).alias(f"{name}{i}")
             for i, c in enumerate(columns)
             for name, f in (("n", F.count), ("lo", F.min), ("hi", F.max))
         ]
@@ -219,7 +202,7 @@ def fences(
 def _is_outlier(column: str, bounds: Mapping[str, tuple[float, float]]) -> Column:
     if column not in bounds:
         return F.lit(False)
-    return F.coalesce(outside(_number(column), *bounds[column]), F.lit(False))
+    return F.coalesce(outside(number(column), *bounds[column]), F.lit(False))
 
 
 def outlier_flags(df: DataFrame, columns: Sequence[str] | None = None, **limits: int) -> DataFrame:
