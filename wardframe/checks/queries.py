@@ -25,6 +25,7 @@ from wardframe.sources import (
     read_csv_inferred,
     read_parts,
     sweep_csv,
+    sweep_heads,
     write_table,
 )
 
@@ -502,6 +503,12 @@ def csv_sweep(spark, folder):
     )
 
 
+@query
+def csv_heads(spark, folder):
+    heads = sweep_heads(spark, _raw_folder(spark, folder, header=True), n=5)
+    return heads.select(_dataset("file").alias("dataset"), "line", "value")
+
+
 @query
 def bronze_manifest(spark, folder):
     files = manifest(spark, _raw_folder(spark, folder, header=False))

@@ -35,6 +35,11 @@ class GoldTables:
             bed, nurse = (d.persist(StorageLevel.MEMORY_AND_DISK) for d in (bed, nurse))
         return cls(bed, nurse, read_table(spark, join_path(folder, "fact_staff")))
 
+    def release(self) -> None:
+        """Gives up the kept dimensions; they are read anew if used again."""
+        self.bed.unpersist()
+        self.nurse.unpersist()
+
 
 def to_silver(
     spark: SparkSession,

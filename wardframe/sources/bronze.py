@@ -11,34 +11,25 @@ def manifest(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFr
 
     The fingerprint is built from line hashes, so that a file of any size is
     read in splits by many tasks instead of as one value. Neither part of it
-    depends on the order in which the splits arrive.
+    depends on the order in which the splits arrive. Files without any byte
+    are not listed, since Spark's scans skip them.
     """
-
-    def scan(fmt: str) -> DataFrame:
-        return (
-            spark.read.format(fmt)
-            .option("pathGlobFilter", pattern)
-            .option("recursiveFileLookup", True)
-            .option("lineSep", "\n")
-            .load(folder)
-            .withColumn("path", F.col("_metadata.file_path"))
-        )
-
-    files = scan("binaryFile").select(
-        "path",
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("length").alias("n_bytes"),
-        F.col("modificationTime").alias("modified"),
-    )
     line_hash = F.xxhash64("value")
-    content = (
-        scan("text")
-        .groupBy("path")
+    # Only the newline separates lines; a carriage return is part of the content.
+    return (
+        spark.read.option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", True)
+        .option("lineSep", "\n")
+        .text(folder)
+        .groupBy(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_name").alias("file_name"),
+            F.col("_metadata.file_size").alias("n_bytes"),
+            F.col("_metadata.file_modification_time").alias("modified"),
+        )
         .agg(
             F.count("*").alias("n_lines"),
             F.sum(line_hash.cast("decimal(38,0)")).alias("hash_sum"),
             F.bit_xor(F.xxhash64(line_hash, F.length("value"))).alias("hash_xor"),
         )
     )
-    # An empty file has no lines, yet it landed.
-    return files.join(content, "path", "left").fillna(0, subset=["n_lines"])
