@@ -43,8 +43,10 @@ def test_null_marker(spark, write):
 def test_folder_with_differing_headers_is_refused(spark, write, tmp_path):
     write("d/a.csv", "k,n\na,1\n")
     write("d/b.csv", "n,k\n1,a\n")
-    with pytest.raises(Exception, match="header"):
-        sources.read_csv(spark, f"{tmp_path}/d", typed(n=T.IntegerType())).collect()
+    for rejects in (None, "bad"):
+        df = sources.read_csv(spark, f"{tmp_path}/d", typed(n=T.IntegerType()), rejects=rejects)
+        with pytest.raises(Exception, match="header"):
+            df.collect()
 
 
 def test_inference_keeps_keys_as_text(spark, write):

@@ -330,6 +330,8 @@ _BODIES = {
         ]
     ),
     "csv_roundtrip": "SELECT * FROM fact_raw",
+    "csv_rejects": """SELECT count(*) AS n_rows, count(*) FILTER (COUNTY_FIPS = 7) AS n_rejected,
+        count(MDScensus) FILTER (COUNTY_FIPS <> 7) AS n_census FROM fact_raw""",
     "csv_inferred": "SELECT * FROM dim_raw",
     "csv_charset": """SELECT c_custkey, concat(c_name, ' – café ', c_mktsegment) AS c_label
         FROM customer""",
@@ -340,13 +342,13 @@ _BODIES = {
         UNION ALL SELECT 'dim', count(*), true FROM dim_raw""",
     "duplicate_header_names": """SELECT 'state' AS name, count(*) AS occurrences,
         CAST(0 AS INT) AS first_position FROM (VALUES (1), (2))""",
-    "pipeline_run": _union(
+    "full_run": _union(
         [
             f"SELECT '{t}' AS table_name, count(*) AS n_rows, CAST({n} AS BIGINT) AS n_columns FROM {t}"
             for t, n in (("dim_bed", 9), ("dim_nurse", 14), ("fact_staff", 33))
         ]
     ),
-    "pipeline_staff_hours": HOURS_LONG,
+    "full_run_staff_hours": HOURS_LONG,
 }
 
 ORACLES = {name: WITH + body for name, body in _BODIES.items()}

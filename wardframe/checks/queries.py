@@ -463,6 +463,21 @@ def csv_roundtrip(spark, folder):
     return read_csv(spark, path, S.fact_type)
 
 
+@query
+def csv_rejects(spark, folder):
+    """Rows whose census is no number, found while reading with declared types."""
+    unreadable = F.col("COUNTY_FIPS") == 7
+    census = F.when(unreadable, "n/a").otherwise(F.col("MDScensus").cast("string"))
+    raw = derived.fact_raw(spark, folder).withColumn("MDScensus", census)
+    path = _write_csv(raw, scratch_path(spark, "rejects"))
+    read = read_csv(spark, path, S.fact_type, rejects="rejected")
+    return read.agg(
+        F.count("*").alias("n_rows"),
+        F.count("rejected").alias("n_rejected"),
+        F.count("MDScensus").alias("n_census"),
+    )
+
+
 @query
 def csv_inferred(spark, folder):
     path = _write_csv(derived.dim_raw(spark, folder), scratch_path(spark, "dim"))
@@ -542,7 +557,7 @@ def _run_pipeline(spark: SparkSession, folder: str) -> pipeline.GoldTables:
 
 
 @query
-def pipeline_run(spark, folder):
+def full_run(spark, folder):
     tables = _run_pipeline(spark, folder)
     named = {"dim_bed": tables.bed, "dim_nurse": tables.nurse, "fact_staff": tables.staff}
     shapes = [
@@ -553,7 +568,7 @@ def pipeline_run(spark, folder):
 
 
 @query
-def pipeline_staff_hours(spark, folder):
+def full_run_staff_hours(spark, folder):
     tables = _run_pipeline(spark, folder)
     hours = metrics.staff_hours_long(tables.bed, tables.staff, PROVIDER_TYPE)
     return rounded(hours, SUM_DIGITS, "Avg Hours")
