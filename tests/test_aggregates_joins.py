@@ -60,6 +60,8 @@ def test_repeated_provider_multiplies_its_days_in_both_strategies(spark):
 def test_measured_size_counts_text(spark):
     df = spark.createDataFrame([("abc", 1), (None, 2)], "s string, i int")
     assert J.measured_bytes(df) == 2 * (16 + 16 + 8) + 3
+    nested = df.select(F.array("s", "s").alias("a"))
+    assert J.measured_bytes(nested) > 2 * 32 + 6
     assert J.measured_bytes(df.filter("i > 5")) == 0
 
 

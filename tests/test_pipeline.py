@@ -2,7 +2,8 @@ import pytest
 
 from wardframe import schema as S
 from wardframe.checks import derived
-from wardframe.plans import gold, metrics, pipeline, quality, silver
+from wardframe import __main__ as command
+from wardframe.plans import gold, metrics, pipeline, profiling, quality, silver
 from wardframe.sources import join_path
 
 
@@ -55,7 +56,41 @@ def test_repeated_providers_stop_the_run(spark, folder, bronze, tmp_path):
     pipeline.to_silver(spark, bronze, f"{tmp_path}/silver")
     dim = spark.read.parquet(f"{tmp_path}/silver/dim_table")
     dim.union(dim).write.parquet(f"{tmp_path}/twice/dim_table")
-    fact = spark.read.parquet(f"{tmp_path}/silver/fact_table")
-    fact.write.parquet(f"{tmp_path}/twice/fact_table")
     with pytest.raises(quality.QualityError):
-        pipeline.to_gold(spark, f"{tmp_path}/twice", f"{tmp_path}/gold", unique_providers=True)
+        pipeline.to_gold_dims(spark, f"{tmp_path}/twice", f"{tmp_path}/gold", unique_providers=True)
+    pipeline.to_gold_dims(spark, f"{tmp_path}/twice", f"{tmp_path}/gold")
+
+
+def test_command_line_steps(spark, bronze, tmp_path, monkeypatch):
+    monkeypatch.setattr(command, "build_session", lambda: spark)
+    folders = ["--silver", f"{tmp_path}/silver", "--gold", f"{tmp_path}/gold"]
+    command.main(["silver", "--bronze", bronze, *folders])
+    command.main(["gold-dims", "--unique-providers", *folders])
+    command.main(["gold-fact", *folders])
+    stepwise = rows(spark.read.parquet(f"{tmp_path}/gold/fact_staff"))
+    command.main(["all", "--bronze", bronze, *folders])
+    assert rows(spark.read.parquet(f"{tmp_path}/gold/fact_staff")) == stepwise
+    for wrong in (["all", *folders], ["gold-fact", "--silver", "s"]):
+        with pytest.raises(SystemExit):
+            command.main(wrong)
+
+
+def test_exploration_of_raw_and_written_tables(spark, folder):
+    fact, dim = derived.fact_raw(spark, folder), derived.dim_raw(spark, folder)
+    found = profiling.profile_fact(fact)
+    assert tuple(found["shape"].first()) == (6000, 26)
+    assert found["quarters"].first()[0] == "2024Q2"
+    assert found["date_histogram"].count() == 231
+    assert {r["column"] for r in found["outliers"].collect()} >= {"MDScensus", "Hrs_RN_ctr"}
+    assert found["any_missing"].first()[0]
+    assert found["duplicate_rows"].count() == 0
+    of_dim = profiling.profile_dim(dim)
+    assert not of_dim["all_keys_numeric"].first()[0]
+    assert of_dim["other_keys"].count() == 2
+    assert of_dim["repeated_keys"].count() == 0
+    assert [r[0] for r in of_dim["provider_types"].collect()] == sorted(
+        ["Medicaid", "Medicare", "Medicare and Medicaid"]
+    )
+    look = profiling.inspect_table(dim, ["Provider Name"], 3, ["State"])
+    assert look["head"].columns == ["State"] and look["head"].count() == 3
+    assert look["info"].count() == len(dim.columns)

@@ -137,6 +137,10 @@ def test_counts_and_info(gaps):
         "s": 2,
     }
     assert P.distinct_counts(gaps, ["i"], approximate=True).first().n_distinct == 2
+    for approximate in (False, True):  # a NaN is missing, and an empty table has 0 of each
+        assert P.distinct_counts(gaps, ["d"], approximate).first().n_distinct == 1
+        nothing = P.distinct_counts(gaps.limit(0), approximate=approximate).collect()
+        assert [r.n_distinct for r in nothing] == [0, 0, 0]
     assert tuple(P.table_shape(gaps).first()) == (4, 3)
     assert tuple(P.value_range(gaps, "i").first()) == (1, 3)
     assert [(r["column"], r.type, r.n_present) for r in P.table_info(gaps).collect()] == [

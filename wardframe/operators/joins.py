@@ -16,12 +16,10 @@ def measured_bytes(df: DataFrame) -> int:
     """Size of the rows of ``df``, from one distributed aggregate over it."""
     size = F.lit(16)
     for field in df.schema:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            size = size + 16 + F.coalesce(F.octet_length(quoted(field.name)), F.lit(0))
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            raise TypeError(f"cannot measure nested column {field.name!r}")
-        else:
-            size = size + 8
+        size = size + 8
+        if not isinstance(field.dataType, (T.NumericType, T.DatetimeType, T.BooleanType)):
+            text = quoted(field.name).cast("string")
+            size = size + 8 + F.coalesce(F.octet_length(text), F.lit(0))
     return df.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0]
 
 

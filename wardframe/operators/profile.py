@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from wardframe.functions import all_digits
 from wardframe.operators.columns import quoted
+from wardframe.operators.rows import union_parts
 
 
 def is_missing(df: DataFrame, column: str) -> Column:
@@ -32,16 +33,39 @@ def _one_per_column(columns: Sequence[str], results: Sequence[Column]) -> Column
 def distinct_counts(
     df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False
 ) -> DataFrame:
-    """Distinct values per column, nulls not counted.
+    """Distinct values per column, missing ones not counted.
 
-    The exact form shuffles every distinct value once; the approximate one
+    The exact form stacks the columns of one type and shuffles each distinct
+    value of a column once per task; a distinct count per column in one
+    aggregate would carry all columns in every key. The approximate form
     shuffles a fixed-size sketch per column and task.
     """
     columns = columns or df.columns
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    counts = df.agg(*[count(quoted(c)).alias(f"n{i}") for i, c in enumerate(columns)])
-    found = [F.col(f"n{i}").alias("n_distinct") for i in range(len(columns))]
-    return counts.select(_one_per_column(columns, found))
+    present = {c: F.when(~is_missing(df, c), quoted(c)) for c in columns}
+    if approximate:
+        counts = df.agg(
+            *[F.approx_count_distinct(v).alias(f"n{i}") for i, v in enumerate(present.values())]
+        )
+        found = [F.col(f"n{i}").alias("n_distinct") for i in range(len(columns))]
+        return counts.select(_one_per_column(columns, found))
+
+    of_type: dict[T.DataType, list[str]] = {}
+    for c in columns:
+        of_type.setdefault(df.schema[c].dataType, []).append(c)
+    parts = []
+    for same in of_type.values():
+        stacked = df.select(*[present[c].alias(c) for c in same]).unpivot(
+            [], [quoted(c) for c in same], "column", "value"
+        )
+        parts.append(stacked.groupBy("column").agg(F.count_distinct("value").alias("n_distinct")))
+    return _every_column(union_parts(parts), columns)
+
+
+def _every_column(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Adds the columns an empty table gave no count for, with 0."""
+    names = F.array(*[F.lit(c) for c in columns])
+    every = counts.sparkSession.range(1).select(F.explode(names).alias("column"))
+    return every.join(counts, "column", "left").fillna(0, subset=["n_distinct"])
 
 
 def value_range(df: DataFrame, column: str) -> DataFrame:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -55,39 +56,56 @@ def to_silver(
     write_table(silver.silver_dim(dim), join_path(silver_dir, "dim_table"))
 
 
-def to_gold(
-    spark: SparkSession,
-    silver_dir: str,
-    gold_dir: str,
-    unique_providers: bool = False,
-    partition_fact_by: Sequence[str] = (),
+def to_gold_dims(
+    spark: SparkSession, silver_dir: str, gold_dir: str, unique_providers: bool = False
 ) -> None:
     dim = read_table(spark, join_path(silver_dir, "dim_table"))
-    fact = read_table(spark, join_path(silver_dir, "fact_table"))
     if unique_providers:
         require_unique_providers(dim)
     write_table(gold.dim_bed(dim), join_path(gold_dir, "dim_bed"))
     write_table(gold.dim_nurse(dim), join_path(gold_dir, "dim_nurse"))
-    write_table(gold.fact_staff(fact), join_path(gold_dir, "fact_staff"), partition_fact_by)
+
+
+def to_gold_fact(
+    spark: SparkSession, silver_dir: str, gold_dir: str, partition_fact_by: Sequence[str] = ()
+) -> None:
+    fact = read_table(spark, join_path(silver_dir, "fact_table"))
+    write_table(
+        gold.fact_staff(fact),
+        join_path(gold_dir, "fact_staff"),
+        partition_by=partition_fact_by,
+        lookup_by=["PROVNUM"],
+    )
 
 
 def run_pipeline(
-    spark: SparkSession, bronze: str, silver_dir: str, gold_dir: str, **options: object
+    spark: SparkSession,
+    bronze: str,
+    silver_dir: str,
+    gold_dir: str,
+    unique_providers: bool = False,
+    partition_fact_by: Sequence[str] = (),
+    **raw: str,
 ) -> GoldTables:
-    """Runs both steps and returns the Gold tables; a failure is logged and raised.
+    """Runs all steps and returns the Gold tables; a failure is logged and raised.
 
-    ``options`` are those of ``to_silver`` and ``to_gold``.
+    ``raw`` takes the file names and the encoding of ``to_silver``.
     """
-    for_gold = {k: options.pop(k) for k in ("unique_providers", "partition_fact_by") if k in options}
-    for step, run in (
-        ("raw to silver", lambda: to_silver(spark, bronze, silver_dir, **options)),
-        ("silver to gold", lambda: to_gold(spark, silver_dir, gold_dir, **for_gold)),
-    ):
-        log.info("%s: started", step)
-        try:
-            run()
-        except Exception:
-            log.exception("%s: failed", step)
-            raise
-        log.info("%s: done", step)
+    with _logged("raw to silver"):
+        to_silver(spark, bronze, silver_dir, **raw)
+    with _logged("silver to gold dimensions"):
+        to_gold_dims(spark, silver_dir, gold_dir, unique_providers)
+    with _logged("silver to gold fact"):
+        to_gold_fact(spark, silver_dir, gold_dir, partition_fact_by)
     return GoldTables.load(spark, gold_dir)
+
+
+@contextmanager
+def _logged(step: str) -> Iterator[None]:
+    log.info("%s: started", step)
+    try:
+        yield
+    except Exception:
+        log.exception("%s: failed", step)
+        raise
+    log.info("%s: done", step)

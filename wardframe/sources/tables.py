@@ -22,14 +22,23 @@ def read_parts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def write_table(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), max_records_per_file: int = 0
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    lookup_by: Sequence[str] = (),
+    max_records_per_file: int = 0,
 ) -> None:
     """Replace the table at ``path``.
 
+    ``lookup_by`` columns get a Bloom filter per row group, so that a search
+    for one value skips the row groups without it, at no cost of a shuffle.
+
     Overwriting deletes first and is not a transaction: one writer per path,
     and never read and write one path in the same plan.
     """
     writer = df.write.mode("overwrite")
+    for column in lookup_by:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", True)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
