@@ -64,8 +64,7 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 def number(column: str) -> Column:
     """The column as a double, with NaN as null."""
-    value = quoted(column).cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.expr(f"nullif(cast({backticked(column)} AS double), double('NaN'))")
 
 
 def numbers_long(df: DataFrame, values: Sequence[Column]) -> DataFrame:
