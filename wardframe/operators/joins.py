@@ -43,11 +43,12 @@ def join_dimension(
     that one hot key has made too large. With ``null_safe``, null keys match.
     """
     clashing = set(dim.columns) & set(fact.columns)
-    left = dim.withColumnsRenamed({c: c + suffixes[0] for c in clashing})
-    right = fact.withColumnsRenamed({c: c + suffixes[1] for c in clashing})
-    left_key = left[dim_key + suffixes[0] if dim_key in clashing else dim_key]
-    right_key = right[fact_key + suffixes[1] if fact_key in clashing else fact_key]
-    matches = left_key.eqNullSafe(right_key) if null_safe else left_key == right_key
-    if fits_broadcast(left, max_bytes):
-        left = F.broadcast(left)
-    return left.join(right, matches, "inner")
+    dim = dim.withColumnsRenamed({c: c + suffixes[0] for c in clashing})
+    fact = fact.withColumnsRenamed({c: c + suffixes[1] for c in clashing})
+    dim_column = dim[dim_key + suffixes[0] if dim_key in clashing else dim_key]
+    fact_column = fact[fact_key + suffixes[1] if fact_key in clashing else fact_key]
+    matches = fact_column.eqNullSafe(dim_column) if null_safe else fact_column == dim_column
+    # The fact comes first: a merge join streams its left side and holds the
+    # right side's rows of one key in memory, which must not be the hot ones.
+    joined = fact.join(F.broadcast(dim) if fits_broadcast(dim, max_bytes) else dim, matches, "inner")
+    return joined.select(*[quoted(c) for c in (*dim.columns, *fact.columns)])
