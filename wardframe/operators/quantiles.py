@@ -41,10 +41,20 @@ class Bracket:
     inside: int
 
 
+def _of_bracket(numbers: Sequence[float]) -> Column:
+    """The number that belongs to the row's bracket."""
+    return F.element_at(F.array(*[F.lit(n) for n in numbers]), F.col("bracket") + 1)
+
+
 def _bracketed(df: DataFrame, brackets: Sequence[Bracket]) -> DataFrame:
-    """Rows (bracket, value): each value once per bracket that holds it."""
-    held = [F.when(number(b.column).between(b.lo, b.hi), number(b.column)) for b in brackets]
-    return numbers_long(df, held).withColumnRenamed("series", "bracket")
+    """Rows (bracket, value): each value once per bracket that holds it.
+
+    The bounds are compared after the columns are stacked. One comparison per
+    column before that makes code too long for the JVM to compile.
+    """
+    stacked = numbers_long(df, [number(b.column) for b in brackets])
+    lows, highs = _of_bracket([b.lo for b in brackets]), _of_bracket([b.hi for b in brackets])
+    return stacked.withColumnRenamed("series", "bracket").filter(F.col("value").between(lows, highs))
 
 
 def _holds_rank(wanted: Mapping[int, set[int]]) -> Column:
@@ -73,10 +83,9 @@ def _narrow(
     if any(math.isinf(b.lo) or math.isinf(b.hi) for b in brackets):
         raise ValueError("infinite values; replace them before taking quantiles")
     # Halved before subtracting, so that the widest range does not overflow.
-    lows = F.array(*[F.lit(b.lo / 2) for b in brackets])
-    widths = F.array(*[F.lit(b.hi / 2 - b.lo / 2) for b in brackets])
-    at = F.col("bracket") + 1
-    part = (F.col("value") / 2 - F.element_at(lows, at)) / F.element_at(widths, at)
+    lows = _of_bracket([b.lo / 2 for b in brackets])
+    widths = _of_bracket([b.hi / 2 - b.lo / 2 for b in brackets])
+    part = (F.col("value") / 2 - lows) / widths
     counts = (
         _bracketed(df, brackets)
         .groupBy("bracket", F.least(F.floor(part * bins), F.lit(bins - 1)).alias("bin"))
