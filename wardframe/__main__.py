@@ -1,4 +1,4 @@
-"""Runs the pipeline or one of its steps: ``spark-submit … -m wardframe``-style entry.
+"""Runs the whole pipeline or one of its steps.
 
     python -m wardframe all --bronze raw/ --silver silver/ --gold gold/
 """

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wardframe.operators.columns import number, numbers_long, numeric_columns, quoted
+from wardframe.operators.profile import is_missing
 from wardframe.operators.rows import outside
 
 # Values one task may order at the end; more are narrowed down first.
@@ -208,10 +209,11 @@ def fences(
     return bounds
 
 
-def _is_outlier(column: str, bounds: Mapping[str, tuple[float, float]]) -> Column:
+def _is_outlier(df: DataFrame, column: str, bounds: Mapping[str, tuple[float, float]]) -> Column:
+    """Beyond its fences; false for a missing value."""
     if column not in bounds:
         return F.lit(False)
-    return F.coalesce(outside(number(column), *bounds[column]), F.lit(False))
+    return ~is_missing(df, column) & outside(quoted(column), *bounds[column])
 
 
 def outlier_flags(df: DataFrame, columns: Sequence[str] | None = None, **limits: int) -> DataFrame:
@@ -220,7 +222,7 @@ def outlier_flags(df: DataFrame, columns: Sequence[str] | None = None, **limits:
     bounds = fences(df, columns, **limits)
     return df.select(
         *[
-            _is_outlier(c, bounds).alias(c) if c in set(columns) else quoted(c)
+            _is_outlier(df, c, bounds).alias(c) if c in set(columns) else quoted(c)
             for c in df.columns
         ]
     )
@@ -231,7 +233,7 @@ def outlier_counts(df: DataFrame, columns: Sequence[str] | None = None, **limits
     columns = columns or numeric_columns(df)
     bounds = fences(df, columns, **limits)
     counts = df.agg(
-        *[F.count_if(_is_outlier(c, bounds)).alias(f"n{i}") for i, c in enumerate(columns)]
+        *[F.count_if(_is_outlier(df, c, bounds)).alias(f"n{i}") for i, c in enumerate(columns)]
     )
     rows = [
         F.struct(

@@ -138,19 +138,18 @@ def staff_hours_by_state(
     Otherwise the hours are summed per provider before the join, so that a
     provider with very many work days is shuffled as one record per task.
     """
-    providers = where_equal(bed, "PROVIDER_TYPE", provider_type).select(
-        "PROVIDER_NUM", F.col("STATE").alias("STATE_bed")
-    )
-    providers = providers.dropna()
+    of_type = where_equal(bed, "PROVIDER_TYPE", provider_type)
+    providers = of_type.select("PROVIDER_NUM", F.col("STATE").alias("STATE_bed")).dropna()
     if fits_broadcast(providers, max_bytes):
         days = staff.join(
             F.broadcast(providers), staff["PROVNUM"] == providers["PROVIDER_NUM"], "inner"
         )
         totals = summed_together(days, "STATE_bed", ROLE_HOURS)
     else:
+        # One row of hours per provider: cheap to hold while the other side streams.
         hours = summed_together(staff, "PROVNUM", ROLE_HOURS)
         totals = summed_together(
-            hours.join(providers, hours["PROVNUM"] == providers["PROVIDER_NUM"], "inner"),
+            providers.join(hours, providers["PROVIDER_NUM"] == hours["PROVNUM"], "inner"),
             "STATE_bed",
             {role: [role] for role in S.ROLES},
         )

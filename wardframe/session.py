@@ -9,12 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "wardframe", **conf: str) -> SparkSession:
-    """A session with adaptive execution and skew-join splitting on, in UTC."""
+    """A session with adaptive execution and skew-join splitting on, in UTC.
+
+    A wide projection may generate a method beyond the 8000 bytes that the JVM
+    compiles; such a stage is better run without whole-stage code.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
     )
