@@ -1,5 +1,6 @@
 """CSV edge cases, Parquet parts, and the audit of raw files."""
 
+import duckdb
 import pytest
 from pyspark.sql import types as T
 
@@ -132,6 +133,15 @@ def test_parquet_round_trip_and_parts(spark, tmp_path):
     assert parts.count() == 4 and parts.filter("s IS NOT NULL").count() == 1
 
 
+def test_lookup_columns_get_a_bloom_filter(spark, tmp_path):
+    df = spark.range(0, 100_000, 1, 1).selectExpr("cast(id AS string) AS k", "id")
+    sources.write_table(df, f"{tmp_path}/t", lookup_by=["k"])
+    query = "SELECT path_in_schema, bloom_filter_offset FROM parquet_metadata(?)"
+    found = dict(duckdb.execute(query, [f"{tmp_path}/t/*.parquet"]).fetchall())
+    assert found["k"] is not None and found["id"] is None
+    assert sources.read_table(spark, f"{tmp_path}/t").filter("k = '77'").count() == 1
+
+
 def test_paths(spark):
     assert sources.join_path("s3://b/", "/x/", "y") == "s3://b/x/y"
     assert sources.join_path("a", "b") == "a/b"

@@ -43,8 +43,8 @@ def text_columns(df: DataFrame) -> list[str]:
     return [n for n in df.columns if n not in numeric]
 
 
-def labelled_column(label: str, columns: Mapping[str, str]) -> str:
-    """The column a report label stands for."""
+def labelled_column[V](label: str, columns: Mapping[str, V]) -> V:
+    """The column, or columns, a report label stands for."""
     if label not in columns:
         raise ValueError(f"unknown label {label!r}; choose one of {sorted(columns)}")
     return columns[label]
