@@ -67,6 +67,14 @@ def test_windows_charset(spark, write, read):
     assert df.first().s == "café –"
 
 
+def test_header_in_another_charset_or_with_a_mark(spark, write):
+    path = write("a.csv", "clé,\"x, y\"\né,1\n", "cp1252")
+    df = sources.read_csv(spark, path, typed(**{"x, y": T.IntegerType()}), encoding="windows-1252")
+    assert df.columns == ["clé", "x, y"] and tuple(df.first()) == ("é", 1)
+    marked = write("b.csv", "\ufeffk,n\na,1\n")
+    assert sources.read_csv(spark, marked, typed()).columns == ["k", "n"]
+
+
 def test_duplicate_headers(spark, write):
     path = write("a.csv", "﻿a,A,b,a\n1,2,3,4\n")
     assert sources.header_names(spark, path) == ["a", "A", "b", "a"]

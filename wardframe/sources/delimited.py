@@ -45,8 +45,9 @@ def read_csv(
     file of a folder must carry the same header.
     """
     _allow_charset(spark, encoding)
-    fields = [T.StructField(n, type_of(n)) for n in header_names(spark, path)]
     reader = spark.read.option("header", True).option("encoding", encoding)
+    # Without inference this looks at the first line only.
+    fields = [T.StructField(n, type_of(n)) for n in reader.csv(path).columns]
     reader = reader.option("enforceSchema", False)
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
