@@ -21,7 +21,13 @@ MAX_REPEATED_PERCENT = 30
 
 # The rates held against fences, with the least distance of a fence from its
 # quartile: a spread of zero must not turn a single odd character into a reject.
-RATES = {"symbol_rate": 0.05, "upper_rate": 0.10, "dup_line_rate": 0.10, "repeat_rate": 0.10}
+RATES = {
+    "symbol_rate": 0.05,
+    "upper_rate": 0.10,
+    "dup_line_rate": 0.50,
+    "repeat_rate": 0.25,
+    "echo_rate": 0.10,
+}
 LENGTH_SLACK = 1.0
 REACH = 3.0
 SKETCH_K = 1024
@@ -85,6 +91,7 @@ def text_metrics(rows: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
         "words",
         F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
         F.size("words").cast("long").alias("n_words"),
+        F.size(F.filter("words", lambda w, i: w == F.get(F.col("words"), i - 1))).alias("n_echoes"),
         F.aggregate(
             "words", F.lit(0).cast("long"), lambda acc, w: acc + F.char_length(w)
         ).alias("word_chars"),
@@ -111,6 +118,7 @@ def text_metrics(rows: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
         "n_symbols",
         "n_dup_lines",
         repeated.cast("long").alias("n_repeat_words"),
+        "n_echoes",
         "n_upper",
         "n_lines",
     )
@@ -126,6 +134,7 @@ def text_metrics(rows: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
         (F.col("n_upper") / some("word_chars")).alias("upper_rate"),
         (F.col("n_dup_lines") / some("n_lines")).alias("dup_line_rate"),
         (F.col("n_repeat_words") / some("n_words")).alias("repeat_rate"),
+        (F.col("n_echoes") / some("n_words")).alias("echo_rate"),
         (F.col("word_chars") / some("n_words")).alias("mean_word"),
     )
 
