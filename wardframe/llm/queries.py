@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardframe.llm.bpe import encode_documents
 from wardframe.llm.common import table
 from wardframe.llm.line_dedup import dedup_lines
 from wardframe.llm.quality_rules import quality_verdicts
+from wardframe.llm.token_files import read_token_files, token_files_folder, write_token_files
 from wardframe.llm.url_graph import Rule, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +26,13 @@ RULES = (
 )
 
 
+def tokenizer() -> str:
+    """The vocabulary file of the public tokenizers package."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def query(function):
     QUERIES[function.__name__] = function
     return function
@@ -47,6 +56,20 @@ def op1_quality_rules(spark, folder):
     )
 
 
+def token_digests(encoded: DataFrame) -> DataFrame:
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        sha256(F.array_join("ids", ",")).alias("ids_sha256"),
+        sha256(F.col("decoded")).alias("decoded_sha256"),
+    )
+
+
+@query
+def op4_bpe(spark, folder):
+    return token_digests(encode_documents(table(spark, folder, "documents"), tokenizer()))
+
+
 @query
 def op5_line_dedup(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "text")
@@ -55,6 +78,15 @@ def op5_line_dedup(spark, folder):
     )
 
 
+@query
+def op8_token_files(spark, folder):
+    files = token_files_folder(spark)
+    index = write_token_files(table(spark, folder, "documents"), files, tokenizer())
+    return read_token_files(files, index).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 @query
 def op9_url_graph(spark, folder):
     return judge_urls(table(spark, folder, "pages"), RULES)
