@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wardframe.llm.bpe import encode_documents
 from wardframe.llm.common import table
+from wardframe.llm.html_text import extract_text
 from wardframe.llm.line_dedup import dedup_lines
 from wardframe.llm.quality_rules import quality_verdicts
 from wardframe.llm.token_files import read_token_files, token_files_folder, write_token_files
@@ -65,6 +66,13 @@ def token_digests(encoded: DataFrame) -> DataFrame:
     )
 
 
+@query
+def op2_html_text(spark, folder):
+    return extract_text(table(spark, folder, "pages")).withColumn(
+        "n_chars", F.char_length("text").cast("long")
+    )
+
+
 @query
 def op4_bpe(spark, folder):
     return token_digests(encode_documents(table(spark, folder, "documents"), tokenizer()))
