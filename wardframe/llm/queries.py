@@ -11,6 +11,7 @@ from wardframe.llm.bpe import encode_documents
 from wardframe.llm.common import table
 from wardframe.llm.html_text import extract_text
 from wardframe.llm.line_dedup import dedup_lines
+from wardframe.llm.minhash import near_duplicates
 from wardframe.llm.quality_rules import quality_verdicts
 from wardframe.llm.token_files import read_token_files, token_files_folder, write_token_files
 from wardframe.llm.url_graph import Rule, judge_urls
@@ -73,6 +74,12 @@ def op2_html_text(spark, folder):
     )
 
 
+@query
+def op3_minhash(spark, folder):
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return near_duplicates(documents).drop("text")
+
+
 @query
 def op4_bpe(spark, folder):
     return token_digests(encode_documents(table(spark, folder, "documents"), tokenizer()))
