@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardframe.llm.bpe import encode_documents
-from wardframe.llm.common import table
+from wardframe.llm.classifier import HELD_OUT_PARTS, THRESHOLD, score_documents, train
+from wardframe.llm.common import crc32_rest, table
 from wardframe.llm.html_text import extract_text
 from wardframe.llm.line_dedup import dedup_lines
 from wardframe.llm.minhash import near_duplicates
@@ -93,6 +94,22 @@ def op5_line_dedup(spark, folder):
     )
 
 
+def held_out(parts: int):
+    return F.coalesce(crc32_rest(F.col("doc_id"), parts) == 0, F.lit(False)).alias("held_out")
+
+
+@query
+def op6_classifier(spark, folder):
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = train(documents, table(spark, folder, "labels"))
+    return score_documents(documents, model).select(
+        "doc_id",
+        held_out(HELD_OUT_PARTS),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op8_token_files(spark, folder):
     files = token_files_folder(spark)
