@@ -15,8 +15,9 @@ until the bucket is one class or every text has been a centre.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,44 +56,31 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
-class WordHashes:
+class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
-    def __init__(self, most: int = 500_000):
-        self.memo: dict[str, int] = {}
-        self.most = most
+    most = 500_000
 
-    def __call__(self, words: list[str]) -> np.ndarray:
+    def __missing__(self, word: str | bytes) -> int:
         import xxhash
 
-        if len(self.memo) > self.most:
-            self.memo.clear()
-        known, of = self.memo, xxhash.xxh64_intdigest
-        found = np.empty(len(words), np.uint64)
-        for i, word in enumerate(words):
-            h = known.get(word)
-            if h is None:
-                h = known[word] = of(word)
-            found[i] = h
+        found = self[word] = xxhash.xxh64_intdigest(word)
         return found
 
+    def __call__(self, words: Iterable[str | bytes], count: int) -> np.ndarray:
+        if len(self) > self.most:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, count)
+
 
 _HASHES = WordHashes()
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the lower-cased words of all texts, and where each text's words end."""
-    trimmed = pc.utf8_trim_whitespace(pc.utf8_lower(pc.fill_null(texts, "").cast(pa.large_string())))
-    split = pc.utf8_split_whitespace(trimmed)
-    ends = split.offsets.to_numpy().copy()
-    words = split.flatten()
-    empty = pc.equal(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
-    coded = words.dictionary_encode()
-    hashes = _HASHES(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
-    if empty.any():
-        ends = ends - np.concatenate([[0], np.cumsum(empty)])[ends]
-        hashes = hashes[~empty]
-    return hashes, ends
+    split = [t.lower().split() for t in pc.fill_null(texts, "").to_pylist()]
+    ends = np.cumsum([0, *map(len, split)])
+    return _HASHES(chain.from_iterable(split), ends[-1]), ends
 
 
 def shingle_vector(words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

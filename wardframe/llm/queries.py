@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardframe.llm import ngram_lm
 from wardframe.llm.bpe import encode_documents
 from wardframe.llm.classifier import HELD_OUT_PARTS, THRESHOLD, score_documents, train
 from wardframe.llm.common import crc32_rest, table
@@ -16,6 +17,7 @@ from wardframe.llm.minhash import near_duplicates
 from wardframe.llm.quality_rules import quality_verdicts
 from wardframe.llm.token_files import read_token_files, token_files_folder, write_token_files
 from wardframe.llm.url_graph import Rule, judge_urls
+from wardframe.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -122,3 +124,19 @@ def op8_token_files(spark, folder):
 @query
 def op9_url_graph(spark, folder):
     return judge_urls(table(spark, folder, "pages"), RULES)
+
+
+@query
+def op10_ngram_lm(spark, folder):
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = scratch_path(spark, "ngram-model")
+    summary = ngram_lm.train(ngram_lm.training_part(documents), model)
+    return ngram_lm.score_documents(documents, model, summary).select(
+        "doc_id",
+        held_out(ngram_lm.HELD_OUT_PARTS),
+        "n_tokens",
+        "n_known",
+        F.lit(summary.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
