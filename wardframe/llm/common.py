@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,6 +67,16 @@ def closed(
     return df.select(*kept, *[value.alias(name) for name, value in added.items()])
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once per row.
+
+    A filter that the planner moves below a projection takes the projection's
+    expressions with it. A column used inside a lambda would then be computed
+    again for every element; a variable of a lambda is not.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def words_of(text: Column) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text; none for null."""
     trimmed = F.btrim(text, F.lit(SPACES))

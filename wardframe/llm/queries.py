@@ -11,6 +11,7 @@ from wardframe.llm import ngram_lm
 from wardframe.llm.bpe import encode_documents
 from wardframe.llm.classifier import HELD_OUT_PARTS, THRESHOLD, score_documents, train
 from wardframe.llm.common import crc32_rest, table
+from wardframe.llm.decontaminate import benchmark_matches
 from wardframe.llm.html_text import extract_text
 from wardframe.llm.line_dedup import dedup_lines
 from wardframe.llm.minhash import near_duplicates
@@ -112,6 +113,12 @@ def op6_classifier(spark, folder):
     )
 
 
+@query
+def op7_decontaminate(spark, folder):
+    documents, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return benchmark_matches(documents, items).drop("version")
+
+
 @query
 def op8_token_files(spark, folder):
     files = token_files_folder(spark)
