@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardframe.llm.common import SPACED, quoted, stored, words_of
+from wardframe.llm.common import SPACED, let, quoted, stored, words_of
 
 # The base rule.
 SYMBOLS = "#*$%&|<>"
@@ -37,32 +37,22 @@ MIN_STRATUM = 100
 def _windows(hashes: Column, window: int) -> Column:
     """One hash per window of neighbouring words."""
     places = F.sequence(F.lit(0), F.size(hashes) - window)
-    return F.when(
-        F.size(hashes) >= window,
-        F.transform(places, lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(window)])),
-    ).otherwise(F.array().cast("array<bigint>"))
+    one = lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(window)])
+    none = F.array().cast("array<bigint>")
+    return F.when(F.size(hashes) >= window, F.transform(places, one)).otherwise(none)
 
 
-def _covered(window: int) -> Column:
+def _covered(pairs: Column, window: int) -> Column:
     """Words covered by windows that occur twice or more.
 
     ``pairs`` holds (hash, place) in order, so a window's copies are neighbours
     and a text costs n log n at any length.
     """
-    pairs = F.col("pairs")
-    flagged = F.filter(
-        F.transform(
-            pairs,
-            lambda x, i: F.struct(
-                x["place"].alias("place"),
-                (
-                    (x["h"] == F.get(pairs, i - 1)["h"]) | (x["h"] == F.get(pairs, i + 1)["h"])
-                ).alias("twice"),
-            ),
-        ),
-        lambda x: x["twice"],
-    )
-    starts = F.sort_array(F.transform(flagged, lambda x: x["place"]))
+
+    def twice(x: Column, i: Column) -> Column:
+        return (x["h"] == F.get(pairs, i - 1)["h"]) | (x["h"] == F.get(pairs, i + 1)["h"])
+
+    starts = F.sort_array(F.transform(F.filter(pairs, twice), lambda x: x["place"]))
     return F.aggregate(
         starts,
         F.struct(F.lit(0).alias("total"), F.lit(-window).alias("last")),
@@ -74,68 +64,66 @@ def _covered(window: int) -> Column:
     )
 
 
+def _repeated_words(hashes: Column, window: int) -> Column:
+    def of_windows(windows: Column) -> Column:
+        pairs = F.sort_array(
+            F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("place")))
+        )
+        none = F.size(F.array_distinct(windows)) == F.size(windows)
+        return F.when(none, F.lit(0)).otherwise(let(pairs, lambda p: _covered(p, window)))
+
+    return let(_windows(hashes, window), of_windows)
+
+
+def _counts(words: Column, window: int) -> Column:
+    """A struct of the counts that need the words."""
+
+    def of_hashes(hashes: Column) -> Column:
+        letters = F.aggregate(words, F.lit(0).cast("long"), lambda acc, w: acc + F.char_length(w))
+        echoes = F.filter(hashes, lambda h, i: h == F.get(hashes, i - 1))
+        return F.struct(
+            F.size(words).cast("long").alias("n_words"),
+            letters.alias("word_chars"),
+            _repeated_words(hashes, window).cast("long").alias("n_repeat_words"),
+            F.size(echoes).alias("n_echoes"),
+        )
+
+    return let(F.transform(words, lambda w: F.xxhash64(w)), of_hashes)
+
+
+def _line_counts(lines: Column) -> Column:
+    def of(worded: Column) -> Column:
+        extra = F.size(worded) - F.size(F.array_distinct(worded))
+        return F.struct(F.size(worded).alias("n_lines"), extra.cast("long").alias("n_dup_lines"))
+
+    return let(F.filter(lines, lambda x: x.rlike(SPACED)), of)
+
+
 def text_metrics(rows: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     """Adds the counts of the base rule and the rates to rows with a ``body``."""
     names = rows.columns
     body = F.coalesce(F.col("body"), F.lit(""))
-    lines = F.filter(F.split(body, "\n", -1), lambda x: x.rlike(SPACED))
-    worded = rows.select(
+    counted = rows.select(
         *names,
-        words_of(F.col("body")).alias("words"),
-        lines.alias("lines"),
+        let(words_of(F.col("body")), lambda words: _counts(words, window)).alias("of_words"),
+        _line_counts(F.split(body, "\n", -1)).alias("of_lines"),
         F.char_length(F.regexp_replace(body, rf"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
         F.char_length(F.regexp_replace(body, r"\P{Lu}+", "")).alias("n_upper"),
-    )
-    counted = worded.select(
-        *names,
-        "words",
-        F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
-        F.size("words").cast("long").alias("n_words"),
-        F.size(F.filter("words", lambda w, i: w == F.get(F.col("words"), i - 1))).alias("n_echoes"),
-        F.aggregate(
-            "words", F.lit(0).cast("long"), lambda acc, w: acc + F.char_length(w)
-        ).alias("word_chars"),
-        "n_symbols",
-        "n_upper",
-        F.size("lines").alias("n_lines"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-    )
-    windowed = counted.withColumn("windows", _windows(F.col("hashes"), window))
-    paired = windowed.withColumn(
-        "pairs",
-        F.when(
-            F.size(F.array_distinct("windows")) < F.size("windows"),
-            F.sort_array(
-                F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("place")))
-            ),
-        ),
-    )
-    repeated = F.when(F.col("pairs").isNull(), F.lit(0)).otherwise(_covered(window))
-    metrics = paired.select(
-        *names,
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        repeated.cast("long").alias("n_repeat_words"),
-        "n_echoes",
-        "n_upper",
-        "n_lines",
-    )
-    some = lambda n: F.greatest(F.col(n), F.lit(1))
-    return metrics.select(
+    ).select(*names, "of_words.*", "of_lines.*", "n_symbols", "n_upper")
+    share = lambda n, of: F.col(n) / F.greatest(F.col(of), F.lit(1))
+    return counted.select(
         *names,
         "n_words",
         "word_chars",
         "n_symbols",
         "n_dup_lines",
         "n_repeat_words",
-        (F.col("n_symbols") / some("word_chars")).alias("symbol_rate"),
-        (F.col("n_upper") / some("word_chars")).alias("upper_rate"),
-        (F.col("n_dup_lines") / some("n_lines")).alias("dup_line_rate"),
-        (F.col("n_repeat_words") / some("n_words")).alias("repeat_rate"),
-        (F.col("n_echoes") / some("n_words")).alias("echo_rate"),
-        (F.col("word_chars") / some("n_words")).alias("mean_word"),
+        share("n_symbols", "word_chars").alias("symbol_rate"),
+        share("n_upper", "word_chars").alias("upper_rate"),
+        share("n_dup_lines", "n_lines").alias("dup_line_rate"),
+        share("n_repeat_words", "n_words").alias("repeat_rate"),
+        share("n_echoes", "n_words").alias("echo_rate"),
+        share("word_chars", "n_words").alias("mean_word"),
     )
 
 
