@@ -28,9 +28,10 @@ from pyspark.sql import types as T
 from wardframe.llm.common import quoted
 
 LEAF_CHARS = 32_768
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
 MEMO_PIECES = 800_000
 MEMO_PIECE_CHARS = 64
+TOGETHER = 64
 FIRST_WINDOW = 32
 AGREEING = 4
 # White space before a space: the cut there would not be between pre-tokens.
@@ -81,14 +82,36 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _pieces(self, pieces: list[str], lead: str) -> list[bytes]:
-        keys = [lead + p for p in pieces]
-        new = list(dict.fromkeys(k for k in keys if k not in self.memo))
-        fresh = dict(zip(new, self.whole(new)))
-        found = [self.memo.get(k) if k not in fresh else fresh[k] for k in keys]
-        if len(self.memo) + len(fresh) > MEMO_PIECES:
+    def _together(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that start with a space and end without white space.
+
+        Put behind each other they stay apart, so many are encoded as one text,
+        and the ids are dealt out again by the bytes they stand for.
+        """
+        texts = ["".join(pieces[i : i + TOGETHER]) for i in range(0, len(pieces), TOGETHER)]
+        ids = np.frombuffer(b"".join(self.whole(texts)), "<u4")
+        upto = np.cumsum(self.id_sizes()[ids])
+        ends = np.cumsum([len(p.encode()) for p in pieces])
+        at = np.searchsorted(upto, ends)
+        if len(pieces) and not (upto[-1] == ends[-1] and np.array_equal(upto[at], ends)):
+            return self.whole(pieces)
+        raw, cuts = ids.tobytes(), [0, *(4 * (at + 1)).tolist()]
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _spaced(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces, each with a space before it."""
+        found = list(map(self.memo.get, pieces))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        plain = [i for i in new if pieces[i] and not pieces[i][-1].isspace()]
+        if len(plain) < len(new):
+            odd = [i for i in new if not pieces[i] or pieces[i][-1].isspace()]
+            for i, ids in zip(odd, self.whole([" " + pieces[i] for i in odd])):
+                found[i] = ids
+        for i, ids in zip(plain, self._together([" " + pieces[i] for i in plain])):
+            found[i] = ids
+        if len(self.memo) + len(new) > MEMO_PIECES:
             self.memo.clear()
-        self.memo.update((k, v) for k, v in fresh.items() if len(k) <= MEMO_PIECE_CHARS)
+        self.memo.update((pieces[i], found[i]) for i in new if len(pieces[i]) <= MEMO_PIECE_CHARS)
         return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -99,6 +122,8 @@ class Encoder:
         safe = np.zeros(len(texts), bool)
         if self.by_pieces:
             safe = ~pc.match_substring_regex(texts, UNSAFE_CUT).to_numpy(zero_copy_only=False)
+        if safe.all():
+            return self._by_pieces(texts)
         parts: list[bytes] = [b""] * len(texts)
         odd = np.flatnonzero(~safe)
         for i, ids in zip(odd, self.whole(texts.take(pa.array(odd)).to_pylist())):
@@ -117,17 +142,19 @@ class Encoder:
         starts = split.offsets.to_numpy()[:-1]
         ends = split.offsets.to_numpy()
         coded = split.flatten().dictionary_encode()
-        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        codes = coded.indices.to_numpy(zero_copy_only=False).copy()
         # The first piece of a text has no space before it and a code of its own.
         firsts = split.flatten().take(pa.array(starts)).to_pylist()
-        pool = self._pieces(coded.dictionary.to_pylist(), " ")
+        pool = self._spaced(coded.dictionary.to_pylist())
         codes[starts] = len(pool) + np.arange(len(firsts))
-        pool += self._pieces(firsts, "")
-        sizes = np.array([len(p) // 4 for p in pool], dtype=np.int64)
-        begins = np.cumsum(sizes) - sizes
+        pool += self.whole(firsts)
+        # A slice has far fewer than 2^31 ids.
+        sizes = np.array([len(p) // 4 for p in pool], dtype=np.int32)
+        begins = np.cumsum(sizes, dtype=np.int32) - sizes
         each = sizes[codes]
-        upto = np.cumsum(each)
-        take = np.repeat(begins[codes] - (upto - each), each) + np.arange(upto[-1])
+        upto = np.cumsum(each, dtype=np.int64)
+        shift = (begins[codes] - (upto - each)).astype(np.int32)
+        take = np.repeat(shift, each) + np.arange(upto[-1], dtype=np.int32)
         ids = np.frombuffer(b"".join(pool), dtype="<u4")[take]
         return ids, np.concatenate([[0], upto])[ends]
 
@@ -146,6 +173,11 @@ class Encoder:
             self._id_bytes = found
         return self._id_bytes
 
+    def id_sizes(self) -> np.ndarray:
+        if not hasattr(self, "_id_sizes"):
+            self._id_sizes = np.array([len(b) for b in self.id_bytes()], dtype=np.int64)
+        return self._id_sizes
+
     def join(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The ids of two neighbouring texts taken as one."""
         spelled = self.id_bytes()
