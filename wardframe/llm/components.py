@@ -1,8 +1,8 @@
 """Connected components of a link table, by contraction.
 
-In each round every node takes the least id among itself and its neighbours,
+In each round every node takes the first id among itself and its neighbours,
 links are rewritten to those ids and merged, and the round's renaming is kept.
-Ids are digests, so the order among neighbours is random and the number of
+The order of ids is that of a hash, another one in each round, so the number of
 nodes that still have links falls by a constant factor per round, also along
 chains. At the end the renamings are applied one after the other.
 """
@@ -30,11 +30,11 @@ def components(links: DataFrame) -> DataFrame:
     )
     renamings = []
     while not pairs.isEmpty():
+        turn = F.lit(len(renamings))
+        own, other = [F.struct(F.xxhash64(c, turn).alias("h"), F.col(c).alias("id")) for c in "ab"]
+        first = pairs.groupBy("a").agg(F.min(other).alias("first"))
         renamed = stored(
-            pairs.groupBy("a")
-            .agg(F.min("b").alias("least"))
-            .select(F.col("a").alias("node"), F.least("a", "least").alias("root")),
-            "renamed",
+            first.select(F.col("a").alias("node"), F.least(own, "first")["id"].alias("root")), "renamed"
         )
         renamings.append(renamed)
         ends = []
@@ -52,7 +52,7 @@ def components(links: DataFrame) -> DataFrame:
         return pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))
     found = renamings[0]
     for later in renamings[1:]:
-        later = later.withColumnsRenamed({"node": "root", "root": "later"})
+        later = later.select(F.col("node").alias("root"), F.col("root").alias("later"))
         found = found.join(later, "root", "left").select(
             "node", F.coalesce("later", "root").alias("root")
         )
