@@ -13,13 +13,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardframe.llm.bpe import slices
 from wardframe.llm.common import crc32_rest, quoted
+from wardframe.llm.wordbytes import bytes_of, word_bounds
 
 PASSAGE_WORDS = 50
 THRESHOLD = 0.3
@@ -30,7 +30,6 @@ FIT_DOCUMENTS = 4_000
 FIT_PASSAGES = 64
 
 _BYTES = np.arange(256)
-_SPACE = np.isin(_BYTES, list(b" \t\n\x0b\x0c\r"))
 # Kinds of bytes that are counted in each passage.
 _KINDS = np.stack(
     [
@@ -48,34 +47,14 @@ _KINDS = np.stack(
 FEATURES = len(_KINDS) + 6
 
 
-def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All texts one after the other as bytes, with their ends, and 8 bytes of padding."""
-    plain = pc.fill_null(texts, "").cast(pa.large_binary())
-    offsets = np.frombuffer(plain.buffers()[1], np.int64)[plain.offset : plain.offset + len(plain) + 1]
-    data = plain.buffers()[2]
-    raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
-    raw = raw[offsets[0] : offsets[-1]] if len(raw) else raw
-    return np.concatenate([raw, np.full(8, 32, np.uint8)]), offsets - offsets[0]
-
-
 def passage_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """One row of measures per passage, and where each text's passages end.
 
     A text without words is one passage of zeros.
     """
-    raw, ends = _bytes_of(texts)
+    raw, ends = bytes_of(texts)
     size = int(ends[-1])
-    space = _SPACE[raw]
-    starts_word = ~space
-    starts_word[1:] &= space[:-1]
-    inner = ends[:-1][ends[:-1] < size]
-    starts_word[inner] = ~space[inner]
-    ends_word = ~space
-    ends_word[:-1] &= space[1:]
-    last = ends[1:][ends[1:] > 0] - 1
-    ends_word[last] = ~space[last]
-    begin, stop = np.flatnonzero(starts_word[:size]), np.flatnonzero(ends_word[:size]) + 1
-    words = np.searchsorted(begin, ends)  # words before each text's end
+    begin, stop, words = word_bounds(raw, ends)
     counts = np.diff(words)
     rank = np.arange(len(begin)) - np.repeat(words[:-1], counts)
     first = np.flatnonzero(rank % PASSAGE_WORDS == 0)

@@ -15,23 +15,24 @@ until the bucket is one class or every text has been a centre.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardframe.llm import wordbytes
 from wardframe.llm.bpe import slices
 from wardframe.llm.common import closed, opened, quoted, stored
 from wardframe.llm.components import components
+from wardframe.llm.wordbytes import mixed
 
 WORDS_PER_SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 12, 3
+BANDS, ROWS = 10, 3
 # Words are counted in this many cells: a table of fixed size, whatever the corpus.
 CELLS = 1 << 20
 # Texts of one bucket that are all compared with each other, and the centres of
@@ -46,41 +47,9 @@ _MULTIPLIERS = np.array(
 )
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    """A bijective scrambling of 64-bit integers."""
-    h = h ^ (h >> np.uint64(32))
-    h = h * np.uint64(0xD6E8FEB86659FD93)
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(32)
-    return h
-
-
-class WordHashes(dict):
-    """64-bit hashes of words, remembered up to a bound."""
-
-    most = 500_000
-
-    def __missing__(self, word: str | bytes) -> int:
-        import xxhash
-
-        found = self[word] = xxhash.xxh64_intdigest(word)
-        return found
-
-    def __call__(self, words: Iterable[str | bytes], count: int) -> np.ndarray:
-        if len(self) > self.most:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, count)
-
-
-_HASHES = WordHashes()
-
-
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the lower-cased words of all texts, and where each text's words end."""
-    split = [t.lower().split() for t in pc.fill_null(texts, "").to_pylist()]
-    ends = np.cumsum([0, *map(len, split)])
-    return _HASHES(chain.from_iterable(split), ends[-1]), ends
+    return wordbytes.word_hashes(pc.utf8_lower(pc.fill_null(texts, "").cast(pa.large_string())))
 
 
 def shingle_vector(words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -98,7 +67,7 @@ def shingle_vector(words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.n
     for k in range(width):
         shingles += words[k : k + count] * _MULTIPLIERS[k]
         weights += rare[k : k + count]
-    distinct, first, times = np.unique(_mixed(shingles), return_index=True, return_counts=True)
+    distinct, first, times = np.unique(mixed(shingles), return_index=True, return_counts=True)
     return distinct, times * weights[first] / width
 
 
@@ -132,18 +101,30 @@ def samples(shingles: np.ndarray, weights: np.ndarray, ends: np.ndarray, count:
     scale, offset = _tables()
     starts, sizes = ends[:-1], np.diff(ends)
     log_weight = np.log(weights).astype(np.float32)
-    owner = np.repeat(np.arange(len(sizes)), sizes)
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     drawn = np.empty((len(sizes), count), np.uint64)
+    # The same room for every sample: fresh arrays of this size cost more than the sums.
+    h, part = np.empty_like(shingles), np.empty_like(shingles)
+    score, level, shift = (np.empty(len(shingles), np.float32) for _ in range(3))
     for sample in range(count):
-        h = _mixed(shingles + np.uint64((sample + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
-        r = scale[(h & np.uint64(0xFFFF)).astype(np.int32)]
-        shift = ((h >> np.uint64(16)) & np.uint64(0xFFFFFF)).astype(np.float32) * np.float32(2.0**-24)
-        level = np.floor(log_weight / r + shift)
-        score = offset[(h >> np.uint64(44)).astype(np.int32)] - r * (level - shift + np.float32(1))
+        np.add(shingles, np.uint64((sample + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF), out=h)
+        for turn, factor in ((32, 0xD6E8FEB86659FD93), (29, 0xBF58476D1CE4E5B9)):
+            np.right_shift(h, np.uint64(turn), out=part)
+            np.bitwise_xor(h, part, out=h)
+            np.multiply(h, np.uint64(factor), out=h)
+        # The upper 20, 16 and 24 bits of 60 draw the offset, the scale and the shift.
+        r = scale[np.bitwise_and(np.right_shift(h, np.uint64(28), out=part), np.uint64(0xFFFF), out=part)]
+        np.copyto(shift, np.bitwise_and(np.right_shift(h, np.uint64(4), out=part), np.uint64(0xFFFFFF), out=part))
+        np.multiply(shift, np.float32(2.0**-24), out=shift)
+        np.divide(log_weight, r, out=level)
+        np.floor(np.add(level, shift, out=level), out=level)
+        np.subtract(level, shift, out=score)
+        np.multiply(np.add(score, np.float32(1), out=score), r, out=score)
+        np.subtract(offset[np.right_shift(h, np.uint64(44), out=part)], score, out=score)
         least = np.minimum.reduceat(score, starts)
-        hit = np.flatnonzero(score == least[owner])
+        hit = np.flatnonzero(score == np.repeat(least, sizes))
         of_level = level[hit].astype(np.int64).astype(np.uint64) * _MULTIPLIERS[1]
-        drawn[owner[hit], sample] = _mixed(shingles[hit] + of_level)
+        drawn[owner[hit], sample] = mixed(shingles[hit] + of_level)
     return drawn
 
 
@@ -153,10 +134,9 @@ def _cell_batches(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b in slices(batch.column(0), SLICE_BYTES):
             hashes, ends = word_hashes(batch.column(0).slice(a, b - a))
-            owner = np.repeat(np.arange(b - a, dtype=np.int64), np.diff(ends))
-            cell = (hashes & np.uint64(CELLS - 1)).astype(np.int64)
-            once = np.unique(owner * CELLS + cell) & (CELLS - 1)
-            counts += np.bincount(once, minlength=CELLS)
+            cell = (hashes & np.uint64(CELLS - 1)).astype(np.int32)
+            once = [np.unique(cell[s:e]) for s, e in zip(ends, ends[1:])]
+            counts += np.bincount(np.concatenate(once), minlength=CELLS)
             texts += b - a
     used = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays(
@@ -201,7 +181,7 @@ def _signed(shared_idf, bands: int, rows: int):
                 for band in range(bands):
                     key = np.full(len(some), np.uint64(band + 1))
                     for k in range(rows):
-                        key = _mixed(key * _MULTIPLIERS[2] + drawn[:, band * rows + k])
+                        key = mixed(key * _MULTIPLIERS[2] + drawn[:, band * rows + k])
                     keys[:, band] = key
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -261,19 +241,25 @@ def _buckets(signed: DataFrame) -> DataFrame:
 
 def _side(rows: DataFrame, side: str) -> DataFrame:
     return rows.select(
-        "key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "weight", "root")]
+        "key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "weight", "shared", "root")]
     )
 
 
+def _most(one: Column, other: Column, shared_one: Column, shared_other: Column) -> Column:
+    """The greatest similarity that two weights and the parts they can share allow."""
+    common = F.least(one, other, shared_one, shared_other)
+    return common / (one + other - common)
+
+
 def _pairs(members: DataFrame, partners: DataFrame, least: float) -> DataFrame:
-    """Distinct (a, b, root_a, root_b): pairs of a bucket that are in different classes.
+    """Distinct (a, b, root_a, root_b): pairs of a bucket in different classes.
 
-    Texts whose weights differ too much cannot be similar enough.
+    Pairs that cannot be similar enough by their weights are left out.
     """
-    one, other = F.col("weight_a"), F.col("weight_b")
-    near = F.least(one, other) >= (least - 1e-9) * F.greatest(one, other)
+    most = _most(F.col("weight_a"), F.col("weight_b"), F.col("shared_a"), F.col("shared_b"))
     apart = F.col("root_a") != F.col("root_b")
-    joined = _side(members, "a").join(_side(partners, "b"), "key").filter(near & apart)
+    joined = _side(members, "a").join(_side(partners, "b"), "key")
+    joined = joined.filter(apart & (most >= least - 1e-9))
     turned = F.col("node_a") > F.col("node_b")
     return joined.select(
         F.when(turned, F.col("node_b")).otherwise(F.col("node_a")).alias("a"),
@@ -283,6 +269,65 @@ def _pairs(members: DataFrame, partners: DataFrame, least: float) -> DataFrame:
     ).distinct()
 
 
+def _shingle_rows(shared_idf):
+    def run(batches):
+        idf = shared_idf.value
+        for batch in batches:
+            for a, b in slices(batch.column(1), SLICE_BYTES):
+                vectors = _vectors(batch.column(1).slice(a, b - a), idf)
+                nodes = batch.column(0).slice(a, b - a).to_numpy()
+                sizes = [len(v[0]) for v in vectors]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.repeat(nodes, sizes)),
+                        pa.array(np.concatenate([v[0] for v in vectors]).view(np.int64)),
+                        pa.array(np.concatenate([v[1] for v in vectors])),
+                    ],
+                    names=["number", "shingle", "weight"],
+                )
+
+    return run
+
+
+def _with_shared(members: DataFrame, bodies: DataFrame, shared_idf) -> DataFrame:
+    """Adds ``shared``: the weight of the shingles that another text of these buckets has too.
+
+    In a large group of copies each text has edits of its own. Their weight
+    bounds its similarity to all others, so most pairs need no comparison.
+    """
+    number = F.xxhash64("node")
+    nodes = members.select("node").distinct()
+    shingles = (
+        bodies.join(nodes, "node", "left_semi")
+        .select(number.alias("number"), "body")
+        .mapInArrow(_shingle_rows(shared_idf), "number long, shingle long, weight double")
+    )
+    own = (
+        shingles.groupBy("shingle")
+        .agg(F.count("*").alias("n"), F.min("number").alias("number"), F.min("weight").alias("weight"))
+        .filter("n = 1")
+        .groupBy("number")
+        .agg(F.sum("weight").alias("own"))
+    )
+    joined = members.withColumn("number", number).join(stored(own, "own-weights"), "number", "left")
+    return joined.withColumn("shared", F.col("weight") - F.coalesce("own", F.lit(0.0))).drop("number", "own")
+
+
+def _open(members: DataFrame, least: float) -> DataFrame:
+    """Members that may still have a partner: in buckets of several classes, by their weights."""
+    bucket = members.groupBy("key").agg(
+        F.min("root").alias("first_root"), F.max("root").alias("last_root"), F.min("weight").alias("lightest")
+    )
+    # The best partner is as light as what is shared, if the bucket has one as light.
+    best = F.greatest(F.col("shared"), F.col("lightest"))
+    most = _most(F.col("weight"), best, F.col("shared"), best)
+    return (
+        members.join(stored(bucket, "bucket-roots").filter("first_root <> last_root"), "key")
+        .filter(most >= least - 1e-9)
+        .drop("first_root", "last_root", "lightest")
+    )
+
+
 def _renamed(rows: DataFrame, renaming: DataFrame) -> DataFrame:
     """``root`` replaced by the root of its class."""
     later = renaming.select(F.col("node").alias("root"), F.col("root").alias("later"))
@@ -330,25 +375,20 @@ def near_duplicate_links(
         )
 
     alone = buckets.withColumn("root", F.col("node"))
-    small = alone.filter(F.col("n") <= all_pairs)
+    small = alone.filter(F.col("n") <= all_pairs).withColumn("shared", F.col("weight"))
     links = [verified(_pairs(small, small, similarity).filter("a < b"))]
     renamings = [_classes(links[0])]
-    members = stored(_renamed(alone.filter(F.col("n") > all_pairs), renamings[0]), "large-buckets")
+    large = stored(_renamed(alone.filter(F.col("n") > all_pairs), renamings[0]), "large-buckets")
     first, last = 0, centres
-    while not members.isEmpty():
+    if not large.isEmpty():
+        large = stored(_open(stored(_with_shared(large, bodies, idf), "shared"), similarity), "open")
+    while not large.isEmpty():
         turn = (F.col("turn") >= first) & (F.col("turn") < last)
-        links.append(verified(_pairs(members, members.filter(turn), similarity)))
+        links.append(verified(_pairs(large, large.filter(turn), similarity)))
         renamings.append(_classes(links[-1]))
         first, last = last, last * 8
-        members = _renamed(members, renamings[-1])
-        mixed = (
-            members.filter(F.col("n") > first)
-            .groupBy("key")
-            .agg(F.min("root").alias("least"), F.max("root").alias("most"))
-            .filter("least <> most")
-            .select("key")
-        )
-        members = stored(members.join(mixed, "key", "left_semi"), "large-buckets")
+        left = _renamed(large, renamings[-1]).filter(F.col("n") > first)
+        large = stored(_open(stored(left, "left"), similarity), "open")
 
     found = links[0]
     for more in links[1:]:

@@ -20,23 +20,19 @@ import json
 import os
 import uuid
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardframe.llm.bpe import slices
 from wardframe.llm.common import crc32_rest, quoted, stored
-from wardframe.llm.minhash import WordHashes, _mixed
+from wardframe.llm.wordbytes import NO_WORD, mixed, word_hashes
 
 HELD_OUT_PARTS = 10
 ADDED = 0.1
-# Words have no white space, so this string is free to stand for the end.
-END = b" "
 # Ids that are not in the vocabulary: the place before the first word, and unknown words.
 BEGIN, UNKNOWN = 0xFFFFFFFF, 0xFFFFFFFE
 PAIRS_PER_BUCKET = 4_000_000
@@ -45,9 +41,6 @@ SLICE_BYTES = 2 << 20
 # Discounts where the counts of counts are too few to estimate them.
 FALLBACK = (0.5, 1.0, 1.5)
 
-_HASHES = WordHashes()
-
-
 def local_path(folder: str) -> str:
     """The folder as workers open it; it has to be mounted on all of them."""
     path = folder.removeprefix("file://").removeprefix("file:")
@@ -81,12 +74,9 @@ def _mapped(path: str, *dtypes: str) -> list[np.ndarray]:
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all texts' tokens, A-Z lower-cased, each text closed by the end, and bounds."""
-    # On bytes, lower() and split() know A-Z and the white space \x20, \x09-\x0D only.
-    split = [t.encode().lower().split() for t in pc.fill_null(texts, "").to_pylist()]
-    bounds = np.cumsum([0, *map(len, split)])
-    hashes = _HASHES(chain.from_iterable(split), bounds[-1])
+    hashes, bounds = word_hashes(texts, ascii_lower=True)
     ends = bounds + np.arange(len(bounds))
-    found = np.full(len(hashes) + len(texts), _HASHES([END], 1)[0])
+    found = np.full(len(hashes) + len(texts), NO_WORD)
     owner = np.repeat(np.arange(len(texts)), np.diff(bounds))
     found[np.arange(len(hashes)) + owner] = hashes
     return found, ends
@@ -167,7 +157,7 @@ def _previous(ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def _buckets_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return (_mixed(keys) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+    return (mixed(keys) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
 
 
 def _packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
