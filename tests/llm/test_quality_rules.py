@@ -1,0 +1,93 @@
+import re
+
+from wardframe.llm import quality_rules as Q
+
+WORD, LINE = re.compile(r"[^\x20\x09-\x0D]+"), re.compile(r"[^\x20\x09-\x0D]")
+
+
+def expected(text):
+    words = WORD.findall(text or "")
+    places = {}
+    for i in range(len(words) - 7):
+        places.setdefault(tuple(words[i : i + 8]), []).append(i)
+    covered = {j for p in places.values() if len(p) > 1 for i in p for j in range(i, i + 8)}
+    lines = [x for x in (text or "").split("\n") if LINE.search(x)]
+    return (
+        len(words),
+        sum(map(len, words)),
+        sum(c in "#*$%&|<>" for c in text or ""),
+        len(lines) - len(set(lines)),
+        len(covered),
+        len(words) < 20 or 100 * len(covered) > 30 * len(words),
+    )
+
+
+ODD = {
+    1: None,
+    2: "",
+    3: " \t\n\x0b\x0c\r",
+    4: "one two three four five six seven eight",
+    5: "a b c d e f g h a b c d e f g h",
+    6: "same " * 5000,
+    7: "x\n\nx\n \nx\ny",
+    8: "é ü ## <b> | " * 10,
+    9: " ".join(f"w{i % 50}" for i in range(20000)),
+}
+
+
+def counts_of(df):
+    names = (*Q_COUNTS, "base_failed")
+    return {r["doc_id"]: tuple(r[c] for c in names) for r in df.collect()}
+
+
+Q_COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def test_counts_of_odd_texts(documents):
+    found = counts_of(Q.quality_verdicts(documents(ODD.items())))
+    assert found == {i: expected(t) for i, t in ODD.items()}
+
+
+def test_counts_of_the_table(spark, folder, texts):
+    df = spark.read.parquet(f"{folder}/documents.parquet")
+    assert counts_of(Q.quality_verdicts(df)) == {i: expected(t) for i, t in texts.items()}
+
+
+def corpus(spark, n, junk):
+    """n clean documents in two sources; every ``junk``-th one is full of symbols."""
+    rows = []
+    for i in range(n):
+        words = [f"w{(i * 31 + k * 17) % 997}" for k in range(60)]
+        if i % junk == 0:
+            words = [w + "###" for w in words]
+        rows.append((i, " ".join(words), "en" if i % 2 else None, f"s{i % 2}" if i % 3 else None))
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+
+
+def test_fences_reject_the_odd_ones(spark):
+    found = {r.doc_id: r.kept for r in Q.quality_verdicts(corpus(spark, 600, 25), min_rows=50).collect()}
+    assert len(found) == 600
+    assert found == {i: i % 25 != 0 for i in range(600)}
+
+
+def test_small_strata_take_wider_fences(spark):
+    # Each stratum is smaller than the limit, so the whole corpus decides.
+    found = Q.quality_verdicts(corpus(spark, 120, 10), min_rows=10_000).collect()
+    assert {r.doc_id for r in found if not r.kept} == set(range(0, 120, 10))
+
+
+def test_filter_keeps_rows_and_columns(spark, documents):
+    df = documents([(i, " ".join(f"w{(i + k) % 99}" for k in range(40))) for i in range(30)] * 2)
+    kept = Q.filter_documents(df)
+    assert kept.columns == df.columns
+    assert kept.count() == 60
+
+
+def test_empty_table(documents):
+    assert Q.quality_verdicts(documents([])).collect() == []
+    assert Q.filter_documents(documents([])).collect() == []
+
+
+def test_no_python_in_the_plan(spark, folder):
+    plan = Q.quality_verdicts(spark.read.parquet(f"{folder}/documents.parquet"))
+    assert "Python" not in plan._jdf.queryExecution().toString()
