@@ -32,17 +32,19 @@ def test_summed_together_takes_null_as_zero_on_each_side(spark):
     assert [tuple(r) for r in A.summed_together(df, "g", {"x": ["e", "c"]}).collect()] == [("a", 3.0)]
 
 
-@pytest.mark.parametrize("max_bytes", [J.BROADCAST_BYTES, -1])
-def test_null_keys_match_only_if_asked(spark, max_bytes):
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_null_keys_match_only_if_asked(spark, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     dim = spark.createDataFrame([("x", "s"), (None, "t")], "PROVIDER_NUM string, STATE string")
     fact = spark.createDataFrame([("x", "u"), (None, "v")], "PROVNUM string, STATE string")
-    plain = metrics.provider_frame(dim, fact, max_bytes=max_bytes)
+    plain = metrics.provider_frame(dim, fact)
     assert plain.columns == ["PROVIDER_NUM", "STATE_bed", "PROVNUM", "STATE_staff"]
     assert [tuple(r) for r in plain.collect()] == [("x", "s", "x", "u")]
-    assert metrics.provider_frame(dim, fact, null_safe=True, max_bytes=max_bytes).count() == 2
+    assert metrics.provider_frame(dim, fact, null_safe=True).count() == 2
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_repeated_provider_multiplies_its_days_in_both_strategies(spark):
+def test_repeated_provider_multiplies_its_days(spark):
     hours = ", ".join(f"{h} double" for pair in metrics.ROLE_HOURS.values() for h in pair)
     dim = spark.createDataFrame(
         [("x", "T", "s"), ("x", "T", "s"), ("y", "U", "s"), ("z", "T", None)],
@@ -52,17 +54,28 @@ def test_repeated_provider_multiplies_its_days_in_both_strategies(spark):
         [("x", *[1.0] * 16), ("x", *[None] * 16), ("y", *[9.0] * 16), ("z", *[5.0] * 16)],
         f"PROVNUM string, {hours}",
     )
-    for max_bytes in (J.BROADCAST_BYTES, -1):
-        found = metrics.staff_hours_by_state(dim, fact, "T", max_bytes).collect()
-        assert [tuple(r) for r in found] == [("s", *[4.0] * 8)]
+    found = metrics.staff_hours_by_state(dim, fact, "T").collect()
+    assert [tuple(r) for r in found] == [("s", *[4.0] * 8)]
 
 
-def test_measured_size_counts_text(spark):
-    df = spark.createDataFrame([("abc", 1), (None, 2)], "s string, i int")
-    assert J.measured_bytes(df) == 2 * (16 + 16 + 8) + 3
-    nested = df.select(F.array("s", "s").alias("a"))
-    assert J.measured_bytes(nested) > 2 * 32 + 6
-    assert J.measured_bytes(df.filter("i > 5")) == 0
+def test_names_that_differ_in_case_clash(spark):
+    dim = spark.createDataFrame([("x", "s")], "PROVIDER_NUM string, state string")
+    fact = spark.createDataFrame([("x", "u")], "PROVNUM string, STATE string")
+    joined = metrics.provider_frame(dim, fact)
+    assert joined.columns == ["PROVIDER_NUM", "state_bed", "PROVNUM", "STATE_staff"]
+    assert [tuple(r) for r in joined.collect()] == [("x", "s", "x", "u")]
+
+
+def test_no_job_runs_while_frames_are_built(spark, folder):
+    from wardframe.checks.queries import QUERIES
+
+    spark.sparkContext.setJobGroup("building", "frames")
+    for name in ("provider_join", "staff_hours_by_state", "repeated_rows", "duplicate_rows"):
+        QUERIES[name](spark, folder)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext.setJobGroup("tests", "other")
+    # Reading a Parquet footer for its schema is all there is.
+    assert len(jobs) <= 4 * 4
 
 
 def plan_of(df):
@@ -85,7 +98,7 @@ def test_a_large_dimension_is_shuffled_and_its_hot_key_split(spark):
         dim = spark.range(1000).select(F.col("id").cast("string").alias("PROVIDER_NUM"))
         key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).cast("string")
         fact = spark.range(0, 200_000, 1, 16).select(key.alias("PROVNUM"), "id")
-        joined = metrics.provider_frame(dim, fact, max_bytes=-1)
+        joined = metrics.provider_frame(dim, fact)
         assert "SortMergeJoin(skew=true) [PROVNUM" in plan_of(joined)  # streams the fact
         assert joined.count() == 200_000
     finally:

@@ -21,7 +21,7 @@ def long(spark, values, column="v"):
     return spark.createDataFrame([(v,) for v in values], f"{column} double")
 
 
-@pytest.mark.parametrize("limit, bins", [(1_000_000, 1024), (5, 4), (1, 2)])
+@pytest.mark.parametrize("limit, accuracy", [(1_000_000, 2000), (5, 10), (1, 4)])
 @pytest.mark.parametrize(
     "values",
     [
@@ -33,10 +33,10 @@ def long(spark, values, column="v"):
         list(np.random.default_rng(7).lognormal(0, 4, 500)),
     ],
 )
-def test_quantiles_are_exact_however_often_they_narrow(spark, values, limit, bins):
+def test_quantiles_are_exact_however_often_they_narrow(spark, values, limit, accuracy):
     probabilities = [0.0, 0.25, 0.5, 0.75, 0.99, 1.0]
     df = long(spark, [None if v is None else float(v) for v in values]).repartition(3)
-    found = Q.column_quantiles(df, ["v"], probabilities, limit=limit, bins=bins)["v"]
+    found = Q.column_quantiles(df, ["v"], probabilities, limit=limit, accuracy=accuracy)["v"]
     known = [v for v in values if v is not None and not math.isnan(v)]
     assert found == pytest.approx(list(np.quantile(known, probabilities)), rel=1e-12)
 
@@ -45,7 +45,7 @@ def test_quantiles_are_exact_however_often_they_narrow(spark, values, limit, bin
 @given(st.lists(st.floats(-1e6, 1e6, allow_nan=False, width=32), min_size=1, max_size=60))
 def test_quantiles_of_any_values(spark, values):
     df = long(spark, [float(v) for v in values])
-    found = Q.column_quantiles(df, ["v"], Q.QUARTILES, limit=4, bins=3)["v"]
+    found = Q.column_quantiles(df, ["v"], Q.QUARTILES, limit=4, accuracy=5)["v"]
     assert found == pytest.approx(list(np.quantile(values, Q.QUARTILES)), rel=1e-9, abs=1e-9)
 
 
@@ -53,7 +53,7 @@ def test_quantiles_of_several_columns_and_of_nothing(spark):
     df = spark.range(1, 2001).select(
         "id", (F.col("id") % 7).alias("m"), F.lit(None).cast("double").alias("none")
     )
-    rows = Q.quantiles(df, limit=50, bins=8).collect()
+    rows = Q.quantiles(df, limit=50, accuracy=40).collect()
     found = {(r["column"], r.probability): r["value"] for r in rows}
     pdf = df.toPandas()
     assert found["id", 0.25] == pdf.id.quantile(0.25)
@@ -62,11 +62,39 @@ def test_quantiles_of_several_columns_and_of_nothing(spark):
     assert found["none", 0.25] is None
 
 
-def test_infinite_values_are_refused_where_they_cannot_be_binned(spark):
-    df = long(spark, [1.0, 2.0, float("inf")])
-    assert Q.column_quantiles(df, ["v"], [0.5])["v"] == [2.0]
+@pytest.mark.parametrize("limit", [1, 50, 1_000_000])
+@pytest.mark.parametrize("endless", [float("inf"), -float("inf")])
+def test_infinite_values_are_refused_at_any_size(spark, limit, endless):
+    df = long(spark, [1.0, 2.0, endless] + [float(i) for i in range(200)])
     with pytest.raises(ValueError, match="infinite"):
-        Q.column_quantiles(df, ["v"], [0.5], limit=1)
+        Q.column_quantiles(df, ["v"], [0.5], limit=limit)
+    with pytest.raises(Exception, match="infinite"):
+        H.histogram(df, ["v"], 10).collect()
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        10.0 ** np.random.default_rng(1).uniform(-150, 150, 20_000),
+        np.random.default_rng(2).uniform(0, 1, 20_000),
+        np.concatenate([np.full(12_000, 3.0), np.random.default_rng(3).lognormal(0, 9, 8_000)]),
+    ],
+)
+def test_rounds_follow_the_number_of_values_only(spark, values, monkeypatch):
+    rounds = []
+    narrow = Q._narrow
+    monkeypatch.setattr(Q, "_narrow", lambda *args: rounds.append(1) or narrow(*args))
+    df = long(spark, [float(v) for v in values])
+    found = Q.column_quantiles(df, ["v"], Q.QUARTILES, limit=100)["v"]
+    assert found == pytest.approx(list(np.quantile(values, Q.QUARTILES)), rel=1e-12)
+    assert len(rounds) <= 2
+
+
+def test_an_empty_list_means_no_column(spark):
+    df = long(spark, [1.0])
+    assert P.null_counts(df, ["v"]).count() == 1
+    assert Q.column_quantiles(df, [], Q.QUARTILES) == {}
+    assert Q.outlier_flags(df, []).collect() == df.collect()
 
 
 def test_outliers_match_pandas(spark):
@@ -164,12 +192,11 @@ def hot(spark, n=3000):
     )
 
 
-@pytest.mark.parametrize("max_bytes", [D.BROADCAST_BYTES, -1])
-def test_copies_of_a_hot_row(spark, max_bytes):
+def test_copies_of_a_hot_row(spark):
     df = hot(spark).union(spark.createDataFrame([(5, "x"), (5, "x"), (5, "y")], "k long, s string"))
-    found = sorted(map(tuple, D.repeated_rows(df, max_bytes).collect()))
+    found = sorted(map(tuple, D.repeated_rows(df).collect()))
     assert found == [(-1, None, 1000), (5, "x", 2)]
-    copies = D.extra_copies(df, max_bytes, block=64)
+    copies = D.extra_copies(df, block=64)
     assert copies.columns == df.columns
     pdf = df.toPandas()
     assert copies.count() == pdf.duplicated().sum()
@@ -193,3 +220,44 @@ def test_repeated_keys_take_null_as_a_value(spark):
     assert D.has_repeated_keys(df, ["a"]).first().has_duplicates
     assert not D.has_repeated_rows(df.filter("a = 2")).first().has_duplicates
     assert D.has_repeated_rows(df).first().has_duplicates
+
+
+def test_an_exploration_reads_the_table_a_few_times(spark, folder):
+    from wardframe.checks import derived
+    from wardframe.plans import profiling
+
+    raw = derived.fact_raw(spark, folder)
+    n_rows, seen = raw.count(), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    counted = raw.mapInArrow(count, raw.schema)
+    frames = profiling.profile_fact(counted)
+    for df in frames.values():
+        df.collect()
+    # One for the summary, two for the quartiles, two for repeated rows, one for each other frame.
+    assert seen.value <= 10 * n_rows
+
+
+def test_distinct_counts_scan_once_whatever_the_types(spark):
+    df = spark.createDataFrame(
+        [(1, 1.0, "a", [1], b"x"), (1, -0.0, None, [1], b"y"), (2, 0.0, "a", None, b"x"), (2, NAN, "b", [2], b"x")],
+        "i int, d double, s string, a array<int>, b binary",
+    )
+    found = P.distinct_counts(df)
+    assert {r["column"]: r.n_distinct for r in found.collect()} == {"i": 2, "d": 2, "s": 2, "a": 2, "b": 2}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LocalRelation") + plan.count("LogicalRDD") == 1
+
+
+def test_a_partitioned_table_is_few_files(spark, tmp_path):
+    from wardframe.sources import write_table
+
+    df = spark.range(0, 8000, 1, 8).selectExpr("id", "id % 40 AS month")
+    write_table(df, f"{tmp_path}/t", partition_by=["month"])
+    files = list((tmp_path / "t").rglob("*.parquet"))
+    assert len(files) <= 2 * 40
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 8000

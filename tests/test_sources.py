@@ -78,10 +78,60 @@ def test_header_in_another_charset_or_with_a_mark(spark, write):
 def test_duplicate_headers(spark, write):
     path = write("a.csv", "﻿a,A,b,a\n1,2,3,4\n")
     assert sources.header_names(spark, path) == ["a", "A", "b", "a"]
-    assert [tuple(r) for r in sources.duplicate_headers(spark, path).collect()] == [("a", 3, 0)]
+    found = sources.duplicate_headers(spark, path).collect()
+    assert [tuple(r)[1:] for r in found] == [("a", 3, 0)]
     assert sources.header_names(spark, write("empty.csv", "")) == []
 
 
+def test_duplicate_headers_of_every_file_in_its_charset(spark, write, tmp_path):
+    write("d/a.csv", "a,b\n1,2\n", "cp1252")
+    write("d/b.csv", "a,A\n1,2\n", "cp1252")
+    write("d/c.csv", "x,café,CAFÉ\n1,2,3\n", "cp1252")
+    found = sources.duplicate_headers(spark, f"{tmp_path}/d", encoding="windows-1252").collect()
+    names = sorted((r.file[-5:], r.name, r.first_position) for r in found)
+    assert names == [("b.csv", "a", 0), ("c.csv", "café", 1)]
+    assert sources.header_names(spark, f"{tmp_path}/d/c.csv", "cp1252") == ["x", "café", "CAFÉ"]
+
+
+def test_rejects_do_not_depend_on_the_columns_used(spark, write):
+    path = write("a.csv", "s,n,m\na,1,2\nb,x,3\nc,4,y\n")
+    kinds = typed(n=T.IntegerType(), m=T.IntegerType())
+    df = sources.read_csv(spark, path, kinds, rejects="bad")
+    assert df.select("s", "bad").filter("bad IS NOT NULL").count() == 2
+    assert tuple(df.selectExpr("count(*)", "count(bad)", "count(s)").first()) == (3, 2, 3)
+    assert [r.bad for r in df.select("bad").collect()] == [None, "b,x,3", "c,4,y"]
+
+
+def test_missing_tokens_in_every_column(spark, write):
+    path = write("a.csv", "s,n\nNA,1\nnull,N/A\nx,NaN\n")
+    df = sources.read_csv(spark, path, typed(n=T.DoubleType()), rejects="bad", missing=sources.MISSING_TOKENS)
+    assert [tuple(r) for r in df.collect()] == [(None, 1.0, None), (None, None, None), ("x", None, None)]
+
+
+def test_records_that_span_lines(spark, write, tmp_path):
+    path = write("m/a.csv", 's,n\n"x\ny",1\n"a ""q""\n\n,b",2\n')
+    df = sources.read_csv(spark, path, typed(n=T.IntegerType()), multi_line=True)
+    assert [tuple(r) for r in df.collect()] == [("x\ny", 1), ('a "q"\n\n,b', 2)]
+    with pytest.raises(Exception, match="span lines"):
+        sources.sweep_csv(spark, f"{tmp_path}/m").collect()
+    assert sources.sweep_csv(spark, f"{tmp_path}/m", multi_line=True).first().n_rows == 2
+
+
+def test_unknown_charsets_are_refused(spark, write):
+    path = write("a.csv", "k\n1\n")
+    for name in ("no-such-charset", "shift_jis"):
+        with pytest.raises(ValueError, match="charset"):
+            sources.read_csv(spark, path, typed(), encoding=name)
+
+
+def test_the_head_of_a_file_takes_no_sort(spark, write, tmp_path):
+    write("h/a.csv", "k\n1\n2\n")
+    heads = sources.sweep_heads(spark, f"{tmp_path}/h", 2)
+    assert sorted((r.line, r.value) for r in heads.collect()) == [(1, "1"), (2, "2")]
+    plan = heads._jdf.queryExecution().optimizedPlan().toString()
+    assert "value" not in "".join(x for x in plan.splitlines() if "Sort" in x or "Window" in x)
+
+
 def test_sweep_reads_each_file_with_its_own_header(spark, write, tmp_path):
     write("s/a.csv", "﻿k,\"x, y\",z\r\n1,2,3\r\n4,5,6\r\n\r\n")
     write("s/deep/b.csv", "only\n" + "".join(f"{i}\n" for i in range(20)))
@@ -116,17 +166,24 @@ def test_manifest_tells_files_apart(spark, write, tmp_path):
     write("m/b.csv", "1\n2\n")
     write("m/c.csv", "1\n3\n")
     write("m/d.csv", "1\r\n2\n")
-    write("m/e.csv", "")  # not listed
-    rows = {r.file_name: r for r in sources.manifest(spark, f"{tmp_path}/m").collect()}
-    assert {n: (r.n_bytes, r.n_lines) for n, r in rows.items()} == {
-        "a.csv": (4, 2),
-        "b.csv": (4, 2),
-        "c.csv": (4, 2),
-        "d.csv": (5, 2),
+    write("m/e.csv", "")
+    write("m/f.csv", "2\n1\n")
+    expected = [("facts", "a.csv"), ("facts", "/e.csv"), ("dims", "never.csv")]
+    found = sources.manifest(spark, f"{tmp_path}/m", expected=expected).collect()
+    rows = {r.file_name: r for r in found}
+    assert {n: (r.source, r.landed, r.n_bytes, r.n_lines) for n, r in rows.items()} == {
+        "a.csv": ("facts", True, 4, 2),
+        "b.csv": (None, True, 4, 2),
+        "c.csv": (None, True, 4, 2),
+        "d.csv": (None, True, 5, 2),
+        "e.csv": ("facts", True, 0, 0),
+        "f.csv": (None, True, 4, 2),
+        "never.csv": ("dims", False, None, None),
     }
-    prints = {n: (r.hash_sum, r.hash_xor) for n, r in rows.items()}
+    prints = {n: (r.hash_sum, r.hash_order) for n, r in rows.items()}
     assert prints["a.csv"] == prints["b.csv"]
-    assert len({prints[n] for n in ("a.csv", "c.csv", "d.csv")}) == 3
+    assert prints["a.csv"][0] == prints["f.csv"][0]
+    assert len({prints[n] for n in ("a.csv", "c.csv", "d.csv", "f.csv")}) == 4
 
 
 def test_parquet_round_trip_and_parts(spark, tmp_path):

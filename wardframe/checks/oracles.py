@@ -126,6 +126,7 @@ HOURS_LONG = _union(
 FACT_NUMBERS = ["COUNTY_FIPS", "WorkDate", "MDScensus"] + [c for c in FACT_RAW if c[:4] == "Hrs_"]
 FACT_TEXTS = [c for c in FACT_RAW if c not in FACT_NUMBERS]
 DIM_NUMBERS = list(S.DIM_COLUMNS)[6:]
+COUNTED_FACT = ["PROVNAME", "CITY", "STATE", "COUNTY_NAME", "MDScensus", "WorkDate"]
 
 
 def _quartiles(table: str, columns: Sequence[str]) -> str:
@@ -158,8 +159,53 @@ def _outliers(table: str, columns: Sequence[str]) -> str:
     )
 
 
+def _profile(
+    table: str,
+    columns: Sequence[str],
+    numbers: Sequence[str],
+    keys: Sequence[str],
+    counted: Sequence[str],
+    bins: int,
+) -> str:
+    """The exploration of a table in long form."""
+
+    def row(frame: str, item: str, measure: str, value: str, source: str = table) -> str:
+        return f"""SELECT '{frame}' AS frame, '{item}' AS item, '{measure}' AS measure,
+            CAST({value} AS DOUBLE) AS value FROM {source}"""
+
+    names = ", ".join(f'"{c}"' for c in columns)
+    some_missing = " OR ".join(f'"{c}" IS NULL' for c in columns)
+    found = [
+        row("shape", "table", "n_rows", "count(*)"),
+        row("shape", "table", "n_columns", str(len(columns)), "(SELECT 1)"),
+        row("any_missing", "table", "any", f"coalesce(bool_or({some_missing}), false)"),
+        row(
+            "duplicate_rows",
+            "table",
+            "n",
+            "coalesce(sum(n - 1), 0)",
+            f"(SELECT count(*) AS n FROM {table} GROUP BY {names})",
+        ),
+        row("repeated_keys", "table", "n", "count(*)", f"({_repeated(table, keys)})"),
+    ]
+    for c in columns:
+        found.append(row("info", c, "n_present", f'count("{c}")'))
+        found.append(row("missing", c, "n_missing", f'count(*) - count("{c}")'))
+    found += [row("distinct", c, "n_distinct", f'count(DISTINCT "{c}")') for c in dict.fromkeys(counted)]
+    for c in numbers:
+        found.append(
+            f"""SELECT 'histogram', "column", CAST(bin AS VARCHAR), CAST(n AS DOUBLE)
+            FROM ({_histogram(table, c, bins)})"""
+        )
+        found.append(
+            f"""SELECT 'outliers', "column", 'n_outliers', CAST(n_outliers AS DOUBLE)
+            FROM ({_outliers(table, [c])})"""
+        )
+    return _union(found)
+
+
 def _flag(column: str) -> str:
-    bounds = _fences("fact_staff", column)
+    bounds = _fences("fact_raw", column)
     return f"""coalesce({column} < (SELECT lo FROM {bounds})
         OR {column} > (SELECT hi FROM {bounds}), false) AS {column}"""
 
@@ -299,15 +345,17 @@ _BODIES = {
     "quartiles_orders": _quartiles("orders", ["o_orderkey", "o_custkey", "o_totalprice"]),
     "iqr_outliers": _outliers("fact_raw", FACT_NUMBERS),
     "iqr_outliers_events": _outliers("events", ["event_id", "user_id", "value"]),
-    "outlier_flags": f"""SELECT PROVNUM, WORKDATE, {_flag("HRS_RN_CTR")}, {_flag("STAFF_RATIO_RN")}
-        FROM fact_staff""",
+    "outlier_flags": f"""SELECT {", ".join(FACT_TEXTS)}, {", ".join(map(_flag, FACT_NUMBERS))}
+        FROM fact_raw""",
     "histogram_fact": _union([_histogram("fact_raw", c, 46) for c in FACT_NUMBERS]),
     "histogram_dates": _histogram("fact_raw", "WorkDate", 231),
     "histogram_dim": _union([_histogram("dim_raw", c, 50) for c in DIM_NUMBERS]),
     "duplicate_rows": """SELECT text, lang, source, n_chars FROM
         (SELECT *, row_number() OVER (PARTITION BY text, lang, source, n_chars) AS rn FROM documents)
         WHERE rn > 1""",
-    "repeated_rows": _repeated("fact_raw", ["PROVNUM", "WorkDate", "MDScensus"]),
+    "repeated_rows": _repeated(
+        "(SELECT * FROM fact_raw UNION ALL SELECT * FROM fact_raw WHERE MDScensus % 7 = 0)", list(FACT_RAW)
+    ),
     "has_duplicate_rows": _has_repeated("fact_raw", list(FACT_RAW)),
     "key_uniqueness": _repeated("fact_raw", ["PROVNUM", "WorkDate"]),
     "has_duplicate_keys": _has_repeated("fact_raw", ["PROVNUM", "WorkDate"]),
@@ -330,18 +378,46 @@ _BODIES = {
         ]
     ),
     "csv_roundtrip": "SELECT * FROM fact_raw",
-    "csv_rejects": """SELECT count(*) AS n_rows, count(*) FILTER (COUNTY_FIPS = 7) AS n_rejected,
-        count(MDScensus) FILTER (COUNTY_FIPS <> 7) AS n_census FROM fact_raw""",
+    "csv_rejects": _union(
+        [
+            f"""SELECT '{beside}' AS beside, count(*) AS n_rows,
+            count(*) FILTER (COUNTY_FIPS = 7) AS n_rejected, {values} AS n_values FROM fact_raw"""
+            for beside, values in (
+                ("census", "count(MDScensus) FILTER (COUNTY_FIPS <> 7)"),
+                ("rejects alone", "CAST(0 AS INT)"),
+                ("another column", "count(STATE)"),
+            )
+        ]
+    ),
+    "csv_missing_tokens": """SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE s_name END AS name,
+        CAST(CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE s_nationkey END AS INT) AS nation FROM supplier""",
+    "csv_multi_line": """SELECT c_custkey, concat(c_name, chr(10), '"', c_mktsegment, '", ', chr(10), c_custkey)
+        AS c_label FROM customer""",
     "csv_inferred": "SELECT * FROM dim_raw",
     "csv_charset": """SELECT c_custkey, concat(c_name, ' – café ', c_mktsegment) AS c_label
         FROM customer""",
     "csv_sweep": f"""SELECT 'fact' AS dataset, count(*) AS n_rows,
         CAST({len(FACT_RAW)} AS BIGINT) AS n_columns, '{"|".join(FACT_RAW)}' AS columns FROM fact_raw
         UNION ALL SELECT 'dim', count(*), {len(DIM_RAW)}, '{"|".join(DIM_RAW)}' FROM dim_raw""",
-    "bronze_manifest": """SELECT 'fact' AS dataset, count(*) AS n_lines, true AS filled FROM fact_raw
-        UNION ALL SELECT 'dim', count(*), true FROM dim_raw""",
-    "duplicate_header_names": """SELECT 'state' AS name, count(*) AS occurrences,
-        CAST(0 AS INT) AS first_position FROM (VALUES (1), (2))""",
+    "csv_heads": f"""SELECT place, CAST(line AS INT) AS line, concat(number, ',', name) AS value FROM (
+        SELECT coalesce("State", 'none') AS place, "{CCN}" AS number, "Provider Name" AS name,
+               row_number() OVER (PARTITION BY coalesce("State", 'none') ORDER BY "{CCN}") AS line
+        FROM dim_raw) WHERE line <= 3""",
+    "bronze_manifest": """SELECT d.*, CASE WHEN landed THEN (SELECT count(*) FROM dim_raw) END AS n_lines
+        FROM (VALUES ('first', NULL, true, true, true, true), ('second', NULL, true, true, true, true),
+                     ('turned', NULL, true, true, true, false), ('missing', 'providers', false, NULL, NULL, NULL))
+             AS d (dataset, source, landed, same_bytes, same_lines, same_order)""",
+    "duplicate_header_names": """SELECT n_regionkey, lower(initial) AS name, count(*) AS occurrences,
+        CAST(min(pos) AS INT) AS first_position FROM (
+            SELECT CAST(n_regionkey AS INT) AS n_regionkey, substr(n_name, 1, 1) AS initial,
+                   row_number() OVER (PARTITION BY n_regionkey ORDER BY n_name) - 1 AS pos FROM nation)
+        GROUP BY 1, 2 HAVING count(*) > 1""",
+    "partitioned_sink": """SELECT CAST(WorkDate // 10000 AS INT) AS y, CAST(WorkDate // 100 % 100 AS INT) AS m,
+        count(*) AS n, CAST(sum(MDScensus) AS BIGINT) AS residents FROM fact_raw GROUP BY 1, 2""",
+    "profile_fact": _profile(
+        "fact_raw", list(FACT_RAW), FACT_NUMBERS, ["PROVNUM", "WorkDate"], [*COUNTED_FACT, *FACT_TEXTS], 46
+    ),
+    "profile_dim": _profile("dim_raw", list(DIM_RAW), DIM_NUMBERS, [CCN], [CCN, "Provider Type"], 50),
     "full_run": _union(
         [
             f"SELECT '{t}' AS table_name, count(*) AS n_rows, CAST({n} AS BIGINT) AS n_columns FROM {t}"

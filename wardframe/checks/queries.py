@@ -10,14 +10,16 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardframe import schema as S
 from wardframe.checks import derived
 from wardframe.operators import columns as C
 from wardframe.operators import duplicates, histogram, profile, quantiles, rows
-from wardframe.plans import gold, metrics, pipeline, quality, silver
+from wardframe.plans import gold, metrics, pipeline, profiling, quality, silver
 from wardframe.session import scratch_path
 from wardframe.sources import (
+    MISSING_TOKENS,
     duplicate_headers,
     join_path,
     manifest,
@@ -235,9 +237,8 @@ def staff_hours_by_state(spark, folder):
 
 @query
 def staff_hours_presummed(spark, folder):
-    hours = metrics.staff_hours_by_state(
-        _bed(spark, folder), _staff(spark, folder), PROVIDER_TYPE, max_bytes=-1
-    )
+    """The form with many providers; there is only one form now."""
+    hours = metrics.staff_hours_by_state(_bed(spark, folder), _staff(spark, folder), PROVIDER_TYPE)
     return rounded(hours, SUM_DIGITS, *S.ROLES)
 
 
@@ -390,8 +391,7 @@ def iqr_outliers_events(spark, folder):
 
 @query
 def outlier_flags(spark, folder):
-    staff = _staff(spark, folder).select("PROVNUM", "WORKDATE", "HRS_RN_CTR", "STAFF_RATIO_RN")
-    return quantiles.outlier_flags(staff)
+    return quantiles.outlier_flags(derived.fact_raw(spark, folder))
 
 
 @query
@@ -419,8 +419,9 @@ def duplicate_rows(spark, folder):
 
 @query
 def repeated_rows(spark, folder):
-    days = C.select_columns(derived.fact_raw(spark, folder), ["PROVNUM", "WorkDate", "MDScensus"])
-    return duplicates.repeated_rows(days)
+    """Whole work days, some of which were delivered twice."""
+    fact = derived.fact_raw(spark, folder)
+    return duplicates.repeated_rows(fact.unionByName(fact.filter("MDScensus % 7 = 0")))
 
 
 @query
@@ -465,17 +466,48 @@ def csv_roundtrip(spark, folder):
 
 @query
 def csv_rejects(spark, folder):
-    """Rows whose census is no number, found while reading with declared types."""
+    """Records whose census is no number, counted beside other columns, or none."""
     unreadable = F.col("COUNTY_FIPS") == 7
     census = F.when(unreadable, "n/a").otherwise(F.col("MDScensus").cast("string"))
     raw = derived.fact_raw(spark, folder).withColumn("MDScensus", census)
     path = _write_csv(raw, scratch_path(spark, "rejects"))
     read = read_csv(spark, path, S.fact_type, rejects="rejected")
-    return read.agg(
-        F.count("*").alias("n_rows"),
-        F.count("rejected").alias("n_rejected"),
-        F.count("MDScensus").alias("n_census"),
+    parts = {
+        "census": read.agg(F.count("*"), F.count("rejected"), F.count("MDScensus")),
+        "rejects alone": read.agg(F.count("*"), F.count("rejected"), F.lit(0)),
+        "another column": read.agg(F.count("*"), F.count("rejected"), F.count("STATE")),
+    }
+    names = ("n_rows", "n_rejected", "n_values")
+    return rows.union_parts(
+        [df.toDF(*names).select(F.lit(k).alias("beside"), *names) for k, df in parts.items()]
+    )
+
+
+@query
+def csv_missing_tokens(spark, folder):
+    """Missing values of every column where a file spells them in several ways."""
+    tokens = F.array(*[F.lit(t) for t in MISSING_TOKENS])
+    at = F.pmod(F.col("s_suppkey"), F.lit(len(MISSING_TOKENS))).cast("int")
+    providers = derived.table(spark, folder, "supplier").select(
+        "s_suppkey",
+        F.when(F.col("s_suppkey") % 3 == 0, F.get(tokens, at)).otherwise(F.col("s_name")).alias("name"),
+        F.when(F.col("s_suppkey") % 4 == 0, F.get(tokens, at))
+        .otherwise(F.col("s_nationkey").cast("string"))
+        .alias("nation"),
     )
+    path = _write_csv(providers, scratch_path(spark, "tokens"))
+    types = {"s_suppkey": T.LongType(), "name": T.StringType(), "nation": T.IntegerType()}
+    return read_csv(spark, path, types.__getitem__, missing=MISSING_TOKENS)
+
+
+@query
+def csv_multi_line(spark, folder):
+    """Values with line breaks, commas and quotes."""
+    words = F.concat(F.col("c_name"), F.lit('\n"'), F.col("c_mktsegment"), F.lit('", \n'), F.col("c_custkey"))
+    names = derived.table(spark, folder, "customer").select("c_custkey", words.alias("c_label"))
+    path = _write_csv(names, scratch_path(spark, "lines"), escape='"')
+    types = {f.name: f.dataType for f in names.schema}
+    return read_csv(spark, path, types.__getitem__, multi_line=True)
 
 
 @query
@@ -489,9 +521,9 @@ def csv_charset(spark, folder):
     names = derived.table(spark, folder, "customer").select(
         "c_custkey", F.concat("c_name", F.lit(" – café "), "c_mktsegment").alias("c_label")
     )
-    path = scratch_path(spark, "charset")
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    _write_csv(names, path, encoding="windows-1252")
+    # The dash is byte 0x96 of the charset; Latin-1 writes that byte for character 0x96.
+    bytes_of = names.withColumn("c_label", F.translate("c_label", "–", "\x96"))
+    path = _write_csv(bytes_of, scratch_path(spark, "charset"), encoding="iso-8859-1")
     types = {f.name: f.dataType for f in names.schema}
     return read_csv(spark, path, types.__getitem__, encoding="windows-1252")
 
@@ -520,30 +552,87 @@ def csv_sweep(spark, folder):
 
 @query
 def csv_heads(spark, folder):
-    heads = sweep_heads(spark, _raw_folder(spark, folder, header=True), n=5)
-    return heads.select(_dataset("file").alias("dataset"), "line", "value")
+    """The first lines of one sorted file per state."""
+    key = "CMS Certification Number (CCN)"
+    providers = derived.dim_raw(spark, folder).select(
+        F.coalesce("State", F.lit("none")).alias("place"), F.col(f"`{key}`").alias("number"), F.col("`Provider Name`").alias("name")
+    )
+    path = scratch_path(spark, "heads")
+    sorted_files = providers.repartition("place").sortWithinPartitions("place", "number")
+    sorted_files.write.option("header", True).partitionBy("place").csv(path)
+    heads = sweep_heads(spark, path, n=3)
+    place = F.regexp_extract(F.url_decode("file"), "place=([^/]*)/", 1)
+    return heads.select(place.alias("place"), "line", "value")
+
+
+def _fingerprinted(spark: SparkSession, folder: str) -> str:
+    """The providers three times: as they are, once more, and in another order."""
+    base = scratch_path(spark, "landed")
+    key = "CMS Certification Number (CCN)"
+    providers = derived.dim_raw(spark, folder).coalesce(1)
+    for name, order in (("first", F.col(f"`{key}`")), ("second", F.col(f"`{key}`")), ("turned", F.col(f"`{key}`").desc())):
+        _write_csv(providers.sortWithinPartitions(order), join_path(base, name), header=False)
+    return base
 
 
 @query
 def bronze_manifest(spark, folder):
-    files = manifest(spark, _raw_folder(spark, folder, header=False))
-    return files.groupBy(_dataset("path").alias("dataset")).agg(
-        F.sum("n_lines").alias("n_lines"), F.min(F.col("n_bytes") > 0).alias("filled")
+    """Bytes and lines per folder, and whether the fingerprint tells an order from another."""
+    files = manifest(
+        spark,
+        _fingerprinted(spark, folder),
+        expected=[("providers", "missing/never.csv")],
+    ).withColumn("dataset", _dataset("path"))
+    known = F.struct("n_bytes", "hash_sum", "hash_order")
+    first = files.filter("dataset = 'first'").select(known).scalar()
+    return files.withColumn("first", first).select(
+        "dataset",
+        "source",
+        "landed",
+        "n_lines",
+        (F.col("n_bytes") == F.col("first.n_bytes")).alias("same_bytes"),
+        (F.col("hash_sum") == F.col("first.hash_sum")).alias("same_lines"),
+        (F.col("hash_order") == F.col("first.hash_order")).alias("same_order"),
     )
 
 
 @query
 def duplicate_header_names(spark, folder):
-    before = spark.conf.get("spark.sql.caseSensitive")
-    spark.conf.set("spark.sql.caseSensitive", "true")  # to write the clashing header at all
-    try:
-        clashing = derived.dim_raw(spark, folder).select(
-            "State", F.col("`Provider Name`").alias("STATE"), "`City/Town`"
-        )
-        path = _write_csv(clashing, scratch_path(spark, "clash"))
-    finally:
-        spark.conf.set("spark.sql.caseSensitive", before)
-    return duplicate_headers(spark, path)
+    """Initials of the nations of each region as the header of a file."""
+    odd = F.col("n_nationkey") % 2 == 1
+    initial = F.substring("n_name", 1, 1)
+    nations = derived.table(spark, folder, "nation").select(
+        "n_regionkey", F.struct("n_name", F.when(odd, F.lower(initial)).otherwise(initial).alias("initial")).alias("x")
+    )
+    names = F.transform(F.array_sort(F.collect_list("x")), lambda x: x["initial"])
+    headers = nations.groupBy("n_regionkey").agg(F.array_join(names, ",").alias("value"))
+    path = scratch_path(spark, "initials")
+    headers.repartition("n_regionkey").write.partitionBy("n_regionkey").text(path)
+    region = F.regexp_extract("file", "n_regionkey=([0-9]+)", 1).cast("int")
+    found = duplicate_headers(spark, path, pattern="*.txt")
+    return found.select(region.alias("n_regionkey"), "name", "occurrences", "first_position")
+
+
+@query
+def partitioned_sink(spark, folder):
+    """The work days written by month, and each month read back by itself."""
+    path = scratch_path(spark, "months")
+    dated = gold.fact_dates(_silver_fact(spark, folder)).select(
+        "PROVNUM", "MDSCENSUS", F.col("WORKYEAR").alias("y"), F.col("WORKMONTH").alias("m")
+    )
+    write_table(dated, path, partition_by=["y", "m"])
+    back = read_parts(spark, [path])
+    return back.groupBy("y", "m").agg(F.count("*").alias("n"), F.sum("MDSCENSUS").alias("residents"))
+
+
+@query
+def profile_fact(spark, folder):
+    return profiling.long_profile(profiling.profile_fact(derived.fact_raw(spark, folder)))
+
+
+@query
+def profile_dim(spark, folder):
+    return profiling.long_profile(profiling.profile_dim(derived.dim_raw(spark, folder)))
 
 
 def _run_pipeline(spark: SparkSession, folder: str) -> pipeline.GoldTables:

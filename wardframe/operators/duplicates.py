@@ -12,8 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardframe.operators.columns import quoted
-from wardframe.operators.joins import BROADCAST_BYTES, fits_broadcast
-from wardframe.session import checkpointed
 
 # Copies written by one task when counted rows are spelled out again.
 COPIES_PER_BLOCK = 100_000
@@ -30,27 +28,22 @@ def has_repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return repeated_keys(df, keys).agg((F.count("*") > 0).alias("has_duplicates"))
 
 
-def repeated_rows(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def repeated_rows(df: DataFrame) -> DataFrame:
     """Rows that occur more than once, each listed once with its ``copies``.
 
     First 8-byte hashes are counted, then only rows whose hash recurs are
-    compared in full; this spares the shuffle of all rows at full width. The
-    recurring hashes are broadcast if they have been measured to fit.
+    compared in full; this spares the shuffle of all rows at full width.
     """
     row_hash = F.xxhash64(*[quoted(c) for c in df.columns])
-    recurring = checkpointed(
-        df.select(row_hash.alias("_row_hash"))
-        .groupBy("_row_hash")
-        .agg(F.count("*").alias("n"))
-        .filter("n > 1")
-        .select("_row_hash")
-    )
-    if fits_broadcast(recurring, max_bytes):
-        recurring = F.broadcast(recurring)
+    counts = df.select(row_hash.alias("_row_hash")).groupBy("_row_hash").agg(F.count("*").alias("n"))
+    # Another form of the hash: were the counts already dealt out by the key of
+    # the join, the rows of a hot hash could not be split over tasks there.
+    turned = F.bitwise_not("_row_hash").alias("_turned_hash")
+    recurring = counts.filter("n > 1").select(turned)
     suspects = (
-        df.withColumn("_row_hash", row_hash)
-        .join(recurring, "_row_hash", "left_semi")
-        .drop("_row_hash")
+        df.withColumn("_turned_hash", F.bitwise_not(row_hash))
+        .join(recurring, "_turned_hash", "left_semi")
+        .drop("_turned_hash")
     )
     return repeated_keys(suspects, df.columns)
 
@@ -60,9 +53,7 @@ def has_repeated_rows(df: DataFrame) -> DataFrame:
     return repeated_rows(df).agg((F.count("*") > 0).alias("has_duplicates"))
 
 
-def extra_copies(
-    df: DataFrame, max_bytes: int = BROADCAST_BYTES, block: int = COPIES_PER_BLOCK
-) -> DataFrame:
+def extra_copies(df: DataFrame, block: int = COPIES_PER_BLOCK) -> DataFrame:
     """Every row that repeats an earlier one: all copies but the first.
 
     Copies are equal in every column, so it does not matter which one is
@@ -76,7 +67,7 @@ def extra_copies(
     # A stated number of partitions is not merged by their small size in bytes.
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        repeated_rows(df, max_bytes)
+        repeated_rows(df)
         .select(*rows, "copies", F.explode(blocks).alias("_block"))
         .repartition(tasks, "_block", *rows)
         .select(*rows, F.explode(F.sequence(F.lit(1).cast("long"), size)).alias("_copy"))

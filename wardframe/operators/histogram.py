@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,36 +10,56 @@ from pyspark.sql import functions as F
 from wardframe.operators.columns import number, numbers_long, numeric_columns
 
 
-def _range(df: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
+def _range(
+    df: DataFrame, columns: Sequence[str], bins: int, known: Mapping[str, tuple] | None
+) -> DataFrame:
     """One row: per column its lower end, upper end and bin width, as an array.
 
     A column with one value gets a range of 1 around it, an empty one 0 to 1.
+    Infinite values are an error when the query runs.
     """
-    ends = df.agg(
-        *[
-            f(number(c)).alias(f"{end}{i}")
+    if known is None:
+        ends = df.agg(
+            *[
+                f(number(c)).alias(f"{end}{i}")
+                for i, c in enumerate(columns)
+                for end, f in (("lo", F.min), ("hi", F.max))
+            ]
+        )
+    else:
+        values = [
+            F.lit(known[c][at]).cast("double").alias(f"{end}{i}")
             for i, c in enumerate(columns)
-            for end, f in (("lo", F.min), ("hi", F.max))
+            for end, at in (("lo", 1), ("hi", 2))
         ]
-    )
+        ends = df.sparkSession.range(1).select(*values)
     ranges = []
     for i in range(len(columns)):
         least, most = F.col(f"lo{i}"), F.col(f"hi{i}")
+        endless = least.isin(float("inf"), float("-inf")) | most.isin(float("inf"), float("-inf"))
+        message = F.lit(f"infinite values in {columns[i]}; replace them before drawing bins")
+        least = F.when(endless, F.raise_error(message)).otherwise(least)
         single = F.when(least == most, 0.5).otherwise(0.0)
         lo, hi = F.coalesce(least - single, F.lit(0.0)), F.coalesce(most + single, F.lit(1.0))
         ranges.append(F.struct(lo.alias("lo"), hi.alias("hi"), ((hi - lo) / bins).alias("width")))
     return ends.select(F.array(*ranges).alias("ranges"))
 
 
-def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 50) -> DataFrame:
+def histogram(
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    bins: int = 50,
+    ends: Mapping[str, tuple[int, float | None, float | None]] | None = None,
+) -> DataFrame:
     """Rows (column, bin, bin_start, bin_end, n), empty bins included.
 
     A bin holds ``bin_start <= value < bin_end``; the last one also its end.
     Only bin counts are shuffled: at most ``bins`` rows per column and task.
+    ``ends``, as of a table summary, spares the pass that looks for the range.
     """
-    columns = columns or numeric_columns(df)
+    columns = numeric_columns(df) if columns is None else columns
     # A scalar subquery: run once over the table, then a constant of the plan.
-    ranges = _range(df, columns, bins).scalar()
+    ranges = _range(df, columns, bins, ends).scalar()
     series = F.col("series")
     lo, hi, width = (F.element_at(ranges, series + 1)[end] for end in ("lo", "hi", "width"))
 

@@ -3,29 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wardframe.operators.columns import quoted
 
-# A measured side up to this size is broadcast; a larger one is shuffled.
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows of ``df``, from one distributed aggregate over it."""
-    size = F.lit(16)
-    for field in df.schema:
-        size = size + 8
-        if not isinstance(field.dataType, (T.NumericType, T.DatetimeType, T.BooleanType)):
-            text = quoted(field.name).cast("string")
-            size = size + 8 + F.coalesce(F.octet_length(text), F.lit(0))
-    return df.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0]
-
-
-def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
-    return measured_bytes(df) <= max_bytes
-
 
 def join_dimension(
     dim: DataFrame,
@@ -34,21 +14,23 @@ def join_dimension(
     fact_key: str,
     suffixes: tuple[str, str],
     null_safe: bool = False,
-    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Inner join that keeps both keys; other names on both sides get a suffix.
 
-    The dimension is broadcast only after it has been measured. Otherwise both
-    sides are shuffled on the key, where adaptive execution splits a partition
-    that one hot key has made too large. With ``null_safe``, null keys match.
+    Names clash as they do for Spark, in any case. The planner broadcasts a
+    dimension that it knows to be small, also one that turns out so while the
+    query runs. Otherwise both sides are shuffled on the key, where adaptive
+    execution splits a partition that one hot key has made too large. With
+    ``null_safe``, null keys match.
     """
-    clashing = set(dim.columns) & set(fact.columns)
-    dim = dim.withColumnsRenamed({c: c + suffixes[0] for c in clashing})
-    fact = fact.withColumnsRenamed({c: c + suffixes[1] for c in clashing})
-    dim_column = dim[dim_key + suffixes[0] if dim_key in clashing else dim_key]
-    fact_column = fact[fact_key + suffixes[1] if fact_key in clashing else fact_key]
+    clashing = {c.lower() for c in dim.columns} & {c.lower() for c in fact.columns}
+    dim_names = {c: c + suffixes[0] for c in dim.columns if c.lower() in clashing}
+    fact_names = {c: c + suffixes[1] for c in fact.columns if c.lower() in clashing}
+    dim, fact = dim.withColumnsRenamed(dim_names), fact.withColumnsRenamed(fact_names)
+    dim_column = dim[dim_names.get(dim_key, dim_key)]
+    fact_column = fact[fact_names.get(fact_key, fact_key)]
     matches = fact_column.eqNullSafe(dim_column) if null_safe else fact_column == dim_column
     # The fact comes first: a merge join streams its left side and holds the
     # right side's rows of one key in memory, which must not be the hot ones.
-    joined = fact.join(F.broadcast(dim) if fits_broadcast(dim, max_bytes) else dim, matches, "inner")
+    joined = fact.join(dim, matches, "inner")
     return joined.select(*[quoted(c) for c in (*dim.columns, *fact.columns)])

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardframe.functions import all_digits
-from wardframe.operators.columns import quoted
-from wardframe.operators.rows import union_parts
+from wardframe.operators.columns import number, numeric_columns, quoted
 
 
 def is_missing(df: DataFrame, column: str) -> Column:
@@ -30,35 +30,43 @@ def _one_per_column(columns: Sequence[str], results: Sequence[Column]) -> Column
     )
 
 
+def _as_text(df: DataFrame, column: str) -> Column:
+    """A text that is equal for equal values of a column, null where the value is missing."""
+    value, kind = quoted(column), df.schema[column].dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        text = (value + F.lit(0.0).cast(kind)).cast("string")  # -0.0 equals 0.0
+    elif isinstance(kind, T.BinaryType):
+        text = F.hex(value)
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        text = F.to_json(F.struct(value.alias("v")))
+    else:
+        text = value.cast("string")
+    return F.when(~is_missing(df, column), text)
+
+
 def distinct_counts(
     df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False
 ) -> DataFrame:
     """Distinct values per column, missing ones not counted.
 
-    The exact form stacks the columns of one type and shuffles each distinct
-    value of a column once per task; a distinct count per column in one
-    aggregate would carry all columns in every key. The approximate form
+    The exact form stacks all columns as text in one scan and shuffles each
+    distinct value of a column once per task; a distinct count per column in
+    one aggregate would carry all columns in every key. The approximate form
     shuffles a fixed-size sketch per column and task.
     """
-    columns = columns or df.columns
-    present = {c: F.when(~is_missing(df, c), quoted(c)) for c in columns}
+    columns = df.columns if columns is None else columns
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, n_distinct long")
     if approximate:
-        counts = df.agg(
-            *[F.approx_count_distinct(v).alias(f"n{i}") for i, v in enumerate(present.values())]
-        )
+        present = [F.when(~is_missing(df, c), quoted(c)) for c in columns]
+        counts = df.agg(*[F.approx_count_distinct(v).alias(f"n{i}") for i, v in enumerate(present)])
         found = [F.col(f"n{i}").alias("n_distinct") for i in range(len(columns))]
         return counts.select(_one_per_column(columns, found))
-
-    of_type: dict[T.DataType, list[str]] = {}
-    for c in columns:
-        of_type.setdefault(df.schema[c].dataType, []).append(c)
-    parts = []
-    for same in of_type.values():
-        stacked = df.select(*[present[c].alias(c) for c in same]).unpivot(
-            [], [quoted(c) for c in same], "column", "value"
-        )
-        parts.append(stacked.groupBy("column").agg(F.count_distinct("value").alias("n_distinct")))
-    return _every_column(union_parts(parts), columns)
+    stacked = df.select(*[_as_text(df, c).alias(c) for c in columns]).unpivot(
+        [], [quoted(c) for c in columns], "column", "value"
+    )
+    counts = stacked.groupBy("column").agg(F.count_distinct("value").alias("n_distinct"))
+    return _every_column(counts, columns)
 
 
 def _every_column(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -75,7 +83,7 @@ def value_range(df: DataFrame, column: str) -> DataFrame:
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Missing values per column."""
-    columns = columns or df.columns
+    columns = df.columns if columns is None else columns
     counts = df.agg(
         *[F.count_if(is_missing(df, c)).alias(f"n{i}") for i, c in enumerate(columns)]
     )
@@ -119,3 +127,32 @@ def all_keys_numeric(df: DataFrame, key: str) -> DataFrame:
     """One row: whether every key consists of numeric characters."""
     every = F.bool_and(all_digits(quoted(key)))
     return df.agg(F.coalesce(every, F.lit(True)).alias("all_numeric"))
+
+
+@dataclass(frozen=True)
+class Summary:
+    """What one aggregate over a table tells: rows, present values, ends of the numbers."""
+
+    n_rows: int
+    present: dict[str, int]
+    ends: dict[str, tuple[int, float | None, float | None]]  # values, least, greatest
+
+    @property
+    def any_missing(self) -> bool:
+        return any(n < self.n_rows for n in self.present.values())
+
+
+def summary(df: DataFrame) -> Summary:
+    """One pass over ``df``, run now; a few numbers per column reach the driver."""
+    numbers = numeric_columns(df)
+    present = [F.count_if(~is_missing(df, c)).alias(f"n{i}") for i, c in enumerate(df.columns)]
+    ends = [
+        f(number(c)).alias(f"{name}{i}")
+        for i, c in enumerate(numbers)
+        for name, f in (("lo", F.min), ("hi", F.max))
+    ]
+    row = df.agg(F.count("*").alias("rows"), *present, *ends).first()
+    counts = {c: row[f"n{i}"] for i, c in enumerate(df.columns)}
+    return Summary(
+        row["rows"], counts, {c: (counts[c], row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(numbers)}
+    )

@@ -2,10 +2,14 @@
 
 A quantile needs the values at two neighbouring ranks. Sorting a whole column,
 or gathering its distinct values in one aggregate buffer, does not scale. Here
-each pass over the data counts the values of a bracket in equal-width bins and
-keeps only the bin that holds the wanted rank, until so few values are left
-that one task can order them. Every pass shuffles bins or value counts, never
-rows, so that a value holding a third of all rows costs no more than another.
+a mergeable quantile sketch gives two values around each wanted rank, and one
+more pass counts what lies below, at, between and above them. The ranks are
+then in a part that holds a small share of the values, whatever these are, and
+so on until one task can order it. A round is two passes and leaves a few
+thousandths of the values; their number alone decides how many rounds there
+are. Sketches and counts are shuffled, never rows, so that a value holding a
+third of all rows costs no more than another. Infinite values are refused, at
+any size, since no fence or bin could be drawn around them.
 """
 
 from __future__ import annotations
@@ -24,7 +28,8 @@ from wardframe.operators.rows import outside
 
 # Values one task may order at the end; more are narrowed down first.
 VALUES_PER_TASK = 1_000_000
-BINS = 1024
+# A sketch misses a rank by at most the number of values over this.
+SKETCH_ACCURACY = 2000
 
 # The quartiles and the reach of the fences beyond them.
 QUARTILES = (0.25, 0.75)
@@ -71,32 +76,55 @@ def _holds_rank(wanted: Mapping[int, set[int]]) -> Column:
 def _running(counts: DataFrame, order: str) -> DataFrame:
     """Adds ``upto``: values of the bracket up to and including this row.
 
-    A bracket has at most BINS or VALUES_PER_TASK rows here.
+    A bracket has a few parts or at most VALUES_PER_TASK rows here.
     """
     in_bracket = Window.partitionBy("bracket").orderBy(order)
     return counts.withColumn("upto", F.sum("n").over(in_bracket))
 
 
+def _cuts(
+    df: DataFrame, brackets: Sequence[Bracket], wanted: Mapping[int, set[int]], accuracy: int
+) -> list[list[float]]:
+    """One pass: for each bracket values of it a little below and above each wanted rank."""
+    reach = 1.5 / accuracy
+    places = {
+        i: [p for r in wanted[i] for p in ((r + 0.5) / b.inside - reach, (r + 0.5) / b.inside + reach)]
+        for i, b in enumerate(brackets)
+    }
+    asked = sorted({min(max(p, 0.0), 1.0) for ps in places.values() for p in ps})
+    sketched = _bracketed(df, brackets).groupBy("bracket").agg(
+        F.percentile_approx("value", asked, accuracy).alias("at")
+    )
+    found = {row.bracket: dict(zip(asked, row.at)) for row in sketched.collect()}
+    return [
+        sorted({found[i][min(max(p, 0.0), 1.0)] for p in places[i]}) for i in range(len(brackets))
+    ]
+
+
 def _narrow(
-    df: DataFrame, brackets: Sequence[Bracket], wanted: Mapping[int, set[int]], bins: int
+    df: DataFrame, brackets: Sequence[Bracket], wanted: Mapping[int, set[int]], accuracy: int
 ) -> list[Bracket]:
-    """One pass: for each bracket, the bins that hold a wanted rank."""
-    if any(math.isinf(b.lo) or math.isinf(b.hi) for b in brackets):
-        raise ValueError("infinite values; replace them before taking quantiles")
-    # Halved before subtracting, so that the widest range does not overflow.
-    lows = _of_bracket([b.lo / 2 for b in brackets])
-    widths = _of_bracket([b.hi / 2 - b.lo / 2 for b in brackets])
-    part = (F.col("value") / 2 - lows) / widths
+    """One round: for each bracket, the parts between two cuts that hold a wanted rank.
+
+    The parts are counted, so a sketch that misses costs a round, not the result.
+    """
+    cuts = _cuts(df, brackets, wanted, accuracy)
+    most = max(map(len, cuts))
+    part = F.lit(0)
+    for k in range(most):
+        # The last cut again where a bracket has fewer than the others.
+        cut = _of_bracket([c[min(k, len(c) - 1)] for c in cuts])
+        part = part + (F.col("value") > cut).cast("int") + (F.col("value") >= cut).cast("int")
     counts = (
         _bracketed(df, brackets)
-        .groupBy("bracket", F.least(F.floor(part * bins), F.lit(bins - 1)).alias("bin"))
+        .groupBy("bracket", part.alias("part"))
         .agg(
             F.count("*").alias("n"),
             F.min("value").alias("lo"),
             F.max("value").alias("hi"),
         )
     )
-    found = _running(counts, "bin").filter(_holds_rank(wanted)).collect()
+    found = _running(counts, "part").filter(_holds_rank(wanted)).collect()
     return [
         Bracket(
             column=brackets[row.bracket].column,
@@ -110,7 +138,7 @@ def _narrow(
 
 
 def _values_at(
-    df: DataFrame, ranks: Mapping[str, set[int]], whole: Sequence[Bracket], limit: int, bins: int
+    df: DataFrame, ranks: Mapping[str, set[int]], whole: Sequence[Bracket], limit: int, accuracy: int
 ) -> dict[tuple[str, int], float]:
     """The value at each wanted rank (from 0) of each column."""
 
@@ -123,7 +151,7 @@ def _values_at(
     brackets = list(whole)
     while wide := [b for b in brackets if b.inside > limit and b.lo < b.hi]:
         settled = [b for b in brackets if b not in wide]
-        brackets = settled + _narrow(df, wide, wanted_in(wide), bins)
+        brackets = settled + _narrow(df, wide, wanted_in(wide), accuracy)
 
     values = {}
     several = [b for b in brackets if b.lo < b.hi]
@@ -141,38 +169,47 @@ def _values_at(
     return values
 
 
+def _ends(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
+    """Per column the number of values, the least and the greatest."""
+    row = df.agg(
+        *[
+            f(number(c)).alias(f"{name}{i}")
+            for i, c in enumerate(columns)
+            for name, f in (("n", F.count), ("lo", F.min), ("hi", F.max))
+        ]
+    ).first()
+    return {c: (row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(columns)}
+
+
 def column_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
     limit: int = VALUES_PER_TASK,
-    bins: int = BINS,
+    accuracy: int = SKETCH_ACCURACY,
+    ends: Mapping[str, tuple[int, float | None, float | None]] | None = None,
 ) -> dict[str, list[float | None]]:
     """Exact quantiles per column, linear between neighbouring values.
 
     Runs its passes now; what reaches the driver is a few numbers per column.
-    A column without values gives None.
+    A column without values gives None, one with infinite values an error.
+    ``ends`` spares the first pass where the number of values and the least and
+    greatest of each column are known.
     """
     if not columns:
         return {}
-    extent = df.agg(
-        *[
-            f(number(c)).alias(f"{name}{i}")
-            for i, c in enumerate(columns)
-            for name, f in (("n", F.count), ("lo", F.min), ("hi", F.max))
-        ]
-    ).first()
-    whole = [
-        Bracket(c, extent[f"lo{i}"], extent[f"hi{i}"], 0, extent[f"n{i}"])
-        for i, c in enumerate(columns)
-        if extent[f"n{i}"]
-    ]
+    if ends is None:
+        ends = _ends(df, columns)
+    endless = [c for c in columns if any(v is not None and math.isinf(v) for v in ends[c][1:])]
+    if endless:
+        raise ValueError(f"infinite values in {endless}; replace them before taking quantiles")
+    whole = [Bracket(c, ends[c][1], ends[c][2], 0, ends[c][0]) for c in columns if ends[c][0]]
     places = {b.column: [(b.inside - 1) * p for p in probabilities] for b in whole}
     ranks = {
         c: {edge for at in ats for edge in (math.floor(at), math.ceil(at))}
         for c, ats in places.items()
     }
-    values = _values_at(df, ranks, whole, limit, bins) if whole else {}
+    values = _values_at(df, ranks, whole, limit, accuracy) if whole else {}
 
     def between(column: str, at: float) -> float:
         low, high = values[column, math.floor(at)], values[column, math.ceil(at)]
@@ -188,19 +225,19 @@ def quantiles(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     probabilities: Sequence[float] = QUARTILES,
-    **limits: int,
+    **limits,
 ) -> DataFrame:
     """Rows (column, probability, value); all numeric columns by default."""
-    found = column_quantiles(df, columns or numeric_columns(df), probabilities, **limits)
+    found = column_quantiles(df, numeric_columns(df) if columns is None else columns, probabilities, **limits)
     rows = [(c, float(p), v) for c, vs in found.items() for p, v in zip(probabilities, vs)]
     return df.sparkSession.createDataFrame(rows, "column string, probability double, value double")
 
 
 def fences(
-    df: DataFrame, columns: Sequence[str] | None = None, **limits: int
+    df: DataFrame, columns: Sequence[str] | None = None, **limits
 ) -> dict[str, tuple[float, float]]:
     """Per column the bounds beyond which a value is an outlier; none without values."""
-    found = column_quantiles(df, columns or numeric_columns(df), QUARTILES, **limits)
+    found = column_quantiles(df, numeric_columns(df) if columns is None else columns, QUARTILES, **limits)
     bounds = {}
     for column, (q1, q3) in found.items():
         if q1 is not None:
@@ -216,9 +253,9 @@ def _is_outlier(df: DataFrame, column: str, bounds: Mapping[str, tuple[float, fl
     return ~is_missing(df, column) & outside(quoted(column), *bounds[column])
 
 
-def outlier_flags(df: DataFrame, columns: Sequence[str] | None = None, **limits: int) -> DataFrame:
+def outlier_flags(df: DataFrame, columns: Sequence[str] | None = None, **limits) -> DataFrame:
     """``df`` with each numeric column replaced by whether its value is an outlier."""
-    columns = columns or numeric_columns(df)
+    columns = numeric_columns(df) if columns is None else columns
     bounds = fences(df, columns, **limits)
     return df.select(
         *[
@@ -228,9 +265,9 @@ def outlier_flags(df: DataFrame, columns: Sequence[str] | None = None, **limits:
     )
 
 
-def outlier_counts(df: DataFrame, columns: Sequence[str] | None = None, **limits: int) -> DataFrame:
+def outlier_counts(df: DataFrame, columns: Sequence[str] | None = None, **limits) -> DataFrame:
     """Rows (column, lower, upper, n_outliers): the fences and the values beyond them."""
-    columns = columns or numeric_columns(df)
+    columns = numeric_columns(df) if columns is None else columns
     bounds = fences(df, columns, **limits)
     counts = df.agg(
         *[F.count_if(_is_outlier(df, c, bounds)).alias(f"n{i}") for i, c in enumerate(columns)]

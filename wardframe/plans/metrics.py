@@ -17,19 +17,15 @@ from wardframe.operators.aggregates import (
     summed_together,
 )
 from wardframe.operators.columns import labelled_column
-from wardframe.operators.joins import BROADCAST_BYTES, fits_broadcast, join_dimension
+from wardframe.operators.joins import join_dimension
 from wardframe.operators.rows import first_rows, require_rows, where_equal
 
 ROLE_HOURS = {role: S.hours(role) for role in S.ROLES}
 
 
-def provider_frame(
-    bed: DataFrame, staff: DataFrame, null_safe: bool = False, max_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
+def provider_frame(bed: DataFrame, staff: DataFrame, null_safe: bool = False) -> DataFrame:
     """Providers joined to their work days; STATE becomes STATE_bed and STATE_staff."""
-    return join_dimension(
-        bed, staff, "PROVIDER_NUM", "PROVNUM", ("_bed", "_staff"), null_safe, max_bytes
-    )
+    return join_dimension(bed, staff, "PROVIDER_NUM", "PROVNUM", ("_bed", "_staff"), null_safe)
 
 
 # Report 1 and 2: beds
@@ -85,7 +81,6 @@ def provider_days(
     staff: DataFrame,
     number: str | None = None,
     name: str | None = None,
-    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Work days of the provider with this number, or of all with this name."""
     if (number is None) == (name is None):
@@ -94,7 +89,7 @@ def provider_days(
         chosen = where_equal(bed, "PROVIDER_NUM", number)
     else:
         chosen = where_equal(bed, "PROVIDER_NAME", name)
-    return provider_frame(chosen, staff, max_bytes=max_bytes)
+    return provider_frame(chosen, staff)
 
 
 def daily_census(days: DataFrame) -> DataFrame:
@@ -121,39 +116,26 @@ def provider_report(
     bed: DataFrame, staff: DataFrame, number: str | None = None, name: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Card and daily census of a provider; raises NoRows if it has no work days."""
-    days = require_rows(provider_days(bed, staff, number, name))
-    return provider_card(days), daily_census(days)
+    days = provider_days(bed, staff, number, name)
+    # The card is one row of the same join; it tells whether there is any day.
+    return require_rows(provider_card(days)), daily_census(days)
 
 
 # Report 5: staff hours
 
 
-def staff_hours_by_state(
-    bed: DataFrame, staff: DataFrame, provider_type: str, max_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
+def staff_hours_by_state(bed: DataFrame, staff: DataFrame, provider_type: str) -> DataFrame:
     """Hours per state and role, employees and contractors together, for one type.
 
-    The state is the provider's. If the providers of the type have been
-    measured to fit, they are broadcast and only state totals are shuffled.
-    Otherwise the hours are summed per provider before the join, so that a
-    provider with very many work days is shuffled as one record per task.
+    The state is the provider's. The hours are summed per provider before the
+    join, so that a provider with very many work days is shuffled as one record
+    per task, whether the providers are few or many.
     """
     of_type = where_equal(bed, "PROVIDER_TYPE", provider_type)
     providers = of_type.select("PROVIDER_NUM", F.col("STATE").alias("STATE_bed")).dropna()
-    if fits_broadcast(providers, max_bytes):
-        days = staff.join(
-            F.broadcast(providers), staff["PROVNUM"] == providers["PROVIDER_NUM"], "inner"
-        )
-        totals = summed_together(days, "STATE_bed", ROLE_HOURS)
-    else:
-        # One row of hours per provider: cheap to hold while the other side streams.
-        hours = summed_together(staff, "PROVNUM", ROLE_HOURS)
-        totals = summed_together(
-            providers.join(hours, providers["PROVIDER_NUM"] == hours["PROVNUM"], "inner"),
-            "STATE_bed",
-            {role: [role] for role in S.ROLES},
-        )
-    return totals.orderBy("STATE_bed")
+    hours = summed_together(staff, "PROVNUM", ROLE_HOURS)
+    joined = providers.join(hours, providers["PROVIDER_NUM"] == hours["PROVNUM"], "inner")
+    return summed_together(joined, "STATE_bed", {role: [role] for role in S.ROLES}).orderBy("STATE_bed")
 
 
 def staff_hours_long(

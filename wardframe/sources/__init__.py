@@ -2,6 +2,7 @@
 
 from wardframe.sources.bronze import manifest
 from wardframe.sources.delimited import (
+    MISSING_TOKENS,
     duplicate_headers,
     header_names,
     read_csv,
@@ -12,6 +13,7 @@ from wardframe.sources.delimited import (
 from wardframe.sources.tables import join_path, read_parts, read_table, write_table
 
 __all__ = [
+    "MISSING_TOKENS",
     "duplicate_headers",
     "header_names",
     "join_path",

@@ -5,29 +5,61 @@ from __future__ import annotations
 import csv
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-# Fixed value: charsets Spark reads from CSV without the legacy setting.
+from wardframe.operators.columns import quoted
+
+# Fixed value: charsets Spark reads from CSV by itself.
 SPARK_CHARSETS = ("utf-8", "us-ascii", "iso-8859-1", "utf-16", "utf-16be", "utf-16le", "utf-32")
 
+# Fixed value: texts that stand for a missing value in exported tables.
+MISSING_TOKENS = (
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
 # A comma followed by an even number of quotes, that is, outside any quoted name.
 COMMA_OUTSIDE_QUOTES = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# No file holds this character, so that a line is one value.
+NO_SEPARATOR = "\x01"
 
 
-def header_names(spark: SparkSession, path: str) -> list[str]:
-    """Names in the first line of a CSV file, exactly as written."""
-    first = spark.read.text(path).head(1)
-    if not first:
-        return []
-    return next(csv.reader([first[0][0].lstrip("\ufeff")]))
+class Charset:
+    """How Spark reads a charset: by itself, or as Latin-1 with some characters replaced.
+
+    Any charset of one byte per character whose lower half is ASCII can be read
+    the second way, without a setting of the session.
+    """
+
+    def __init__(self, name: str):
+        self.spark_name, self.read, self.meant = name, "", ""
+        if name.lower() in SPARK_CHARSETS:
+            return
+        try:
+            found = [bytes([b]).decode(name, "replace") for b in range(256)]
+        except LookupError:
+            raise ValueError(f"unknown charset {name}") from None
+        pairs = [bytes([a, b]).decode(name, "replace") for a in range(128, 256) for b in (65, 161, a)]
+        if "".join(found[:128]) != bytes(range(128)).decode("ascii") or {len(p) for p in pairs} != {2}:
+            raise ValueError(f"charset {name} is neither one of {SPARK_CHARSETS} nor of single bytes")
+        self.spark_name = "iso-8859-1"
+        other = [(chr(b), c) for b, c in enumerate(found) if chr(b) != c]
+        self.read, self.meant = ("".join(side) for side in zip(*other)) if other else ("", "")
 
+    def column(self, text: Column) -> Column:
+        return F.translate(text, self.read, self.meant) if self.read else text
 
-def _allow_charset(spark: SparkSession, encoding: str) -> None:
-    if encoding.lower() not in SPARK_CHARSETS:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    def name(self, text: str) -> str:
+        return text.translate(str.maketrans(self.read, self.meant))
+
+
+def _reader(spark: SparkSession, charset: Charset, multi_line: bool) -> DataFrameReader:
+    reader = spark.read.option("header", True).option("encoding", charset.spark_name)
+    # A quote within a quoted value is doubled.
+    return reader.option("escape", '"').option("multiLine", multi_line).option("enforceSchema", False)
 
 
 def read_csv(
@@ -37,104 +69,199 @@ def read_csv(
     encoding: str = "utf-8",
     rejects: str | None = None,
     null_value: str | None = None,
+    missing: Sequence[str] = (),
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with header, in one pass: ``type_of`` names the type of every header column.
 
-    A value that does not fit its type becomes null. With ``rejects``, a text
-    column of that name holds the whole line wherever this happened. Every
-    file of a folder must carry the same header.
+    All columns are read as text and cast in the plan, so what a query uses
+    does not change what it finds. A value that does not fit its type becomes
+    null. With ``rejects``, a text column of that name holds the record wherever
+    this happened in any column. ``null_value`` and each of ``missing`` stand
+    for a missing value in every column.
+
+    Every file of a folder must carry the same header. With ``multi_line``,
+    quoted values may hold line breaks; a file is then one task. Without it,
+    such files are read wrongly; ``sweep_csv`` refuses them.
     """
-    _allow_charset(spark, encoding)
-    reader = spark.read.option("header", True).option("encoding", encoding)
+    charset = Charset(encoding)
+    reader = _reader(spark, charset, multi_line)
     # Without inference this looks at the first line only.
-    fields = [T.StructField(n, type_of(n)) for n in reader.csv(path).columns]
-    reader = reader.option("enforceSchema", False)
-    if null_value is not None:
-        reader = reader.option("nullValue", null_value)
+    names = reader.csv(path).columns
+    raw = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).csv(path)
+    tokens = [*missing, *([] if null_value is None else [null_value])]
+    typed, unfit = [], F.lit(False)
+    for n in names:
+        name, text = charset.name(n), charset.column(quoted(n))
+        if tokens:
+            text = F.when(~text.isin(tokens), text)
+        kind = type_of(name)
+        if not isinstance(kind, T.StringType):
+            value = text.try_cast(kind)
+            unfit = unfit | (text.isNotNull() & (text != "") & value.isNull())
+            text = value
+        typed.append(text.alias(name))
     if rejects:
-        fields.append(T.StructField(rejects, T.StringType()))
-        reader = reader.option("columnNameOfCorruptRecord", rejects)
-    return reader.schema(T.StructType(fields)).csv(path)
+        record = F.to_csv(F.struct(*[charset.column(quoted(n)).alias(n) for n in names]))
+        typed.append(F.when(unfit, record).alias(rejects))
+    return raw.select(*typed)
 
 
 def read_csv_inferred(
-    spark: SparkSession, path: str, keys: Sequence[str] = (), encoding: str = "utf-8"
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str] = (),
+    encoding: str = "utf-8",
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with inferred types, at the price of one more pass over the files.
 
     ``keys`` always stay text, so that a leading zero survives.
     """
-    _allow_charset(spark, encoding)
-    reader = spark.read.option("header", True).option("encoding", encoding)
+    charset = Charset(encoding)
+    reader = _reader(spark, charset, multi_line)
     inferred = reader.option("inferSchema", True).csv(path).schema
     as_text = {k.lower() for k in keys}
     schema = T.StructType(
         [
-            T.StructField(f.name, T.StringType()) if f.name.lower() in as_text else f
+            T.StructField(f.name, T.StringType())
+            if charset.name(f.name).lower() in as_text
+            else f
             for f in inferred
         ]
     )
-    return reader.option("inferSchema", False).schema(schema).csv(path)
+    read = reader.option("inferSchema", False).option("enforceSchema", True).schema(schema).csv(path)
+    return read.select(
+        *[
+            (charset.column(quoted(f.name)) if isinstance(f.dataType, T.StringType) else quoted(f.name)).alias(
+                charset.name(f.name)
+            )
+            for f in schema
+        ]
+    )
 
 
-def duplicate_headers(spark: SparkSession, path: str) -> DataFrame:
-    """Header names that occur more than once, ignoring case, with their count.
+def _lines(spark: SparkSession, folder: str, encoding: str, pattern: str | None) -> DataFrame:
+    """Non-blank lines of the files below ``folder``, numbered in file order.
 
-    Looks at the raw line, since the CSV reader renames clashing columns.
+    Lines of one block have neighbouring numbers.
     """
-    names = header_names(spark, path)
-    schema = "position int, name string"
-    return (
-        spark.createDataFrame(list(enumerate(names)), schema)
-        .groupBy(F.lower("name").alias("name"))
-        .agg(F.count("*").alias("occurrences"), F.min("position").alias("first_position"))
-        .filter("occurrences > 1")
+    charset = Charset(encoding)
+    reader = (
+        spark.read.option("recursiveFileLookup", True)
+        .option("encoding", charset.spark_name)
+        .option("sep", NO_SEPARATOR)
+        .option("quote", "")
+        .option("escape", "")
     )
-
-
-def _lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Non-blank lines of every ``*.csv`` below ``folder``, numbered in file order."""
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
     return (
-        spark.read.option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", True)
-        .text(folder)
+        reader.schema("value string")
+        .csv(folder)
         .filter(F.length(F.trim("value")) > 0)
         .select(
             F.col("_metadata.file_path").alias("file"),
-            F.struct(
-                F.col("_metadata.file_block_start").alias("block"),
-                F.monotonically_increasing_id().alias("line"),
-            ).alias("at"),
-            "value",
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"),
+            charset.column(F.col("value")).alias("value"),
         )
     )
 
 
-def sweep_csv(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per CSV file below ``folder``: its rows, its columns, its header.
+def _names_of(header: Column) -> Column:
+    return F.transform(
+        F.split(header, COMMA_OUTSIDE_QUOTES),
+        lambda n: F.regexp_replace(n, '^﻿?"?|"?\r?$', ""),
+    )
 
-    One distributed pass over all files, whatever their schemas; rows that
-    span lines are not supported, as in the other CSV scans here.
+
+def header_names(spark: SparkSession, path: str, encoding: str = "utf-8") -> list[str]:
+    """Names in the first line of a CSV file, exactly as written."""
+    first = _lines(spark, path, encoding, None).select("value").head(1)
+    return next(csv.reader([first[0][0].lstrip("﻿")])) if first else []
+
+
+def duplicate_headers(
+    spark: SparkSession, path: str, encoding: str = "utf-8", pattern: str | None = None
+) -> DataFrame:
+    """Rows (file, name, occurrences, first_position): names that repeat in a file's header.
+
+    Case is ignored. Looks at the raw first line of every file below ``path``,
+    since the CSV reader renames clashing columns.
     """
-    per_file = _lines(spark, folder).groupBy("file").agg(
-        (F.count("*") - 1).alias("n_rows"), F.min_by("value", "at").alias("header")
+    lines = _lines(spark, path, encoding, pattern)
+    headers = lines.groupBy("file").agg(F.min_by("value", F.struct("block", "line")).alias("header"))
+    return (
+        headers.select("file", F.posexplode(_names_of(F.col("header"))))
+        .groupBy("file", F.lower("col").alias("name"))
+        .agg(F.count("*").alias("occurrences"), F.min("pos").alias("first_position"))
+        .filter("occurrences > 1")
     )
-    names = F.transform(
-        F.split("header", COMMA_OUTSIDE_QUOTES),
-        lambda n: F.regexp_replace(n, '^\ufeff?"?|"?\r?$', ""),
+
+
+def sweep_csv(
+    spark: SparkSession,
+    folder: str,
+    encoding: str = "utf-8",
+    pattern: str = "*.csv",
+    multi_line: bool = False,
+) -> DataFrame:
+    """One row per CSV file below ``folder``: its rows, its columns, its header.
+
+    One distributed pass over all files, whatever their schemas. A file with a
+    record that spans lines has a line with an odd number of quotes; it is
+    refused, with its name, unless ``multi_line`` asks for records to be counted
+    by the quotes before them. The lines of one file are then put in order.
+    """
+    lines = _lines(spark, folder, encoding, pattern)
+    n_quotes = F.length("value") - F.length(F.regexp_replace("value", '"', ""))
+    at = F.struct("block", "line")
+    if multi_line:
+        before = Window.partitionBy("file").orderBy("block", "line").rowsBetween(Window.unboundedPreceding, -1)
+        opened = F.coalesce(F.sum(n_quotes).over(before), F.lit(0)) % 2
+        lines = lines.withColumn("opened", opened).filter("opened = 0")
+        odd = F.lit(0)
+    else:
+        odd = F.count_if(n_quotes % 2 == 1)
+    per_file = lines.groupBy("file").agg(
+        (F.count("*") - 1).alias("n_rows"), F.min_by("value", at).alias("header"), odd.alias("odd")
     )
+    refused = F.raise_error(F.concat(F.lit("records span lines, ask for multi_line: "), F.col("file")))
+    names = _names_of(F.col("header"))
     return per_file.select(
-        "file", "n_rows", F.size(names).alias("n_columns"), names.alias("columns")
+        "file",
+        F.when(F.col("odd") > 0, refused.cast("long")).otherwise(F.col("n_rows")).alias("n_rows"),
+        F.size(names).alias("n_columns"),
+        names.alias("columns"),
     )
 
 
-def sweep_heads(spark: SparkSession, folder: str, n: int = 5) -> DataFrame:
-    """The first ``n`` data lines of every CSV file below ``folder``."""
-    in_file = Window.partitionBy("file").orderBy("at")
+def sweep_heads(
+    spark: SparkSession,
+    folder: str,
+    n: int = 5,
+    encoding: str = "utf-8",
+    pattern: str = "*.csv",
+) -> DataFrame:
+    """The first ``n`` data lines of every CSV file below ``folder``.
+
+    A first pass counts the lines of each block. The counts, a few per file,
+    tell where the head of a file ends; no line is sorted.
+    """
+    lines = _lines(spark, folder, encoding, pattern)
+    blocks = lines.groupBy("file", "block").agg(
+        F.count("*").alias("n_lines"), F.min("line").alias("first_line")
+    )
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    heads = (
+        blocks.withColumn("before", F.coalesce(F.sum("n_lines").over(earlier), F.lit(0)))
+        .filter(F.col("before") <= n)
+        .select("file", "block", "first_line", "before")
+    )
+    number = F.col("before") + F.col("line") - F.col("first_line")
     return (
-        _lines(spark, folder)
-        .withColumn("line", F.row_number().over(in_file))
-        .filter(F.col("line") <= n + 1)
-        .filter(F.col("line") > 1)
-        .select("file", (F.col("line") - 1).alias("line"), "value")
+        lines.join(heads, ["file", "block"])
+        .select("file", number.cast("int").alias("line"), "value")
+        .filter(F.col("line").between(1, n))
     )

@@ -33,9 +33,15 @@ def write_table(
     ``lookup_by`` columns get a Bloom filter per row group, so that a search
     for one value skips the row groups without it, at no cost of a shuffle.
 
+    A partitioned table is first dealt out by its partition columns, so that a
+    partition is a few files of good size, not one per task; a partition that
+    holds much of the table is split over tasks.
+
     Overwriting deletes first and is not a transaction: one writer per path,
     and never read and write one path in the same plan.
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
     for column in lookup_by:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", True)
