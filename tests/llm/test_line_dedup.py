@@ -1,0 +1,96 @@
+import re
+
+import duckdb
+import pytest
+
+from wardframe.llm.line_dedup import dedup_lines, recurring_lines
+from wardframe.llm.oracles import ORACLES
+
+EDGE = re.compile(r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def key(line):
+    return EDGE.sub("", line).translate(LOWER)
+
+
+def expected(rows, min_docs=3, min_chars=20):
+    holders = {}
+    for doc, text in rows:
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= min_chars:
+                holders.setdefault(key(line), set()).add(doc)
+    last = {}
+    for k, docs in holders.items():
+        known = docs - {None}
+        if len(known) >= min_docs:
+            last[k] = max(known)
+    found = []
+    for doc, text in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if key(x) not in last or last[key(x)] == doc]
+        found.append((doc, "\n".join(kept), len(lines), len(lines) - len(kept)))
+    return sorted(found, key=repr)
+
+
+COMMON, OTHER = "A line that many documents have", "Éine ZEILE, die öfter vorkommt"
+ROWS = [
+    (1, f"{COMMON}\nown words of one\n{COMMON.upper()}"),
+    (2, f"  {COMMON}\t\n{OTHER}"),
+    (3, f"{COMMON}\nshort\nshort\n\n{OTHER}\n{COMMON}"),
+    (4, f"{OTHER}\nshort"),
+    (5, f"{OTHER.replace('É', 'é')}\nshort"),
+    (6, None),
+    (7, ""),
+    (8, "\n\n"),
+    (None, f"{COMMON}\nwithout an id"),
+    (3, f"{COMMON}\nanother text of the same id"),
+    (2, f"  {COMMON}\t\n{OTHER}"),
+    (9, "x" * 100_000 + "\n" + "\n".join(f"numbered line {i} of a long text" for i in range(5000))),
+]
+
+
+def got(df):
+    return sorted(((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in df.collect()), key=repr)
+
+
+def test_lines_equal_brute_force(documents):
+    df = documents(ROWS)
+    cut = dedup_lines(df)
+    assert cut.columns == [*[c for c in df.columns], "n_lines", "n_dropped"]
+    assert got(cut) == expected(ROWS)
+    assert {r["body"] for r in cut.collect()} == {r["body"] for r in df.collect()}
+
+
+@pytest.mark.parametrize(("min_docs", "min_chars"), [(2, 1), (4, 20), (1, 5)])
+def test_other_thresholds(documents, min_docs, min_chars):
+    assert got(dedup_lines(documents(ROWS), min_docs, min_chars)) == expected(ROWS, min_docs, min_chars)
+
+
+def test_repeats_within_one_document_do_not_count(documents):
+    rows = [(1, f"{COMMON}\n" * 50), (2, COMMON)]
+    assert got(dedup_lines(documents(rows))) == expected(rows)
+    assert recurring_lines(documents(rows)).collect() == []
+
+
+def test_empty_table(documents):
+    assert dedup_lines(documents([])).collect() == []
+
+
+def test_a_result_column_replaces_one_of_the_input(spark):
+    df = spark.createDataFrame([(1, "a", 9)], "doc_id long, text string, n_lines long")
+    assert dedup_lines(df).columns == ["doc_id", "text", "n_lines", "n_dropped"]
+    assert dedup_lines(df).first().n_lines == 1
+
+
+def test_the_sql_says_the_same(documents):
+    import hashlib
+
+    plain = [(d, t) for d, t in ROWS if d is not None][:-2]
+    rows = list({d: (d, t) for d, t in plain}.values())
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    found = sorted(con.execute(ORACLES["op5_line_dedup"]).fetchall())
+    want = [(d, n, k, hashlib.sha256(t.encode()).hexdigest()) for d, t, n, k in expected(rows)]
+    assert found == sorted(want)

@@ -60,7 +60,7 @@ def fingerprint(hashes: Column) -> Column:
         return F.when(balance > 0, F.lit(1)).otherwise(F.lit(0)).cast("long")
 
     return F.aggregate(
-        F.sequence(F.lit(0), F.lit(63)),
+        F.sequence(F.lit(63), F.lit(0)),
         F.lit(0).cast("long"),
         lambda acc, b: F.shiftleft(acc, 1).bitwiseOR(bit(b)),
     )
