@@ -212,3 +212,14 @@ def test_paths(spark):
     assert sources.join_path("a", "b") == "a/b"
     assert scratch_path(spark, "t").startswith(shared_dir(spark))
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_scratch_is_removed_when_asked(spark):
+    from wardframe.session import remove_scratch
+
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    remove_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)

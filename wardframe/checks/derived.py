@@ -34,6 +34,7 @@ def _tenths(number: str) -> str:
     return f"cast({number} as double) / 10e0"
 
 
+# The keys are the column names of the published files, in their order.
 DIM_RAW = {
     "CMS Certification Number (CCN)": _key("s_suppkey"),
     "Provider Name": "s_name",

@@ -179,14 +179,8 @@ QUERIES.update({nurse_query(label): _nurse_rate(label) for label in S.NURSE_LABE
 
 @query
 def nurse_rate_headline(spark, folder):
-    nurse = _nurse(spark, folder)
-    lines = [
-        metrics.nurse_rate_headline(nurse, PROVIDER_TYPE, label).withColumn(
-            "nurse_type", F.lit(label)
-        )
-        for label in S.NURSE_LABELS
-    ]
-    return rounded(rows.union_parts(lines), MEAN_DIGITS, "rate")
+    headlines = metrics.nurse_rate_headlines(_nurse(spark, folder), PROVIDER_TYPE)
+    return rounded(headlines, MEAN_DIGITS, "rate")
 
 
 @query

@@ -34,10 +34,14 @@ def mean_by(df: DataFrame, group: str, value: str) -> DataFrame:
     return _grouped(df, group, [mean]).fillna(0, subset=[value]).orderBy(quoted(group))
 
 
+def means_of_group_means(df: DataFrame, group: str, values: Sequence[str]) -> DataFrame:
+    """One row: per column the mean of the group means, each group counting the same."""
+    means = _grouped(df, group, [F.avg(quoted(v)).alias(v) for v in values])
+    return means.fillna(0, subset=list(values)).agg(*[F.avg(quoted(v)).alias(v) for v in values])
+
+
 def mean_of_group_means(df: DataFrame, group: str, value: str) -> DataFrame:
-    """One row: the mean of the group means, each group counting the same."""
-    means = _grouped(df, group, [F.avg(quoted(value)).alias(value)]).fillna(0, subset=[value])
-    return means.agg(F.avg(quoted(value)).alias(value))
+    return means_of_group_means(df, group, [value])
 
 
 def summed_together(df: DataFrame, group: str, sums: Mapping[str, Sequence[str]]) -> DataFrame:

@@ -13,6 +13,7 @@ from wardframe.operators.aggregates import (
     long_form,
     mean_by,
     mean_of_group_means,
+    means_of_group_means,
     sum_by,
     summed_together,
 )
@@ -62,6 +63,16 @@ def nurse_rate_headline(nurse: DataFrame, provider_type: str, nurse_type: str) -
     return mean.withColumn("text", two_decimal_text(F.col("rate")))
 
 
+def nurse_rate_headlines(nurse: DataFrame, provider_type: str) -> DataFrame:
+    """Rows (nurse_type, rate, text): the headline of every label, in one pass."""
+    of_type = where_equal(nurse, "PROVIDER_TYPE", provider_type)
+    rates = list(S.NURSE_LABELS.values())
+    means = means_of_group_means(of_type, "STATE", rates)
+    labelled = [F.struct(F.lit(k).alias("nurse_type"), F.col(c).alias("rate")) for k, c in S.NURSE_LABELS.items()]
+    long = means.select(F.inline(F.array(*labelled)))
+    return long.select("nurse_type", "rate", two_decimal_text(F.col("rate")).alias("text"))
+
+
 # Report 4: one provider
 
 

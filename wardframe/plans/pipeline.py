@@ -85,11 +85,12 @@ def run_pipeline(
     gold_dir: str,
     unique_providers: bool = False,
     partition_fact_by: Sequence[str] = (),
+    keep_dims: bool = False,
     **raw: str,
 ) -> GoldTables:
     """Runs all steps and returns the Gold tables; a failure is logged and raised.
 
-    ``raw`` takes the file names and the encoding of ``to_silver``.
+    With ``keep_dims`` the dimensions are kept until ``release`` is called. ``raw`` takes the file names and the encoding of ``to_silver``.
     """
     with _logged("raw to silver"):
         to_silver(spark, bronze, silver_dir, **raw)
@@ -97,7 +98,7 @@ def run_pipeline(
         to_gold_dims(spark, silver_dir, gold_dir, unique_providers)
     with _logged("silver to gold fact"):
         to_gold_fact(spark, silver_dir, gold_dir, partition_fact_by)
-    return GoldTables.load(spark, gold_dir)
+    return GoldTables.load(spark, gold_dir, keep_dims)
 
 
 @contextmanager

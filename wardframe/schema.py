@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# File names, column names and staff roles of the published data.
+# Fixed values, down to the rates: file names, column names, their types and new
+# names, and staff roles, all of the published data and its tables.
 FACT_FILE = "PBJ_Daily_Nurse_Staffing_Q2_2024.csv"
 DIM_FILE = "NH_ProviderInfo_Oct2024.csv"
 

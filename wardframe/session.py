@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, app: str = "wardframe", **conf: str) -> SparkSession:
@@ -50,12 +50,24 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+# Scratch paths given out and not yet removed.
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared folder, so later jobs do not recompute it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def remove_scratch(spark: SparkSession) -> None:
+    """Deletes what was written to scratch paths so far.
+
+    Call it when the frames that were read from them are no longer used.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(conf).delete(path, True)
