@@ -107,3 +107,21 @@ def test_empty_table_repeats_and_no_rules(spark):
     assert {r.verdict for r in judge_urls(pages(spark, LINKED), []).collect()} == {"allow"}
     only = [Rule("net", "/", False)]
     assert {r.verdict for r in judge_urls(pages(spark, LINKED), only).collect() if r.rule} == {"block"}
+
+
+def test_the_sql_says_the_same(spark):
+    import duckdb
+
+    from wardframe.llm.oracles import ORACLES
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    extra = [("https://x.example.org/en/1", None), ("http://y.com/fr/", link("https://farm.net")), (None, None), ("odd", "")]
+    rows = [(i, u, h) for i, (u, h) in enumerate(LINKED + extra)]
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    names = ["page_id", "host", "path", "rule", "verdict"]
+    cursor = con.execute(ORACLES["op9_url_graph"])
+    assert [c[0] for c in cursor.description] == names
+    want = sorted(cursor.fetchall())
+    found = judge_urls(pages(spark, LINKED + extra), RULES).select(*names)
+    assert sorted(map(tuple, found.collect())) == want

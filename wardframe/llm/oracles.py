@@ -1,6 +1,95 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from __future__ import annotations
+
+from wardframe.llm.decontaminate import SIMILARITY
+from wardframe.llm.url_graph import DAMPING, DISTRUST_SHARE, ROUNDS
+
+# The five-word shingles of a word list, and their letters.
+SHINGLES = "list_distinct(list_transform(range(1, len({w}) - 3), lambda i: list_slice({w}, i, i + 4)))"
+LETTERS = "list_sum(list_transform({s}, lambda x: length(array_to_string(x, ''))))"
+
+DECONTAMINATE = rf"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}]+') AS w FROM documents
+), items AS (
+  SELECT DISTINCT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}]+') AS w FROM benchmark
+), in_docs AS (
+  SELECT doc_id, i AS pos, list_slice(w, i, i + 4) AS s
+  FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i FROM words WHERE len(w) >= 5)
+), in_items AS (
+  SELECT item_id, w, i AS pos, list_slice(w, i, i + 4) AS s
+  FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i FROM items WHERE len(w) >= 5)
+), places AS (
+  SELECT DISTINCT d.doc_id, i.item_id, i.w AS iw, d.pos - i.pos AS start
+  FROM in_docs d JOIN in_items i ON d.s = i.s
+), windows AS (
+  SELECT p.doc_id, item_id, len(iw) AS n, start, {SHINGLES.format(w="iw")} AS its,
+         list_slice(d.w, greatest(start, 0) + 1, start + len(iw)) AS ow
+  FROM places p JOIN words d ON d.doc_id = p.doc_id
+), scored AS (
+  SELECT doc_id, item_id, n, start,
+         {LETTERS.format(s="list_filter(own, lambda x: list_contains(its, x))")}
+         / {LETTERS.format(s="list_distinct(list_concat(own, its))")} AS similarity
+  FROM (SELECT *, {SHINGLES.format(w="ow")} AS own FROM windows)
+)
+SELECT doc_id, item_id, CAST(greatest(start, 0) AS INT) AS start, CAST(n AS INT) AS n_words, similarity
+FROM scored WHERE similarity >= {SIMILARITY}
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start, n) = 1
+"""
+
+
+def _ranks(before: int) -> str:
+    """One more round of trust and distrust."""
+    return f"""r{before + 1} AS MATERIALIZED (
+  SELECT host, sum(trust) AS trust, sum(distrust) AS distrust FROM (
+    SELECT dst AS host, {DAMPING} * r.trust * weight / sum(weight) OVER (PARTITION BY src) AS trust,
+           0e0 AS distrust FROM edges JOIN r{before} r ON r.host = src
+    UNION ALL
+    SELECT src, 0e0, {DAMPING} * r.distrust * weight / sum(weight) OVER (PARTITION BY dst)
+    FROM edges JOIN r{before} r ON r.host = dst
+    UNION ALL SELECT host, trust * {1 - DAMPING}, distrust * {1 - DAMPING} FROM r0
+  ) GROUP BY host)"""
+
+
+HOST = r"""translate(regexp_extract({url}, '(?s)^.*?://([^/?#]*)', 1),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
+
+URL_GRAPH = rf"""
+WITH rules (on_host, on_path, verdict) AS (VALUES
+  ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+  ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), parts AS (
+  SELECT row_number() OVER () AS n, page_id, html, {HOST.format(url="coalesce(url, '')")} AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages
+), fitting AS (
+  SELECT n, arg_max(on_host || on_path, length(on_host || on_path)) AS rule,
+         arg_max(verdict, length(on_host || on_path)) AS verdict
+  FROM parts JOIN rules ON (host = on_host OR ends_with(host, '.' || on_host)) AND starts_with(path, on_path)
+  GROUP BY n
+), ruled AS (
+  SELECT p.*, f.rule, f.verdict FROM parts p LEFT JOIN fitting f USING (n)
+), links AS (
+  SELECT host AS src, unnest(regexp_extract_all(html,
+         '(?is)<a\s(?:[^>]*\s)?href\s*=\s*["'']?([^"''\s>]+)', 1)) AS link FROM parts
+), edges AS MATERIALIZED (
+  SELECT src, dst, count(*) AS weight FROM (
+    SELECT src, {HOST.format(url="CASE WHEN starts_with(link, '//') THEN ':' || link ELSE link END")} AS dst
+    FROM links WHERE regexp_matches(link, '^([A-Za-z][A-Za-z0-9+.-]*:)?//'))
+  WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst
+), r0 AS MATERIALIZED (
+  SELECT host, count(*) FILTER (WHERE verdict = 'allow') / sum(count(*)) OVER () AS trust,
+         count(*) FILTER (WHERE verdict = 'block') / sum(count(*)) OVER () AS distrust
+  FROM ruled WHERE verdict IS NOT NULL AND host <> '' GROUP BY host
+), {", ".join(map(_ranks, range(ROUNDS)))}
+SELECT page_id, p.host, path, rule, coalesce(verdict, CASE WHEN coalesce(r.distrust, 0)
+         > {DISTRUST_SHARE} * (coalesce(r.trust, 0) + coalesce(r.distrust, 0)) THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled p LEFT JOIN r{ROUNDS} r ON r.host = p.host
+"""
+
 ORACLES = {
+    "op7_decontaminate": DECONTAMINATE,
+    "op9_url_graph": URL_GRAPH,
     "op5_line_dedup": r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,

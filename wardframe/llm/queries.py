@@ -130,7 +130,7 @@ def op8_token_files(spark, folder):
 
 @query
 def op9_url_graph(spark, folder):
-    return judge_urls(table(spark, folder, "pages"), RULES)
+    return judge_urls(table(spark, folder, "pages"), RULES).drop("trust", "distrust")
 
 
 @query
