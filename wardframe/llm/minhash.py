@@ -8,9 +8,10 @@ weighted Jaccard similarity. Bands of samples give candidates, and each
 candidate pair is verified by the exact weighted Jaccard similarity.
 
 Equal texts are one node throughout. Within a bucket of a band, few texts are
-compared with each other; in a large bucket, chosen centres are compared with
-the texts that are not yet in one class with them, more centres in each round,
-until the bucket is one class or every text has been a centre.
+compared with each other. In a large bucket a few centres are compared with all
+others first, which joins most copies of one text. The texts of buckets that are
+then still of several classes are joined on the rare shingles that two similar
+ones must share; this finds every link that is left, without all pairs.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wardframe.llm import wordbytes
 from wardframe.llm.bpe import slices
@@ -35,8 +37,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 10, 3
 # Words are counted in this many cells: a table of fixed size, whatever the corpus.
 CELLS = 1 << 20
-# Texts of one bucket that are all compared with each other, and the centres of
-# the first round beyond that.
+# Texts of one bucket that are all compared with each other, and how many are
+# compared with all others in a larger one.
 ALL_PAIRS = 32
 CENTRES = 8
 SLICE_BYTES = 1 << 19
@@ -259,7 +261,11 @@ def _pairs(members: DataFrame, partners: DataFrame, least: float) -> DataFrame:
     most = _most(F.col("weight_a"), F.col("weight_b"), F.col("shared_a"), F.col("shared_b"))
     apart = F.col("root_a") != F.col("root_b")
     joined = _side(members, "a").join(_side(partners, "b"), "key")
-    joined = joined.filter(apart & (most >= least - 1e-9))
+    return _ordered(joined.filter(apart & (most >= least - 1e-9)))
+
+
+def _ordered(joined: DataFrame) -> DataFrame:
+    """Each pair once, the lesser node first."""
     turned = F.col("node_a") > F.col("node_b")
     return joined.select(
         F.when(turned, F.col("node_b")).otherwise(F.col("node_a")).alias("a"),
@@ -283,34 +289,81 @@ def _shingle_rows(shared_idf):
                         pa.array(np.concatenate([v[0] for v in vectors]).view(np.int64)),
                         pa.array(np.concatenate([v[1] for v in vectors])),
                     ],
-                    names=["number", "shingle", "weight"],
+                    names=["number", "shingle", "part"],
                 )
 
     return run
 
 
-def _with_shared(members: DataFrame, bodies: DataFrame, shared_idf) -> DataFrame:
+def _shingles_of(members: DataFrame, bodies: DataFrame, shared_idf) -> DataFrame:
+    """Rows (number, shingle, part): the weighted shingles of the texts of ``members``."""
+    nodes = members.select("node").distinct()
+    return stored(
+        bodies.join(nodes, "node", "left_semi")
+        .select(F.xxhash64("node").alias("number"), "body")
+        .mapInArrow(_shingle_rows(shared_idf), "number long, shingle long, part double"),
+        "shingles",
+    )
+
+
+def _with_shared(members: DataFrame, shingles: DataFrame) -> DataFrame:
     """Adds ``shared``: the weight of the shingles that another text of these buckets has too.
 
     In a large group of copies each text has edits of its own. Their weight
     bounds its similarity to all others, so most pairs need no comparison.
     """
-    number = F.xxhash64("node")
-    nodes = members.select("node").distinct()
-    shingles = (
-        bodies.join(nodes, "node", "left_semi")
-        .select(number.alias("number"), "body")
-        .mapInArrow(_shingle_rows(shared_idf), "number long, shingle long, weight double")
-    )
     own = (
         shingles.groupBy("shingle")
-        .agg(F.count("*").alias("n"), F.min("number").alias("number"), F.min("weight").alias("weight"))
+        .agg(F.count("*").alias("n"), F.min("number").alias("number"), F.min("part").alias("part"))
         .filter("n = 1")
         .groupBy("number")
-        .agg(F.sum("weight").alias("own"))
+        .agg(F.sum("part").alias("own"))
     )
-    joined = members.withColumn("number", number).join(stored(own, "own-weights"), "number", "left")
-    return joined.withColumn("shared", F.col("weight") - F.coalesce("own", F.lit(0.0))).drop("number", "own")
+    numbered = members.withColumn("number", F.xxhash64("node"))
+    joined = numbered.join(stored(own, "own-weights"), "number", "left")
+    return joined.withColumn("shared", F.col("weight") - F.coalesce("own", F.lit(0.0))).drop("own")
+
+
+def _pairs_by_prefix(members: DataFrame, shingles: DataFrame, least: float) -> DataFrame:
+    """Distinct (a, b, root_a, root_b): all pairs of ``members`` that can still be links.
+
+    Shingles are put in one order, rare ones first. At the first one that two
+    similar texts share, neither can have passed more weight than it may differ
+    by, so only such prefixes are joined, and only between classes: of the
+    holders of a shingle those outside its largest class meet all others.
+    """
+    texts = members.select("number", "node", "root", "weight").distinct()
+    held = stored(shingles.join(texts, "number"), "held")
+    holders = held.groupBy("shingle").agg(
+        F.count("*").alias("n"), F.min("root").alias("first_root"), F.max("root").alias("last_root")
+    )
+    earlier = Window.partitionBy("number").orderBy("n", "shingle").rowsBetween(Window.unboundedPreceding, -1)
+    passed = F.coalesce(F.sum("part").over(earlier), F.lit(0.0))
+    ranked = held.join(stored(holders, "holders"), "shingle").withColumn(
+        "left", F.col("weight") - passed
+    )
+    within = F.col("left") >= (least - 1e-9) * F.col("weight")
+    prefix = stored(
+        ranked.filter(within & (F.col("first_root") != F.col("last_root"))).select(
+            "shingle", "node", "root", "weight", "left"
+        ),
+        "prefixes",
+    )
+    of_class = prefix.groupBy("shingle", "root").agg(F.count("*").alias("n"))
+    largest = of_class.groupBy("shingle").agg(F.max(F.struct("n", "root")).alias("largest"))
+    outside = prefix.join(stored(largest, "largest-classes"), "shingle").filter("root <> largest.root")
+    one = prefix.select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("node", "root", "weight", "left")])
+    other = outside.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "root", "weight", "left")])
+    most = _most(F.col("weight_a"), F.col("weight_b"), F.col("left_a"), F.col("left_b"))
+    apart = F.col("root_a") != F.col("root_b")
+    return _ordered(one.join(other, "shingle").filter(apart & (most >= least - 1e-9)))
+
+
+def _most_shared(members: DataFrame) -> DataFrame:
+    """One text of each bucket: the one with the least part of its weight for itself."""
+    own = 1 - F.col("shared") / F.col("weight")
+    first = members.groupBy("key").agg(F.min(F.struct(own.alias("own"), "turn", "node")).alias("first"))
+    return members.join(stored(first, "most-shared"), "key").filter("node = first.node").drop("first")
 
 
 def _open(members: DataFrame, least: float) -> DataFrame:
@@ -379,16 +432,25 @@ def near_duplicate_links(
     links = [verified(_pairs(small, small, similarity).filter("a < b"))]
     renamings = [_classes(links[0])]
     large = stored(_renamed(alone.filter(F.col("n") > all_pairs), renamings[0]), "large-buckets")
-    first, last = 0, centres
     if not large.isEmpty():
-        large = stored(_open(stored(_with_shared(large, bodies, idf), "shared"), similarity), "open")
-    while not large.isEmpty():
-        turn = (F.col("turn") >= first) & (F.col("turn") < last)
-        links.append(verified(_pairs(large, large.filter(turn), similarity)))
-        renamings.append(_classes(links[-1]))
-        first, last = last, last * 8
-        left = _renamed(large, renamings[-1]).filter(F.col("n") > first)
-        large = stored(_open(stored(left, "left"), similarity), "open")
+        shingles = _shingles_of(large, bodies, idf)
+        large = stored(_open(stored(_with_shared(large, shingles), "shared"), similarity), "open")
+        # First the text of least own weight, often what the others are copies of,
+        # then a few more, then whatever pair is left.
+        turn = F.col("turn") < centres
+        rounds = (
+            lambda: _pairs(large, _most_shared(large), similarity),
+            lambda: _pairs(large, large.filter(turn), similarity),
+            lambda: _pairs_by_prefix(large, shingles, similarity),
+        )
+        for pairs in rounds:
+            if large.isEmpty():
+                break
+            links.append(verified(pairs()))
+            renamings.append(_classes(links[-1]))
+            if pairs is not rounds[-1]:
+                left = stored(_renamed(large, renamings[-1]), "left")
+                large = stored(_open(left, similarity), "open")
 
     found = links[0]
     for more in links[1:]:
