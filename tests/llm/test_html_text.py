@@ -22,6 +22,8 @@ PLAIN = "Title\nOne & two.\nThree four"
         "<script>var t='</p><p>x';</script><style>p{{}}</style>{}<!-- <p>no</p> -->",
         "<aside><p>Related</p></aside>{}<div role=navigation>Up</div><div hidden>h</div>",
         "<div class='page-with-sidebar'>{}</div>",
+        "{}<section class=related><article><h3>Other</h3><p>A teaser</p></article></section>",
+        "<main>{}<ol class='commentlist'><li><article class='comment'><p>Hm</p></article></ol></main>",
         "<div class='advertisement'><p>x</p></div>{}<div class=newsletterBox>join</div>",
     ],
 )
@@ -30,6 +32,12 @@ def test_what_is_around_the_article_goes(around):
     assert text_of(page) == PLAIN
 
 
+def test_main_around_an_article():
+    page = "<main><div>Welcome</div><h1>Title</h1><article><p>One</p></article><div>Call us</div></main>"
+    assert text_of(page) == "Title\nOne"
+    assert text_of("<p>a</p><main><p>One</p></main><p>b</p>") == "One"
+
+
 def test_what_is_inside_the_article_but_not_of_it():
     inside = "<div class=share>Share</div><div class='ad-slot'>Buy</div><div class='reader-comments'><p>Hm</p></div>"
     assert text_of(ARTICLE.replace("<p>Three", inside + "<p>Three")) == PLAIN

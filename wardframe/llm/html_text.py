@@ -160,7 +160,7 @@ def parse(source: str) -> Page:
         page.chars.append(0)
         page.linked.append(0)
         page.links.append(1 if tag == "a" else 0)
-        page.has_core.append(main or tag == "h1")
+        page.has_core.append(tag == "h1")
         stack.append(len(page.tag) - 1)
         content.append([tag])
 
@@ -174,7 +174,6 @@ def parse(source: str) -> Page:
             page.chars[up] += page.chars[i]
             page.linked[up] += page.linked[i]
             page.links[up] += page.links[i]
-            page.has_core[up] |= page.has_core[i]
             content[-1].append(f"{page.digest[i]:x}")
 
     def end_block() -> None:
@@ -246,9 +245,24 @@ def parse(source: str) -> Page:
         if attributes.rstrip().endswith("/") and tag not in BLOCKS and tag != "a":
             close_to(len(stack) - 1)
     close_to(0)
+    _mark_core(page)
     return page
 
 
+def _mark_core(page: Page) -> None:
+    """Marks what holds the article: the headline and the largest main element, with all around them.
+
+    Teasers and comments may be article elements too, so one of them is no reason
+    to spare the list it is in.
+    """
+    mains = [i for i, main in enumerate(page.is_main) if main and not page.own_drop[i]]
+    if mains:
+        page.has_core[max(mains, key=lambda i: page.chars[i])] = True
+    for i in range(len(page.tag) - 1, -1, -1):
+        if page.has_core[i] and page.parent[i] >= 0:
+            page.has_core[page.parent[i]] = True
+
+
 def _dropped(page: Page) -> list[bool]:
     """Elements that are, or lie in, something that is no article text by its own word.
 
@@ -262,9 +276,17 @@ def _dropped(page: Page) -> list[bool]:
 
 
 def _inside(page: Page, gone: list[bool]) -> list[bool]:
+    """Elements of the article: of article elements and headlines beside them, else of a main one."""
+    written = any(
+        tag == "article" and page.chars[i] and not gone[i] for i, tag in enumerate(page.tag)
+    )
     inside: list[bool] = []
     for i, parent in enumerate(page.parent):
-        inside.append((page.is_main[i] and not gone[i]) or (parent >= 0 and inside[parent]))
+        if written:
+            starts = page.tag[i] == "article" or (page.tag[i] == "h1" and page.under_main[i])
+        else:
+            starts = page.is_main[i]
+        inside.append((starts and not gone[i]) or (parent >= 0 and inside[parent]))
     return inside
 
 
