@@ -20,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from wardframe.llm.bpe import encoder, slices
 from wardframe.llm.common import quoted
@@ -189,19 +190,19 @@ def write_token_files(
     )
     written.write.parquet(f"{folder}/index")
     index = docs.sparkSession.read.schema(schema).parquet(f"{folder}/index")
-    return index.withColumn("start", F.col("start_in_shard") + _shard_starts(index)).withColumnRenamed(
-        "id", id_col
-    )
+    return _with_starts(index).withColumnRenamed("id", id_col)
+
 
+def _with_starts(index: DataFrame) -> DataFrame:
+    """Adds ``start``: the ids in all files before the row's file, and before it in the file.
 
-def _shard_starts(index: DataFrame):
-    """The ids in all files before the row's file: one number per file, not per row."""
-    totals = index.groupBy("shard").agg(F.sum("n_tokens").alias("n")).orderBy("shard").collect()
-    if not totals:
-        return F.lit(0).cast("long")
-    before = np.cumsum([0, *(r.n for r in totals)]).tolist()
-    pairs = [F.lit(x) for r, n in zip(totals, before) for x in (r.shard, n)]
-    return F.element_at(F.create_map(*pairs), F.col("shard"))
+    One running sum over the files, of which there are as many as tasks wrote.
+    """
+    totals = index.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
+    earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select("shard", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    joined = index.join(before, "shard").withColumn("start", F.col("before") + F.col("start_in_shard"))
+    return joined.select(*index.columns, "start")
 
 
 def read_token_files(folder: str, index: DataFrame) -> DataFrame:
