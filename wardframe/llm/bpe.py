@@ -328,11 +328,15 @@ def encode_documents(
     rows = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("body"))
     is_long = F.coalesce(F.char_length("body"), F.lit(0)) > leaf_chars
     of_id = rows.schema["id"].dataType
-    fields = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
+    fields = [
+        T.StructField("ids", T.ArrayType(T.IntegerType())),
+        T.StructField("decoded", T.StringType()),
+    ]
     short = rows.filter(~is_long).mapInArrow(
         _encoded_batches(tokenizer_path), T.StructType([T.StructField("key", of_id), *fields])
     )
-    long = rows.filter(is_long).select("id", F.sha2(F.col("body").cast("binary"), 256).alias("digest"), "body")
+    digest = F.sha2(F.col("body").cast("binary"), 256).alias("digest")
+    long = rows.filter(is_long).select("id", digest, "body")
     texts = long.groupBy("digest").agg(F.first("body").alias("body"))
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     leaves = texts.mapInArrow(_leaves(leaf_chars), "key string, at int, part string")

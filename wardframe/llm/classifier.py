@@ -243,9 +243,9 @@ def train(
     ids are left out.
     """
     usable = labels.select(quoted(id_col).alias("of"), quoted(label_col).cast("int").alias("label"))
-    usable = usable.filter(F.col("label").isin(0, 1) & (crc32_rest(F.col("of"), HELD_OUT_PARTS) != 0))
-    turn = F.xxhash64("of")
-    sample = usable.select("of", "label", turn.alias("turn")).orderBy("turn", "of", "label").limit(fit_documents)
+    learnt = crc32_rest(F.col("of"), HELD_OUT_PARTS) != 0
+    usable = usable.filter(F.col("label").isin(0, 1) & learnt).withColumn("turn", F.xxhash64("of"))
+    sample = usable.orderBy("turn", "of", "label").limit(fit_documents)
     # A bounded number of ids: the documents stay where they are.
     texts = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("body")).join(
         F.broadcast(sample), F.col("id") == F.col("of")

@@ -52,7 +52,9 @@ CLOSES = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-KEEPS_P_OPEN = frozenset(["body", "html", "option", "optgroup", "caption", "tbody", "td", "tfoot", "th", "thead", "tr"])
+KEEPS_P_OPEN = frozenset(
+    "body html option optgroup caption tbody td tfoot th thead tr".split()
+)
 
 # What is never article text, by tag, by role, and by words of class and id.
 DROPPED_TAGS = frozenset(
@@ -60,14 +62,17 @@ DROPPED_TAGS = frozenset(
     " select script style noscript template iframe svg math textarea title audio video".split()
 )
 DROPPED_ROLES = frozenset(
-    "alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split()
+    "alert banner complementary contentinfo dialog form menu menubar navigation search"
+    " toolbar".split()
 )
 DROPPED_WORDS = frozenset(
     "ad ads adv advert alert adverts advertisement advertising adsense adslot banner breadcrumb"
     " breadcrumbs comment comments commentlist consent cookie cookies copyright dialog discussion"
-    " disclaimer disqus feedback footer gdpr masthead menu menus modal nav navbar navigation newsletter notice"
+    " disclaimer disqus feedback footer gdpr masthead menu menus modal nav navbar navigation"
+    " newsletter notice"
     " notices notification overlay pager pagination paywall popup promo promoted promotion"
-    " related reactions recommended replies reply respond responses rss search share sharing sidebar sidebars signup"
+    " related reactions recommended replies reply respond responses rss search share sharing"
+    " sidebar sidebars signup"
     " skip social sponsor sponsored subscribe subscription teaser toolbar topbar tracking widget"
     " widgets".split()
 )
@@ -85,7 +90,8 @@ TAG = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(
-    r"(?:^|[\s\"'/])(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/>\"']|$)",
+    r"(?:^|[\s\"'/])(class|id|role|hidden|style|aria-hidden)"
+    r"(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/>\"']|$)",
     re.I,
 )
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -250,7 +256,7 @@ def parse(source: str) -> Page:
 
 
 def _mark_core(page: Page) -> None:
-    """Marks what holds the article: the headline and the largest main element, with all around them.
+    """Marks what holds the article: headline and largest main element, with all around them.
 
     Teasers and comments may be article elements too, so one of them is no reason
     to spare the list it is in.
@@ -314,7 +320,8 @@ def main_text(page: Page, template: set[int]) -> str:
             and page.links[i] > 1
             and page.linked[i] > LINKED_SHARE * page.chars[i]
         )
-        gone[i] = gone[i] or (parent >= 0 and gone[parent]) or (recurs and not page.has_core[i]) or menu
+        above = parent >= 0 and gone[parent]
+        gone[i] = gone[i] or above or (recurs and not page.has_core[i]) or menu
 
     def lines(only_main: bool) -> list[str]:
         found, block = [], []
@@ -338,9 +345,8 @@ def _subtree_batches(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b in slices(batch.column(1)):
             hosts, versions, marks = [], [], []
-            for host, source in zip(
-                batch.column(0).slice(a, b - a).to_pylist(), batch.column(1).slice(a, b - a).to_pylist()
-            ):
+            part = batch.slice(a, b - a)
+            for host, source in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 page = parse(source)
                 whole = "\x00".join(t for _, t in page.pieces if t)
                 version = xxhash.xxh64_intdigest(whole) >> 1
@@ -348,9 +354,9 @@ def _subtree_batches(batches) -> Iterator[pa.RecordBatch]:
                 hosts += [host] * len(own)
                 versions += [version] * len(own)
                 marks += own
+            columns = [(hosts, pa.string()), (versions, pa.int64()), (marks, pa.int64())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(versions, pa.int64()), pa.array(marks, pa.int64())],
-                names=["host", "version", "mark"],
+                [pa.array(*c) for c in columns], names=["host", "version", "mark"]
             )
 
 

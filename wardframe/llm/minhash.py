@@ -44,7 +44,13 @@ CENTRES = 8
 SLICE_BYTES = 1 << 19
 
 _MULTIPLIERS = np.array(
-    [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
+    [
+        0x9E3779B97F4A7C15,
+        0xC2B2AE3D27D4EB4F,
+        0x165667B19E3779F9,
+        0xD6E8FEB86659FD93,
+        0xA0761D6478BD642F,
+    ],
     dtype=np.uint64,
 )
 
@@ -108,6 +114,11 @@ def samples(shingles: np.ndarray, weights: np.ndarray, ends: np.ndarray, count:
     # The same room for every sample: fresh arrays of this size cost more than the sums.
     h, part = np.empty_like(shingles), np.empty_like(shingles)
     score, level, shift = (np.empty(len(shingles), np.float32) for _ in range(3))
+
+    def bits(above: int, mask: int) -> np.ndarray:
+        np.right_shift(h, np.uint64(above), out=part)
+        return np.bitwise_and(part, np.uint64(mask), out=part)
+
     for sample in range(count):
         np.add(shingles, np.uint64((sample + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF), out=h)
         for turn, factor in ((32, 0xD6E8FEB86659FD93), (29, 0xBF58476D1CE4E5B9)):
@@ -115,14 +126,14 @@ def samples(shingles: np.ndarray, weights: np.ndarray, ends: np.ndarray, count:
             np.bitwise_xor(h, part, out=h)
             np.multiply(h, np.uint64(factor), out=h)
         # The upper 20, 16 and 24 bits of 60 draw the offset, the scale and the shift.
-        r = scale[np.bitwise_and(np.right_shift(h, np.uint64(28), out=part), np.uint64(0xFFFF), out=part)]
-        np.copyto(shift, np.bitwise_and(np.right_shift(h, np.uint64(4), out=part), np.uint64(0xFFFFFF), out=part))
+        r = scale[bits(28, 0xFFFF)]
+        np.copyto(shift, bits(4, 0xFFFFFF))
         np.multiply(shift, np.float32(2.0**-24), out=shift)
         np.divide(log_weight, r, out=level)
         np.floor(np.add(level, shift, out=level), out=level)
         np.subtract(level, shift, out=score)
         np.multiply(np.add(score, np.float32(1), out=score), r, out=score)
-        np.subtract(offset[np.right_shift(h, np.uint64(44), out=part)], score, out=score)
+        np.subtract(offset[bits(44, 0xFFFFF)], score, out=score)
         least = np.minimum.reduceat(score, starts)
         hit = np.flatnonzero(score == np.repeat(least, sizes))
         of_level = level[hit].astype(np.int64).astype(np.uint64) * _MULTIPLIERS[1]
@@ -352,8 +363,9 @@ def _pairs_by_prefix(members: DataFrame, shingles: DataFrame, least: float) -> D
     of_class = prefix.groupBy("shingle", "root").agg(F.count("*").alias("n"))
     largest = of_class.groupBy("shingle").agg(F.max(F.struct("n", "root")).alias("largest"))
     outside = prefix.join(stored(largest, "largest-classes"), "shingle").filter("root <> largest.root")
-    one = prefix.select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("node", "root", "weight", "left")])
-    other = outside.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "root", "weight", "left")])
+    names = ("node", "root", "weight", "left")
+    one = prefix.select("shingle", *[F.col(c).alias(f"{c}_a") for c in names])
+    other = outside.select("shingle", *[F.col(c).alias(f"{c}_b") for c in names])
     most = _most(F.col("weight_a"), F.col("weight_b"), F.col("left_a"), F.col("left_b"))
     apart = F.col("root_a") != F.col("root_b")
     return _ordered(one.join(other, "shingle").filter(apart & (most >= least - 1e-9)))
@@ -369,7 +381,9 @@ def _most_shared(members: DataFrame) -> DataFrame:
 def _open(members: DataFrame, least: float) -> DataFrame:
     """Members that may still have a partner: in buckets of several classes, by their weights."""
     bucket = members.groupBy("key").agg(
-        F.min("root").alias("first_root"), F.max("root").alias("last_root"), F.min("weight").alias("lightest")
+        F.min("root").alias("first_root"),
+        F.max("root").alias("last_root"),
+        F.min("weight").alias("lightest"),
     )
     # The best partner is as light as what is shared, if the bucket has one as light.
     best = F.greatest(F.col("shared"), F.col("lightest"))
@@ -480,7 +494,7 @@ def _verdicts(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """
     per_row = rows.groupBy("node", "id").agg(F.count("*").alias("n"))
     # Null ids come after all others.
-    order = F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("n").alias("n"))
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "n")
     per_text = per_row.groupBy("node").agg(F.min(order).alias("own"), F.sum("n").alias("n"))
     rooted = stored(
         per_text.join(classes, "node", "left").withColumn("root", F.coalesce("root", "node")),
@@ -500,7 +514,9 @@ def _verdicts(rows: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
-def _with_verdicts(docs: DataFrame, id_col: str, text_col: str, **settings) -> tuple[DataFrame, DataFrame]:
+def _with_verdicts(
+    docs: DataFrame, id_col: str, text_col: str, **settings
+) -> tuple[DataFrame, DataFrame]:
     _, classes = near_duplicate_links(docs, text_col=text_col, **settings)
     body = F.coalesce(F.col("body"), F.lit(""))
     rows = opened(docs, id_col, text_col).withColumn("node", text_node(body))

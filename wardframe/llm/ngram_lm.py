@@ -212,7 +212,8 @@ def _pair_batches(folder: str, shards: list[dict], buckets: int):
             edges = np.searchsorted(bucket, np.arange(buckets + 1))
             for a in range(0, buckets, 64):
                 own = [i for i in range(a, min(a + 64, buckets)) if edges[i] < edges[i + 1]]
-                raw = [_packed(keys[edges[i] : edges[i + 1]], counts[edges[i] : edges[i + 1]]) for i in own]
+                spans = [slice(edges[i], edges[i + 1]) for i in own]
+                raw = [_packed(keys[span], counts[span]) for span in spans]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(own, pa.int32()), pa.array(raw, pa.binary())], names=["bucket", "block"]
                 )
@@ -282,11 +283,13 @@ def _pair_writer(folder: str):
         _save(folder, f"more-{bucket:06d}", keys[over].astype("<u8"), counts[over].astype("<i8"))
         before, after = keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)
         first = np.flatnonzero(np.concatenate([[True], before[1:] != before[:-1]]))
-        columns = [np.add.reduceat(x.astype(np.int64), first) for x in (counts, counts == 1, counts == 2, counts > 2)]
+        kinds = (counts, counts == 1, counts == 2, counts > 2)
+        columns = [np.add.reduceat(x.astype(np.int64), first) for x in kinds]
         rows = list(_ranged(before[first].astype(np.int64), columns, "context"))
         ids, types = np.unique(after.astype(np.int64), return_counts=True)
         rows += _ranged(ids, [types], "before")
-        rows.append({"kind": "counts", "span": 0, "raw": b"", "counts": _count_of_counts(counts) + [len(keys)]})
+        found = _count_of_counts(counts) + [len(keys)]
+        rows.append({"kind": "counts", "span": 0, "raw": b"", "counts": found})
         return pd.DataFrame(rows, columns=["kind", "span", "raw", "counts"])
 
     return run
@@ -305,7 +308,8 @@ def _range_writer(folder: str):
                 table[k, ids] += v
         # Written as 64-bit integers: a count over the corpus may be large.
         _save(folder, f"{kind}-{span:08d}", table.astype("<i8"))
-        found = _count_of_counts(table[0][table[0] > 0]) + [int(table[0].sum()), int((table[0] > 2).sum())]
+        seen = table[0][table[0] > 0]
+        found = _count_of_counts(seen) + [int(seen.sum()), int((seen > 2).sum())]
         return pd.DataFrame({"kind": [kind], "span": [span], "counts": [found]})
 
     return run
@@ -373,8 +377,8 @@ def train(docs: DataFrame, folder: str, text_col: str = "text") -> Summary:
         .collect()
     )
     of_pairs = np.zeros(5, np.int64)
-    per_bucket = pairs.filter("kind = 'counts'").select(F.posexplode("counts")).groupBy("pos").agg(F.sum("col").alias("n"))
-    for row in per_bucket.collect():
+    per_bucket = pairs.filter("kind = 'counts'").select(F.posexplode("counts"))
+    for row in per_bucket.groupBy("pos").agg(F.sum("col").alias("n")).collect():
         of_pairs[row.pos] = row.n
     of_words = np.sum([[0] * 6, *(r.counts for r in ranges if r.kind == "before")], axis=0)
     summary = Summary(

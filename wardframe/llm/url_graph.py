@@ -124,7 +124,8 @@ def propagate(
     """Rows (host, trust, distrust) after at most ``rounds`` rounds.
 
     ``seeds`` holds (host, trust, distrust), both columns together summing to 1,
-    so that the two scores are on one scale. The restart goes to the seeds; a host without outgoing links gives nothing on.
+    so that the two scores are on one scale. The restart goes to the seeds; a
+    host without outgoing links gives nothing on.
     Each round is one join and one sum over the edges, written to the shared
     folder; only the largest change reaches the driver.
     """
