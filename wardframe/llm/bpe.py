@@ -26,10 +26,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardframe.llm.common import quoted
+from wardframe.llm.worker import remembers, serve
 
 LEAF_CHARS = 32_768
-SLICE_BYTES = 8 << 20
-MEMO_PIECES = 800_000
+SLICE_BYTES = 4 << 20
+MEMO_PIECES = 600_000
 MEMO_PIECE_CHARS = 64
 TOGETHER = 64
 FIRST_WINDOW = 32
@@ -40,8 +41,12 @@ UNSAFE_CUT = r"[\x09-\x0d\x20\x{85}\p{Z}] "
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
+remembers("bpe", _ENCODERS.clear)
+
+
 def encoder(path: str) -> "Encoder":
     """One encoder per worker process and file."""
+    serve("bpe")
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
@@ -245,12 +250,16 @@ def _encoded_batches(path: str):
             for a, b in slices(batch.column(1)):
                 texts = pc.fill_null(batch.column(1).slice(a, b - a), "")
                 ids, ends = own.encode(texts)
-                lists = [ids[s:e].tolist() for s, e in zip(ends, ends[1:])]
+                decoded = []
+                # A few texts at a time: lists of numbers take much more room than arrays.
+                for s in range(0, b - a, TOGETHER):
+                    bounds = ends[s : s + TOGETHER + 1]
+                    decoded += own.decode([ids[x:y].tolist() for x, y in zip(bounds, bounds[1:])])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a),
                         _lists(ids, ends),
-                        pa.array(own.decode(lists), pa.string()),
+                        pa.array(decoded, pa.string()),
                     ],
                     names=["key", "ids", "decoded"],
                 )

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from wardframe.llm.bpe import slices
 from wardframe.llm.common import crc32_rest, quoted
 from wardframe.llm.wordbytes import bytes_of, word_bounds
+from wardframe.llm.worker import serve
 
 PASSAGE_WORDS = 50
 THRESHOLD = 0.3
@@ -290,6 +291,7 @@ def score_documents(
     )
 
     def run(batches):
+        serve("classifier")
         for batch in batches:
             for a, b in slices(batch.column(1)):
                 score, attention, ends = _scores(model, batch.column(1).slice(a, b - a))
@@ -314,6 +316,7 @@ def accepted(
     at = [c.lower() for c in docs.columns].index(text_col.lower())
 
     def run(batches):
+        serve("classifier")
         for batch in batches:
             for a, b in slices(batch.column(at)):
                 part = batch.slice(a, b - a)

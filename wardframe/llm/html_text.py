@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from wardframe.llm.bpe import slices
 from wardframe.llm.common import quoted, stored
 from wardframe.llm.url_graph import host_of
+from wardframe.llm.worker import serve
 
 # A subtree is template if it is on so many different pages of its host, and on
 # this share of them. Within the article the share is high: a sentence that
@@ -342,6 +343,7 @@ def main_text(page: Page, template: set[int]) -> str:
 def _subtree_batches(batches) -> Iterator[pa.RecordBatch]:
     import xxhash
 
+    serve("html")
     for batch in batches:
         for a, b in slices(batch.column(1)):
             hosts, versions, marks = [], [], []
@@ -394,6 +396,7 @@ def site_templates(
 
 def _text_batches(names: list[str]):
     def run(batches):
+        serve("html")
         for batch in batches:
             for a, b in slices(batch.column(1)):
                 part = batch.slice(a, b - a)

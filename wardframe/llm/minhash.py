@@ -31,6 +31,7 @@ from wardframe.llm.bpe import slices
 from wardframe.llm.common import closed, opened, quoted, stored
 from wardframe.llm.components import components
 from wardframe.llm.wordbytes import mixed
+from wardframe.llm.worker import serve
 
 WORDS_PER_SHINGLE = 5
 SIMILARITY = 0.8
@@ -143,6 +144,7 @@ def samples(shingles: np.ndarray, weights: np.ndarray, ends: np.ndarray, count:
 
 def _cell_batches(batches) -> Iterator[pa.RecordBatch]:
     """Per task: in how many texts a word of each cell occurs, and the number of texts."""
+    serve("minhash")
     counts, texts = np.zeros(CELLS, np.int64), 0
     for batch in batches:
         for a, b in slices(batch.column(0), SLICE_BYTES):
@@ -153,7 +155,10 @@ def _cell_batches(batches) -> Iterator[pa.RecordBatch]:
             texts += b - a
     used = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays(
-        [pa.array([-1, *used], pa.int32()), pa.array([texts, *counts[used]], pa.int64())],
+        [
+            pa.array(np.concatenate([[-1], used]).astype(np.int32)),
+            pa.array(np.concatenate([[texts], counts[used]]).astype(np.int64)),
+        ],
         names=["cell", "n"],
     )
 
@@ -179,6 +184,7 @@ def _vectors(texts: pa.Array, idf: np.ndarray) -> list[tuple[np.ndarray, np.ndar
 
 def _signed(shared_idf, bands: int, rows: int):
     def run(batches):
+        serve("minhash")
         idf = shared_idf.value
         for batch in batches:
             for a, b in slices(batch.column(1), SLICE_BYTES):
@@ -199,13 +205,14 @@ def _signed(shared_idf, bands: int, rows: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a).take(pa.array(some)),
+                        batch.column(2).slice(a, b - a).take(pa.array(some)),
                         pa.array([float(vectors[i][1].sum()) for i in some]),
                         pa.ListArray.from_arrays(
                             pa.array(np.arange(len(some) + 1, dtype=np.int32) * bands),
                             pa.array(keys.ravel().view(np.int64)),
                         ),
                     ],
-                    names=["node", "weight", "keys"],
+                    names=["node", "pick", "weight", "keys"],
                 )
 
     return run
@@ -213,6 +220,7 @@ def _signed(shared_idf, bands: int, rows: int):
 
 def _verified(shared_idf, least: float):
     def run(batches):
+        serve("minhash")
         idf = shared_idf.value
         kept: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
         nodes = [(name, pa.binary()) for name in ("a", "b", "root_a", "root_b")]
@@ -226,24 +234,31 @@ def _verified(shared_idf, least: float):
             return kept[node]
 
         for batch in batches:
-            found = []
-            for a, b, text_a, text_b, root_a, root_b in zip(*[c.to_pylist() for c in batch.columns]):
-                similarity = weighted_jaccard(vector(a, text_a), vector(b, text_b))
-                if similarity >= least:
-                    found.append(dict(zip(schema.names, (a, b, root_a, root_b, similarity))))
-            yield pa.RecordBatch.from_pylist(found, schema=schema)
+            for start in range(0, batch.num_rows, 256):
+                found = []
+                columns = [c.to_pylist() for c in batch.slice(start, 256).columns]
+                for a, b, text_a, text_b, root_a, root_b in zip(*columns):
+                    similarity = weighted_jaccard(vector(a, text_a), vector(b, text_b))
+                    if similarity >= least:
+                        found.append(dict(zip(schema.names, (a, b, root_a, root_b, similarity))))
+                yield pa.RecordBatch.from_pylist(found, schema=schema)
 
     return run
 
 
 def _buckets(signed: DataFrame) -> DataFrame:
-    """Rows (key, node, weight, n, turn): buckets of two texts or more.
+    """Rows (key, node, pick, weight, n, turn): buckets of two texts or more.
+
+    ``pick`` is that of one of a text's copies.
 
     ``turn`` is spread evenly over 0 to ``n`` by a hash of text and key, so the
     first few turns are a few texts of any bucket, others in each band.
     """
     members = stored(
-        signed.select("node", "weight", F.explode("keys").alias("key")).distinct(), "band-members"
+        signed.select("node", "pick", "weight", F.explode("keys").alias("key"))
+        .groupBy("key", "node")
+        .agg(F.min("pick").alias("pick"), F.min("weight").alias("weight")),
+        "band-members",
     )
     shared = stored(
         members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "shared-buckets"
@@ -288,6 +303,7 @@ def _ordered(joined: DataFrame) -> DataFrame:
 
 def _shingle_rows(shared_idf):
     def run(batches):
+        serve("minhash")
         idf = shared_idf.value
         for batch in batches:
             for a, b in slices(batch.column(1), SLICE_BYTES):
@@ -408,6 +424,7 @@ def near_duplicate_links(
     rows: int = ROWS,
     all_pairs: int = ALL_PAIRS,
     centres: int = CENTRES,
+    id_col: str = "doc_id",
     text_col: str = "text",
 ) -> tuple[DataFrame, DataFrame]:
     """Verified links (a, b, similarity) between different texts, and (node, root) of classes.
@@ -417,15 +434,19 @@ def near_duplicate_links(
     """
     spark = docs.sparkSession
     body = F.coalesce(quoted(text_col), F.lit(""))
-    texts = docs.select(text_node(body).alias("node"), body.alias("body"))
+    pick = F.xxhash64(quoted(id_col))
+    texts = docs.select(text_node(body).alias("node"), body.alias("body"), pick.alias("pick"))
     idf = spark.sparkContext.broadcast(inverse_frequencies(docs, text_col))
     signed = texts.mapInArrow(
-        _signed(idf, bands, rows), "node binary, weight double, keys array<long>"
+        _signed(idf, bands, rows), "node binary, pick long, weight double, keys array<long>"
     )
     buckets = _buckets(signed)
-    wanted = buckets.select("node").distinct()
+    # One copy of each text, found by its pick, so that copies do not meet in one task.
+    wanted = buckets.select("node", "pick").distinct()
     bodies = stored(
-        texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("body").alias("body")),
+        texts.join(wanted, ["node", "pick"], "left_semi")
+        .groupBy("node")
+        .agg(F.first("body").alias("body")),
         "bodies",
     )
 
@@ -517,7 +538,7 @@ def _verdicts(rows: DataFrame, classes: DataFrame) -> DataFrame:
 def _with_verdicts(
     docs: DataFrame, id_col: str, text_col: str, **settings
 ) -> tuple[DataFrame, DataFrame]:
-    _, classes = near_duplicate_links(docs, text_col=text_col, **settings)
+    _, classes = near_duplicate_links(docs, id_col=id_col, text_col=text_col, **settings)
     body = F.coalesce(F.col("body"), F.lit(""))
     rows = opened(docs, id_col, text_col).withColumn("node", text_node(body))
     return rows, _verdicts(rows, classes)

@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from wardframe.llm.bpe import slices
 from wardframe.llm.common import crc32_rest, quoted, stored
 from wardframe.llm.wordbytes import NO_WORD, mixed, word_hashes
+from wardframe.llm.worker import remembers, serve
 
 HELD_OUT_PARTS = 10
 ADDED = 0.1
@@ -202,6 +203,7 @@ def _summed(blocks: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np
 
 def _pair_batches(folder: str, shards: list[dict], buckets: int):
     def run(batches):
+        serve("ngram")
         words, seen, held = Words(folder, shards), [], 0
 
         def blocks():
@@ -466,10 +468,12 @@ class Model:
 
 
 _MODELS: dict[str, Model] = {}
+remembers("ngram", _MODELS.clear)
 
 
 def _score_batches(folder: str, summary: Summary):
     def run(batches):
+        serve("ngram")
         if folder not in _MODELS:
             _MODELS.clear()
             _MODELS[folder] = Model(folder, summary)
