@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable
 
@@ -24,5 +25,14 @@ def serve(operator: str) -> None:
             if other != operator:
                 forget()
         gc.collect()
+        _return_freed()
         _serving = operator
     pa.default_memory_pool().release_unused()
+
+
+def _return_freed() -> None:
+    """Hands freed pages back to the system where the C library knows how to."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
