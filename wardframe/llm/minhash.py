@@ -35,7 +35,7 @@ from wardframe.llm.worker import serve
 
 WORDS_PER_SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 10, 3
+BANDS, ROWS = 14, 3
 # Words are counted in this many cells: a table of fixed size, whatever the corpus.
 CELLS = 1 << 20
 # Texts of one bucket that are all compared with each other, and how many are
