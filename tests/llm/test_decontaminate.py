@@ -129,3 +129,18 @@ def test_fingerprint_is_the_majority_of_each_bit(spark):
 def test_no_python_in_the_plan(spark, folder):
     docs, items = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
     assert "Python" not in D.benchmark_matches(docs, items)._jdf.queryExecution().toString()
+
+
+def test_parts_in_another_order_are_found(documents, benchmark):
+    # The window that holds both parts lines up with the item in none of its shared shingles.
+    w = PASSAGE.split()
+    rows = [
+        (i, around(" ".join(w[at:] + w[:at])))
+        for i, at in enumerate((1, 3, 20, 37))
+    ]
+    rows.append((9, around(" ".join(w[13:26] + w[:13] + w[26:]))))
+    rows.append((10, around(" ".join(w[20:] + ["between"] + w[:20]))))
+    found = D.benchmark_matches(documents(rows), benchmark).collect()
+    want = brute_force(rows, ITEMS)
+    assert {(r.doc_id, r.item_id): r.similarity for r in found} == pytest.approx(want)
+    assert (2, 1) in want

@@ -1,18 +1,18 @@
 """Benchmark passages in documents, found by SimHash and verified by shingles.
 
-For every place of a document that shares a five-word shingle with an item, the
-window of the item's size that lines up with it gets a SimHash fingerprint. A
-match must share a shingle, so no other window can be one. Fingerprints are cut
-into one block more than the radius: two within the radius agree in one block
-at least, so joining windows and items of one size on their blocks finds all of
-them. What is found is verified by the exact weighted similarity of shingles.
+Every window of an item's size gets a SimHash fingerprint, unless it shares too few letters with all items of that size to reach
+the similarity; that is counted beforehand, by one running sum per document, and
+loses no match. Fingerprints are cut into one block more than the radius: two
+within the radius agree in one block at least, so joining windows and items of
+one size on their blocks finds all of them. What is found is verified by the
+exact weighted similarity of shingles.
 
 All steps are built-in functions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardframe.llm.common import closed, let, opened, quoted, stored
@@ -89,44 +89,69 @@ def benchmark_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str
     return hashed.withColumn("print", let(F.col("hashes"), fingerprint))
 
 
-def _windows(rows: DataFrame, items: DataFrame) -> DataFrame:
-    """Rows (id, version, start, n, words): item-sized windows with a shared shingle.
+def _windows(rows: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
+    """Rows (id, version, start, n, words): item-sized windows that may match.
+
+    A match shares ``similarity`` of its item's weight at least. A shared shingle
+    counts for the windows from the one that ends with it to the one that starts
+    with it; the running sum of what begins and ends to count is the weight that
+    a window shares with all items of its size together, and bounds that with any.
 
     Only ids, places and hashes are joined with the shingles of the items; the
     words are read again from the few documents that have a window. A window
     that would reach beyond its document ends there.
     """
-    in_items = items.select("n", F.posexplode(_shingles(F.col("hashes"))))
-    shingles = in_items.select(F.col("col").alias("h"), F.col("pos").alias("offset"), "n").distinct()
-    shingles = stored(shingles, "item-shingles")
+    weighed = items.select("n", _weighted_shingles(F.col("hashes"), F.col("sizes")).alias("own"))
+    needs = weighed.groupBy("n").agg((F.min(_total(F.col("own"))) * similarity).alias("need"))
+    in_items = weighed.select("n", F.explode("own").alias("s")).groupBy("n", F.col("s.h").alias("h"))
+    shingles = stored(in_items.agg(F.max("s.w").alias("w")).join(needs, "n"), "item-shingles")
     hashes = F.transform(_words(F.col("body")), lambda w: F.xxhash64(w))
     # An outer explode has no condition that the planner would compute beforehand.
     placed = rows.select(
         "id", F.xxhash64("body").alias("version"), F.posexplode_outer(let(hashes, _shingles))
     ).select("id", "version", F.col("pos").alias("at"), F.col("col").alias("h"))
     # The documents come first: a shingle that very many of them share may then be split.
-    lined = (
-        placed.join(shingles, "h")
-        .select("id", "version", (F.col("at") - F.col("offset")).alias("start"), "n")
-        .distinct()
+    shared = placed.join(shingles, "h").select("id", "version", "n", "need", "at", "w").distinct()
+    begins = F.struct((F.col("at") + WORDS_PER_SHINGLE - F.col("n")).alias("start"), F.col("w").alias("w"))
+    ends = F.struct((F.col("at") + 1).alias("start"), (-F.col("w")).alias("w"))
+    steps = (
+        shared.select("id", "version", "n", "need", F.explode(F.array(begins, ends)).alias("x"))
+        .groupBy("id", "version", "n", "need", "x.start")
+        .agg(F.sum("x.w").alias("w"))
+    )
+    along = Window.partitionBy("id", "version", "n").orderBy("start")
+    lasting = steps.select(
+        "id",
+        "version",
+        "n",
+        "need",
+        "start",
+        F.sum("w").over(along.rowsBetween(Window.unboundedPreceding, 0)).alias("shares"),
+        F.lead("start").over(along).alias("next"),
     )
+    # Sums are whole numbers; the small allowance is for the product with the similarity.
+    enough = lasting.filter((F.col("shares") > 0) & (F.col("shares") >= F.col("need") - 1e-6))
     per_document = stored(
-        lined.groupBy("id", "version")
-        .agg(F.collect_list(F.struct("start", "n")).alias("places"))
+        enough.groupBy("id", "version")
+        .agg(F.collect_list(F.struct("start", "next", "n")).alias("runs"))
         .withColumnsRenamed({"id": "of_id", "version": "of_version"}),
         "places",
     )
 
     def cut(words: Column) -> Column:
-        first = lambda w: F.greatest(w["start"], F.lit(0))
-        return F.transform(
-            "places",
-            lambda w: F.struct(
-                w["start"].alias("start"),
-                w["n"].alias("n"),
-                F.slice(words, first(w) + 1, w["start"] + w["n"] - first(w)).alias("words"),
-            ),
-        )
+        first = lambda at: F.greatest(at, F.lit(0))
+
+        def of_run(run: Column) -> Column:
+            return F.transform(
+                F.sequence(run["start"], run["next"] - 1),
+                lambda at: F.struct(
+                    at.alias("start"),
+                    run["n"].alias("n"),
+                    F.slice(words, first(at) + 1, at + run["n"] - first(at)).alias("words"),
+                ),
+            )
+
+        return F.flatten(F.transform("runs", of_run))
 
     # Repeated documents have the same windows; one of them is enough.
     found = rows.withColumn("version", F.xxhash64("body")).join(
@@ -158,7 +183,7 @@ def benchmark_matches(
     """
     rows = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("body"))
     items = stored(benchmark_items(benchmark, item_col, item_text_col), "items")
-    windows = stored(_windows(rows, items), "windows").select(
+    windows = stored(_windows(rows, items, similarity), "windows").select(
         "id",
         "version",
         "start",
