@@ -144,3 +144,27 @@ def test_parts_in_another_order_are_found(documents, benchmark):
     want = brute_force(rows, ITEMS)
     assert {(r.doc_id, r.item_id): r.similarity for r in found} == pytest.approx(want)
     assert (2, 1) in want
+
+
+def edited(text, least=0.8):
+    """The text with as many words replaced at its start, or its end, as keep the similarity."""
+    w = text.split()
+    for turn in (lambda x: x, lambda x: x[::-1]):
+        last = None
+        for k in range(1, len(w)):
+            cut = " ".join(turn([f"edit{j}" for j in range(k)] + turn(w)[k:]))
+            if not brute_force([(0, around(cut))], [(0, text)], least):
+                break
+            last = cut
+        if last:
+            yield last
+
+
+def test_items_edited_at_their_ends_are_all_found(spark, documents, folder):
+    rows = spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text").collect()
+    of_rows = [(r.item_id, t) for r in rows for t in edited(r.text or "")]
+    docs = [(n, around(t)) for n, (_, t) in enumerate(of_rows)]
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    found = D.benchmark_matches(documents(docs), items).collect()
+    got = {(r.doc_id, r.item_id) for r in found}
+    assert docs and {(n, i) for n, (i, _) in enumerate(of_rows)} <= got

@@ -1,12 +1,18 @@
 """Benchmark passages in documents, found by SimHash and verified by shingles.
 
-Every window of an item's size gets a SimHash fingerprint, unless it shares too few letters with all items of that size to reach
+Every window of an item's size gets a SimHash fingerprint of its weighted
+shingles, unless it shares too few letters with all items of that size to reach
 the similarity; that is counted beforehand, by one running sum per document, and
 loses no match. Fingerprints are cut into one block more than the radius: two
 within the radius agree in one block at least, so joining windows and items of
 one size on their blocks finds all of them. What is found is verified by the
 exact weighted similarity of shingles.
 
+A shingle enters the fingerprint with the root of its weight. The cosine of two
+windows of similarity 0.8 is then 0.889 or more, so that each of the 64 bits
+differs with a probability of 0.152 at most, and a radius of 24 loses about three
+in a million of the pairs at the very limit.
+
 All steps are built-in functions.
 """
 
@@ -19,7 +25,9 @@ from wardframe.llm.common import closed, let, opened, quoted, stored
 
 WORDS_PER_SHINGLE = 5
 SIMILARITY = 0.8
-RADIUS = 15
+RADIUS = 24
+# Roots of weights are rounded to such parts, so that sums do not depend on their order.
+ROOT_PARTS = 1024
 WORD = r"[\p{L}\p{N}]+"
 
 
@@ -50,20 +58,35 @@ def _total(shingles: Column) -> Column:
     return F.aggregate(shingles, F.lit(0).cast("long"), lambda acc, s: acc + s["w"])
 
 
-def fingerprint(hashes: Column) -> Column:
-    """64 bits: for each, whether it is set in more words than not."""
+def fingerprint(hashes: Column, weights: Column | None = None) -> Column:
+    """64 bits: for each, whether the hashes with it weigh more than those without."""
+    weights = F.transform(hashes, lambda _: F.lit(1).cast("long")) if weights is None else weights
+    total = F.aggregate(weights, F.lit(0).cast("long"), lambda acc, w: acc + w)
+
+    def of(x: Column) -> Column:
+        def bit(b: Column) -> Column:
+            having = F.aggregate(
+                x["pairs"],
+                F.lit(0).cast("long"),
+                lambda acc, p: acc + F.getbit(p["hashes"], b) * p["weights"],
+            )
+            return F.when(2 * having > x["total"], F.lit(1)).otherwise(F.lit(0)).cast("long")
 
-    def bit(b: Column) -> Column:
-        balance = F.aggregate(
-            hashes, F.lit(0), lambda acc, h: acc + 2 * F.getbit(h, b).cast("int") - 1
+        return F.aggregate(
+            F.sequence(F.lit(63), F.lit(0)),
+            F.lit(0).cast("long"),
+            lambda acc, b: F.shiftleft(acc, 1).bitwiseOR(bit(b)),
         )
-        return F.when(balance > 0, F.lit(1)).otherwise(F.lit(0)).cast("long")
 
-    return F.aggregate(
-        F.sequence(F.lit(63), F.lit(0)),
-        F.lit(0).cast("long"),
-        lambda acc, b: F.shiftleft(acc, 1).bitwiseOR(bit(b)),
-    )
+    pairs = F.arrays_zip(hashes.alias("hashes"), weights.alias("weights"))
+    return let(F.struct(pairs.alias("pairs"), total.alias("total")), of)
+
+
+def _print(hashes: Column, sizes: Column) -> Column:
+    """The fingerprint of the weighted shingles of a list of words."""
+    root = lambda s: F.round(F.sqrt(s["w"]) * ROOT_PARTS).cast("long")
+    of = lambda s: fingerprint(F.transform(s, lambda x: x["h"]), F.transform(s, root))
+    return let(_weighted_shingles(hashes, sizes), of)
 
 
 def _blocks(radius: int) -> Column:
@@ -86,7 +109,7 @@ def benchmark_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str
         F.transform("words", lambda w: F.char_length(w)).alias("sizes"),
     )
     hashed = stored(hashed.filter(F.col("n") >= WORDS_PER_SHINGLE), "item-words")
-    return hashed.withColumn("print", let(F.col("hashes"), fingerprint))
+    return hashed.withColumn("print", _print(F.col("hashes"), F.col("sizes")))
 
 
 def _windows(rows: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
@@ -191,7 +214,7 @@ def benchmark_matches(
         F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
         F.transform("words", lambda w: F.char_length(w)).alias("sizes"),
     )
-    prints = stored(windows.withColumn("print", let(F.col("hashes"), fingerprint)), "prints")
+    prints = stored(windows.withColumn("print", _print(F.col("hashes"), F.col("sizes"))), "prints")
     keyed = prints.select("id", "version", "start", "n", "print", _blocks(radius).alias("key"))
     of_items = items.select(
         "item", "n", F.col("print").alias("item_print"), F.struct("hashes", "sizes").alias("item_words"),
