@@ -89,6 +89,41 @@ def test_scores_equal_brute_force(spark):
         assert got[h] == pytest.approx(want[h], abs=1e-12)
 
 
+def ranked(spark, seeds, edges, **kw):
+    found = propagate(
+        spark.createDataFrame(seeds, "host string, trust double, distrust double"),
+        spark.createDataFrame(edges, "src string, dst string, weight long"),
+        **kw,
+    )
+    return {r.host: (r.trust, r.distrust) for r in found.collect()}
+
+
+def test_copies_of_a_web_get_the_scores_of_one(spark):
+    edges = [("a", "b", 1), ("b", "c", 1), ("c", "d", 2), ("d", "e", 1), ("c", "e", 1), ("e", "z", 1)]
+    seeds = [("a", 0.5, 0.0), ("z", 0.0, 0.5)]
+    one = ranked(spark, seeds, edges, rounds=7)
+    assert min(t for t, _ in one.values()) > 0 and min(d for _, d in one.values()) > 0
+    # As of ten million copies, three of which are there.
+    of = lambda h, i: f"{h}{i}"
+    copies = ranked(
+        spark,
+        [(of(h, i), t * 1e-7, d * 1e-7) for h, t, d in seeds for i in range(3)],
+        [(of(a, i), of(b, i), w) for a, b, w in edges for i in range(3)],
+        rounds=7,
+    )
+    for i in range(3):
+        for h, (t, d) in one.items():
+            assert copies[of(h, i)] == pytest.approx((t * 1e-7, d * 1e-7), rel=1e-9)
+
+
+@pytest.mark.parametrize("length", [3, 4, 9])
+def test_chains_are_followed_to_their_ends(spark, length):
+    edges = [(f"h{k}", f"h{k + 1}", 1) for k in range(length)]
+    found = ranked(spark, [("h0", 1.0, 0.0)], edges, rounds=3)
+    assert found.keys() == {f"h{k}" for k in range(length + 1)}
+    assert all(t > 0 for t, _ in found.values())
+
+
 def test_verdicts_follow_the_links(spark):
     found = {r.host: r.verdict for r in judge_urls(pages(spark, LINKED), RULES).collect()}
     assert found == {

@@ -114,6 +114,12 @@ def _flows(edges: DataFrame) -> DataFrame:
     )
 
 
+def _change(now: Column, before: Column) -> tuple[Column, Column]:
+    """The change as a share of the greater score, and whether the score is the first one."""
+    share = F.abs(now - before) / F.greatest(now, before)
+    return F.when(now == before, F.lit(0.0)).otherwise(share), (now > 0) & (before == 0)
+
+
 def propagate(
     seeds: DataFrame,
     edges: DataFrame,
@@ -121,17 +127,23 @@ def propagate(
     rounds: int = ROUNDS,
     tolerance: float = TOLERANCE,
 ) -> DataFrame:
-    """Rows (host, trust, distrust) after at most ``rounds`` rounds.
+    """Rows (host, trust, distrust), settled to ``tolerance`` or after ``rounds`` rounds.
+
+    A score has settled when it changes by no more than ``tolerance`` of itself,
+    however small it is, since verdicts compare a host's scores with each other.
+    Neither limit ends the run while scores still reach new hosts: a chain of
+    more than ``rounds`` links is followed to its end, and for ``rounds`` more.
 
     ``seeds`` holds (host, trust, distrust), both columns together summing to 1,
     so that the two scores are on one scale. The restart goes to the seeds; a
     host without outgoing links gives nothing on.
     Each round is one join and one sum over the edges, written to the shared
-    folder; only the largest change reaches the driver.
+    folder; only the largest change and whether a host is new reach the driver.
     """
     flows = stored(_flows(edges), "flows")
     ranks = seeds
-    for _ in range(rounds):
+    done, last_new = 0, 0
+    while last_new == done or done < (rounds if last_new <= rounds else last_new + rounds):
         moved = flows.alias("f").join(
             ranks.withColumnsRenamed({"trust": "t", "distrust": "d"}),
             F.col("f.giver") == F.col("host"),
@@ -164,16 +176,14 @@ def propagate(
             .agg(*[F.sum(c).alias(c) for c in ("trust", "distrust", "was_t", "was_d")]),
             "ranks",
         )
-        change = after.agg(
-            F.max(
-                F.greatest(
-                    F.abs(F.col("trust") - F.col("was_t")),
-                    F.abs(F.col("distrust") - F.col("was_d")),
-                )
-            )
-        ).first()[0]
         ranks = after.select("host", "trust", "distrust")
-        if change is None or change <= tolerance:
+        pairs = [("trust", "was_t"), ("distrust", "was_d")]
+        changes, news = zip(*[_change(F.col(c), F.col(was)) for c, was in pairs])
+        change, new = after.agg(F.max(F.greatest(*changes)), F.max(F.greatest(*news))).first()
+        done += 1
+        if new:
+            last_new = done
+        elif change is None or change <= tolerance:
             break
     return ranks
 
