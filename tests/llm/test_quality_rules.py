@@ -76,6 +76,31 @@ def test_small_strata_take_wider_fences(spark):
     assert {r.doc_id for r in found if not r.kept} == set(range(0, 120, 10))
 
 
+def test_a_source_full_of_junk_does_not_set_its_own_fence(spark):
+    # 48 of the 120 documents of source "hot" are full of symbols, so its upper quartile is junk.
+    rows, junk = [], set()
+    for i in range(600):
+        words = [f"w{(i * 31 + k * 17) % 997}" for k in range(60)]
+        hot = i % 5 == 0
+        if hot and i % 25 in (0, 5):
+            words = ["##" + w[1:] for w in words]
+            junk.add(i)
+        rows.append((i, " ".join(words), "en", "hot" if hot else f"s{i % 2}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = Q.quality_verdicts(df, min_rows=50).collect()
+    assert {r.doc_id for r in found if not r.kept} == junk
+
+
+def test_slack_follows_the_corpus(spark):
+    # Symbols at a rate of 0.03 to 0.05, where nearly no other text has any.
+    rows = [(i, " ".join(f"w{(i * 31 + k * 17) % 997}" for k in range(60)), "en", "s") for i in range(400)]
+    rows.append((400, rows[0][1] + " # * $ % & # * $ %", "en", "s"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = {r.doc_id: r for r in Q.quality_verdicts(df, min_rows=50).collect()}
+    assert 0.03 < found[400].symbol_rate < 0.05
+    assert [i for i, r in found.items() if not r.kept] == [400]
+
+
 def test_filter_keeps_rows_and_columns(spark, documents):
     df = documents([(i, " ".join(f"w{(i + k) % 99}" for k in range(40))) for i in range(30)] * 2)
     kept = Q.filter_documents(df)

@@ -19,8 +19,10 @@ WINDOW_WORDS = 8
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
 
-# The rates held against fences, with the least distance of a fence from its
-# quartile: a spread of zero must not turn a single odd character into a reject.
+# The rates held against fences, with the greatest slack of a fence. The slack is
+# a high quantile of the rate, but no more than this, as junk may reach that
+# quantile, and no less than a tenth: a spread of zero must not turn a single odd
+# character into a reject.
 RATES = {
     "symbol_rate": 0.05,
     "upper_rate": 0.10,
@@ -29,6 +31,8 @@ RATES = {
     "echo_rate": 0.10,
 }
 LENGTH_SLACK = 1.0
+SLACK_QUANTILE = 0.99
+LEAST_SLACK = 0.1
 REACH = 3.0
 SKETCH_K = 1024
 MIN_STRATUM = 100
@@ -153,7 +157,10 @@ def fences(sketches: DataFrame, reach: float = REACH, min_rows: int = MIN_STRATU
     """Rows (lang, source, bounds): a struct with ``m_lo`` and ``m_hi`` per measure.
 
     A stratum of fewer than ``min_rows`` documents takes the merged sketches of
-    its language, and a language of fewer those of the whole corpus.
+    its language, and a language of fewer those of the whole corpus. The fence of
+    a rate is never above that of its language or of the corpus, so that a source
+    of which much is junk does not set its own; nor is that of the mean word
+    length outside its language's, while languages differ in it.
     """
     merged = [F.kll_merge_agg_double(F.col(m)).alias(m) for m in _measures()]
 
@@ -163,7 +170,11 @@ def fences(sketches: DataFrame, reach: float = REACH, min_rows: int = MIN_STRATU
             q1, q3 = [
                 F.kll_sketch_get_quantile_double(F.col(prefix + m), F.lit(p)) for p in (0.25, 0.75)
             ]
-            slack = RATES.get(m, LENGTH_SLACK)
+            if m in RATES:
+                high = F.kll_sketch_get_quantile_double(F.col(prefix + m), F.lit(SLACK_QUANTILE))
+                slack = F.greatest(F.least(high, F.lit(RATES[m])), F.lit(LEAST_SLACK * RATES[m]))
+            else:
+                slack = F.lit(LENGTH_SLACK)
             parts += [
                 (q1 - reach * (q3 - q1) - slack).alias(f"{m}_lo"),
                 (q3 + reach * (q3 - q1) + slack).alias(f"{m}_hi"),
@@ -177,16 +188,24 @@ def fences(sketches: DataFrame, reach: float = REACH, min_rows: int = MIN_STRATU
     )
     overall = sketches.agg(F.count("*").alias("n"), *merged).filter("n > 0").select(bounds(""))
     own = sketches.select("lang", "source", "n", bounds("").alias("own_b"))
-    joined = own.join(by_lang, F.col("lang").eqNullSafe(F.col("of_lang")), "left")
-    return joined.select(
+    joined = own.join(by_lang, F.col("lang").eqNullSafe(F.col("of_lang")), "left").select(
         "lang",
         "source",
-        F.when(F.col("n") >= min_rows, F.col("own_b"))
-        .when(F.col("lang_n") >= min_rows, F.col("lang_b"))
-        .otherwise(overall.scalar())
-        .alias("bounds"),
+        F.when(F.col("n") >= min_rows, F.col("own_b")).alias("own_b"),
+        F.when(F.col("lang_n") >= min_rows, F.col("lang_b")).alias("lang_b"),
+        overall.scalar().alias("all_b"),
     )
 
+    def bound(name: str) -> Column:
+        levels = [F.col(level)[name] for level in ("own_b", "lang_b", "all_b")]
+        if name.startswith("mean_word"):
+            tightest = F.greatest if name.endswith("_lo") else F.least
+            return F.coalesce(tightest(*levels[:2]), levels[2]).alias(name)
+        return (F.coalesce(*levels) if name.endswith("_lo") else F.least(*levels)).alias(name)
+
+    names = [f"{m}_{end}" for m in _measures() for end in ("lo", "hi")]
+    return joined.select("lang", "source", F.struct(*[bound(n) for n in names]).alias("bounds"))
+
 
 def judge(metrics: DataFrame, bounds: DataFrame) -> DataFrame:
     """Adds ``base_failed`` and ``kept`` to rows with metrics, by their stratum's fences.
@@ -234,7 +253,8 @@ def quality_verdicts(
 
     A document is kept if it passes the base rule and all its rates and its
     mean word length lie within the fences of its language and source: the
-    quartiles, widened by ``reach`` times their distance and a small slack.
+    quartiles, widened by ``reach`` times their distance and a small slack, and
+    bounded by the fences of the language and of the corpus (see ``fences``).
 
     A null or empty text has no words and fails the base rule. Null languages
     and sources are strata of their own. Repeated rows each count and each get
