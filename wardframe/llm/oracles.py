@@ -87,7 +87,81 @@ SELECT page_id, p.host, path, rule, coalesce(verdict, CASE WHEN coalesce(r.distr
 FROM ruled p LEFT JOIN r{ROUNDS} r ON r.host = p.host
 """
 
+FILL_IN_MIDDLE = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '(?s)[A-Za-z]+|[^A-Za-z]') AS u FROM documents
+), drawn AS (
+  SELECT *, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+         CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM units
+), cuts AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+              OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn
+), parts AS (
+  SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS p, coalesce(array_to_string(u[a + 1:b], ''), '') AS m,
+         coalesce(array_to_string(u[b + 1:], ''), '') AS s FROM cuts
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+FILTER_AUDIT = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), firsts AS (
+  SELECT text, min(doc_id) AS first FROM words GROUP BY text
+), marks AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), facts AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, [
+         len(w) < 200,
+         100 * len(list_distinct(w)) < 50 * len(w),
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text),
+         regexp_matches(text, '[#$%&*|]'),
+         coalesce(words.doc_id > first, false)] AS fails
+  FROM words JOIN firsts USING (text) LEFT JOIN marks ON marks.doc_id = words.doc_id
+), counted AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM facts GROUP BY part, fails
+), letters AS (
+  SELECT unnest(range(1, 6)) AS i
+), orders AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+), steps AS (
+  SELECT o, array_to_string(list_transform(o, lambda x: chr(64 + CAST(x AS INT))), '') AS filter_order,
+         CAST(unnest(range(1, 6)) AS INT) AS step FROM orders
+), judged AS (
+  SELECT part, filter_order, step, o[step] AS own, n, good, toxic, fails[o[step]] AS failing,
+         len(list_filter(o[1:step - 1], lambda x: fails[x])) > 0 AS gone, len(list_filter(fails, lambda x: x)) AS n_fails
+  FROM counted, steps
+), tallied AS (
+  SELECT part, filter_order, step, own,
+         coalesce(sum(n) FILTER (WHERE NOT failing AND NOT gone), 0) AS kept,
+         coalesce(sum(n) FILTER (WHERE failing AND NOT gone), 0) AS removed,
+         coalesce(sum(n) FILTER (WHERE failing AND gone), 0) AS redundant,
+         coalesce(sum(n) FILTER (WHERE failing AND n_fails = 1), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE failing AND NOT gone), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (WHERE failing AND NOT gone), 0) AS toxic_lost
+  FROM judged GROUP BY part, filter_order, step, own
+)
+SELECT * EXCLUDE (own, kept, removed, redundant, unique_fails, good_lost, toxic_lost),
+       CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM tallied
+"""
+
 ORACLES = {
+    "op11_fim": FILL_IN_MIDDLE,
+    "op13_filter_audit": FILTER_AUDIT,
     "op7_decontaminate": DECONTAMINATE,
     "op9_url_graph": URL_GRAPH,
     "op5_line_dedup": r"""

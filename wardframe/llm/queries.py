@@ -12,9 +12,12 @@ from wardframe.llm.bpe import encode_documents
 from wardframe.llm.classifier import HELD_OUT_PARTS, THRESHOLD, score_documents, train
 from wardframe.llm.common import crc32_rest, table
 from wardframe.llm.decontaminate import benchmark_matches
+from wardframe.llm.filter_audit import audit_filters
+from wardframe.llm.fim import fill_in_middle, restore
 from wardframe.llm.html_text import extract_text
 from wardframe.llm.line_dedup import dedup_lines
 from wardframe.llm.minhash import near_duplicates
+from wardframe.llm.packing import pack_documents
 from wardframe.llm.quality_rules import quality_verdicts
 from wardframe.llm.token_files import read_token_files, token_files_folder, write_token_files
 from wardframe.llm.url_graph import Rule, judge_urls
@@ -147,3 +150,30 @@ def op10_ngram_lm(spark, folder):
         "base_score",
         "score",
     )
+
+
+@query
+def op11_fim(spark, folder):
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return restore(fill_in_middle(documents)).select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        sha256(F.col("output")).alias("output_sha256"),
+        sha256(F.col("restored")).alias("restored_sha256"),
+    )
+
+
+@query
+def op12_packing(spark, folder):
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return pack_documents(documents, tokenizer()).select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
+    )
+
+
+@query
+def op13_filter_audit(spark, folder):
+    return audit_filters(table(spark, folder, "documents"), table(spark, folder, "labels"))
