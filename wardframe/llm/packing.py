@@ -260,22 +260,23 @@ def place(
 ) -> DataFrame:
     """Rows (key, sequence_id, offset): pieces (key, length) packed into sequences.
 
-    A piece that fills a sequence has its own. Each epoch takes one pass over the
+    Each epoch takes one pass over the
     pieces that are not settled, written and read back; an island holds about
     ``island_items`` of them, whatever the table. Migrants are the commonest
     filled bins, ``ELITE`` at most, each of ``capacity`` sizes at most.
     """
     result = ["key", "sequence_id", "offset"]
-    alone = F.col("length") >= capacity
-    settled = items.filter(alone).select(
-        "key", F.col("key").alias("sequence_id"), F.lit(0).cast("long").alias("offset")
-    )
-    free, elite = items.filter(~alone).select("key", "length"), []
+    settled = items.select("key", F.col("key").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    settled = settled.filter("false")
+    tasks = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    free, elite = items.select("key", "length"), []
     for epoch in range(epochs):
         islands = -(-free.count() // island_items)
         if not islands:
             break
         dealt = free.withColumn("island", F.pmod(F.xxhash64("key", F.lit(epoch)), F.lit(islands)))
+        # As many tasks as islands: their rows are few bytes, their work is not.
+        dealt = dealt.repartition(max(islands, tasks), "island")
         placed = stored(
             dealt.groupBy("island").applyInPandas(_island(capacity, epoch, elite), PLACED), f"epoch-{epoch}"
         )
@@ -312,9 +313,13 @@ def pack_documents(
     same files place alike; ``sequence_id`` has no order.
     """
     pieces = stored(token_pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col), "pieces")
-    placed = place(pieces.select("key", "length"), capacity, epochs, island_items)
+    # A piece that fills a sequence is one, wherever it lies.
+    alone = F.col("length") >= capacity
+    filled = pieces.filter(alone).select("*", F.col("key").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    others = pieces.filter(~alone)
+    placed = place(others.select("key", "length"), capacity, epochs, island_items)
     # The same join at every size: placements grow with the documents.
-    joined = pieces.join(placed.hint("merge"), "key")
-    return joined.select(
+    packed = filled.unionByName(others.join(placed.hint("merge"), "key"))
+    return packed.select(
         F.col("id").alias(id_col), "piece", "start", "length", "ids", "sequence_id", "offset"
     )
