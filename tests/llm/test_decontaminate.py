@@ -120,6 +120,48 @@ def test_blocks_find_every_fingerprint_within_the_radius(spark):
     assert one.join(other, ["a", "b", "key"]).select("a").distinct().count() == 4000
 
 
+def test_a_large_benchmark_of_one_size_is_pruned(spark, documents):
+    # 10,000 items of 24 words, of which 12 are the same in all and 4 more in a hundred each.
+    def item(i):
+        own = [f"own{i}a", f"own{i}b", f"own{i}c", f"own{i}d", f"own{i}e", f"own{i}f", f"own{i}g", f"own{i}h"]
+        return " ".join([*(f"common{k}" for k in range(12)), *(f"group{i % 100}x{k}" for k in range(4)), *own])
+
+    items = spark.createDataFrame([(i, item(i)) for i in range(10_000)], "item_id long, text string")
+    rows = [(i, around(item(37 * i))) for i in range(60)]
+    rows += [(100 + i, around(changed(item(11 * i), 3))) for i in range(60)]
+    rows += [(200 + i, around(" ".join(item(i).split()[:16]))) for i in range(60)]
+    texts = D.benchmark_items(items).drop("item").cache()
+    shingles = D.item_shingles(texts).cache()
+    docs = documents(rows).selectExpr("struct(doc_id as id, xxhash64(text) as version) as doc", "text as body")
+    windows = D._windows(docs, shingles, 0.8).cache()
+    # Of a document with one passage, a few windows meet one item each; all others meet none.
+    assert windows.select("doc").distinct().count() <= 120
+    assert windows.count() <= 120 * 8
+    assert D.candidates(windows, texts).count() <= 120 * 8
+    found = {(r.doc_id, r.item_id) for r in D.benchmark_matches(documents(rows), items).collect()}
+    want = {(i, 37 * i) for i in range(60)}
+    some = [(i, item(i)) for i in range(0, 660, 11)]
+    want |= {k for k in brute_force(rows[60:120], some)}
+    assert want == found
+
+
+def test_a_similarity_of_exactly_the_least_counts(spark, documents):
+    # Nine of ten shingles are shared and one more is in either: 9 / 11, then the same as the limit.
+    text = " ".join(f"w{i:02d}" for i in range(14))
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    docs = documents([(1, changed(text, 0))])
+    exact = brute_force([(1, changed(text, 0))], [(1, text)])[1, 1]
+    for least, expected in ((exact, 1), (exact + 1e-9, 0)):
+        assert D.benchmark_matches(docs, items, similarity=least).count() == expected
+
+
+def test_documents_that_hold_very_many_items(spark, documents):
+    items = [(i, f"item {i} with seven words of {i * i} own") for i in range(300)]
+    rows = [(1, " ".join(t for _, t in items)), (2, " ".join(t for _, t in items[::-1])), (3, None)]
+    found = D.benchmark_matches(documents(rows), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == set(brute_force(rows, items))
+
+
 def test_fingerprint_is_the_majority_of_each_bit(spark):
     rows = spark.createDataFrame([([1, 3, 2],), ([-1],), ([],)], "h array<long>")
     found = [r[0] for r in rows.select(D.fingerprint(F.col("h"))).collect()]

@@ -21,8 +21,9 @@ WITH words AS (
   SELECT item_id, w, i AS pos, list_slice(w, i, i + 4) AS s
   FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i FROM items WHERE len(w) >= 5)
 ), places AS (
-  SELECT DISTINCT d.doc_id, i.item_id, i.w AS iw, d.pos - i.pos AS start
-  FROM in_docs d JOIN in_items i ON d.s = i.s
+  -- Every window of the item's size that holds a shared shingle.
+  SELECT DISTINCT doc_id, item_id, iw, unnest(range(hit - len(iw) + 5, hit + 1)) AS start
+  FROM (SELECT d.doc_id, i.item_id, i.w AS iw, d.pos - 1 AS hit FROM in_docs d JOIN in_items i ON d.s = i.s)
 ), windows AS (
   SELECT p.doc_id, item_id, len(iw) AS n, start, {SHINGLES.format(w="iw")} AS its,
          list_slice(d.w, greatest(start, 0) + 1, start + len(iw)) AS ow
