@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from wardframe import schema as S
 from wardframe.checks.derived import DIM_FROM, DIM_RAW, FACT_FROM, FACT_RAW, derivation
 from wardframe.checks.queries import (
-    COUNTED,
     MEAN_DIGITS,
     PROVIDER_NAME,
     PROVIDER_NUMBER,
@@ -126,6 +125,8 @@ HOURS_LONG = _union(
 FACT_NUMBERS = ["COUNTY_FIPS", "WorkDate", "MDScensus"] + [c for c in FACT_RAW if c[:4] == "Hrs_"]
 FACT_TEXTS = [c for c in FACT_RAW if c not in FACT_NUMBERS]
 DIM_NUMBERS = list(S.DIM_COLUMNS)[6:]
+LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 COUNTED_FACT = ["PROVNAME", "CITY", "STATE", "COUNTY_NAME", "MDScensus", "WorkDate"]
 
 
@@ -326,7 +327,9 @@ _BODIES = {
     "head_n": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 10",
     "parts_union": TAX_UNION,
     "parquet_parts_union": TAX_UNION,
-    "distinct_counts": _counts("lineitem", COUNTED, "count(DISTINCT {c})", "n_distinct"),
+    "parts_of_several_types": """SELECT * REPLACE (CAST(l_quantity AS DOUBLE) AS l_quantity,
+        CAST(l_suppkey AS BIGINT) AS l_suppkey, CASE WHEN l_orderkey % 3 <> 2 THEN l_tax END AS l_tax) FROM lineitem""",
+    "distinct_counts": _counts("lineitem", LINE_COLUMNS, "count(DISTINCT {c})", "n_distinct"),
     "distinct_text_counts": _counts("fact_raw", FACT_TEXTS, "count(DISTINCT {c})", "n_distinct"),
     "min_max_dates": "SELECT min(WorkDate) AS first, max(WorkDate) AS last FROM fact_raw",
     "null_profile": _counts("fact_raw", list(FACT_RAW), "count(*) - count({c})", "n_missing"),
@@ -391,22 +394,38 @@ _BODIES = {
     ),
     "csv_missing_tokens": """SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE s_name END AS name,
         CAST(CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE s_nationkey END AS INT) AS nation FROM supplier""",
-    "csv_multi_line": """SELECT c_custkey, concat(c_name, chr(10), '"', c_mktsegment, '", ', chr(10), c_custkey)
+    "csv_multi_line": """SELECT *, concat(c_name, chr(10), '"', c_mktsegment, '", ', chr(10), chr(10), c_custkey)
         AS c_label FROM customer""",
+    "csv_multi_line_sweep": """SELECT c_mktsegment AS segment, count(*) AS n_rows,
+        (SELECT count(*) + 1 FROM (DESCRIBE customer)) AS n_columns FROM customer GROUP BY 1""",
+    "csv_pandas_types": """SELECT CAST(o_orderkey AS BIGINT) AS order_key,
+        CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_custkey AS DOUBLE) END AS customer,
+        CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_totalprice AS DOUBLE) END AS price, o_orderkey % 2 = 0 AS even,
+        CASE WHEN o_orderkey % 7 <> 0 THEN 'false' END AS unsure, CAST(NULL AS DOUBLE) AS nothing,
+        concat(o_orderstatus, '1') AS status, CAST(o_orderkey * 1000000007 AS BIGINT) AS wide FROM orders""",
     "csv_inferred": "SELECT * FROM dim_raw",
     "csv_charset": """SELECT c_custkey, concat(c_name, ' – café ', c_mktsegment) AS c_label
         FROM customer""",
     "csv_sweep": f"""SELECT 'fact' AS dataset, count(*) AS n_rows,
         CAST({len(FACT_RAW)} AS BIGINT) AS n_columns, '{"|".join(FACT_RAW)}' AS columns FROM fact_raw
         UNION ALL SELECT 'dim', count(*), {len(DIM_RAW)}, '{"|".join(DIM_RAW)}' FROM dim_raw""",
-    "csv_heads": f"""SELECT place, CAST(line AS INT) AS line, concat(number, ',', name) AS value FROM (
-        SELECT coalesce("State", 'none') AS place, "{CCN}" AS number, "Provider Name" AS name,
-               row_number() OVER (PARTITION BY coalesce("State", 'none') ORDER BY "{CCN}") AS line
-        FROM dim_raw) WHERE line <= 3""",
-    "bronze_manifest": """SELECT d.*, CASE WHEN landed THEN (SELECT count(*) FROM dim_raw) END AS n_lines
-        FROM (VALUES ('first', NULL, true, true, true, true), ('second', NULL, true, true, true, true),
-                     ('turned', NULL, true, true, true, false), ('missing', 'providers', false, NULL, NULL, NULL))
-             AS d (dataset, source, landed, same_bytes, same_lines, same_order)""",
+    "csv_heads": f"""SELECT dataset, place, share, CAST(line AS INT) AS line, value FROM (
+        SELECT 'dim' AS dataset, coalesce("State", 'none') AS place, CAST(substr("{CCN}", 12, 1) AS BIGINT) % 4 AS share,
+               concat("{CCN}", ',', "Provider Name") AS value, row_number() OVER (
+                   PARTITION BY coalesce("State", 'none'), CAST(substr("{CCN}", 12, 1) AS BIGINT) % 4
+                   ORDER BY "{CCN}", "Provider Name") AS line
+        FROM dim_raw UNION ALL
+        SELECT 'fact' AS dataset, STATE AS place, CAST(WorkDate % 4 AS BIGINT) AS share,
+               concat_ws(',', PROVNUM, WorkDate, coalesce(CAST(MDScensus AS VARCHAR), '')) AS value, row_number() OVER (
+                   PARTITION BY STATE, WorkDate % 4 ORDER BY PROVNUM, WorkDate, MDScensus NULLS FIRST) AS line
+        FROM fact_raw) WHERE line <= 3""",
+    "bronze_manifest": """SELECT d.*, CASE WHEN NOT landed THEN NULL WHEN dataset = 'dim' THEN (SELECT count(*) FROM dim_raw)
+        ELSE (SELECT count(*) FROM fact_raw) END AS n_lines
+        FROM (VALUES ('dim', 'first', NULL, true, true, true, true), ('dim', 'second', NULL, true, true, true, true),
+                     ('dim', 'turned', NULL, true, true, true, false), ('fact', 'first', NULL, true, true, true, true),
+                     ('fact', 'second', NULL, true, true, true, true), ('fact', 'turned', NULL, true, true, true, false),
+                     ('dim', 'missing', 'providers', false, NULL, NULL, NULL))
+             AS d (dataset, copy, source, landed, same_bytes, same_lines, same_order)""",
     "duplicate_header_names": """SELECT n_regionkey, lower(initial) AS name, count(*) AS occurrences,
         CAST(min(pos) AS INT) AS first_position FROM (
             SELECT CAST(n_regionkey AS INT) AS n_regionkey, substr(n_name, 1, 1) AS initial,
@@ -418,6 +437,8 @@ _BODIES = {
         "fact_raw", list(FACT_RAW), FACT_NUMBERS, ["PROVNUM", "WorkDate"], [*COUNTED_FACT, *FACT_TEXTS], 46
     ),
     "profile_dim": _profile("dim_raw", list(DIM_RAW), DIM_NUMBERS, [CCN], [CCN, "Provider Type"], 50),
+    "incremental_run": """SELECT WORKYEAR, WORKMONTH, count(*) AS n_days, CAST(sum(MDSCENSUS) AS BIGINT) AS residents,
+        round(sum(HRS_RN_EMP), 4) AS rn_hours FROM fact_staff GROUP BY 1, 2""",
     "full_run": _union(
         [
             f"SELECT '{t}' AS table_name, count(*) AS n_rows, CAST({n} AS BIGINT) AS n_columns FROM {t}"

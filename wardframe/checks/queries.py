@@ -16,7 +16,7 @@ from wardframe import schema as S
 from wardframe.checks import derived
 from wardframe.operators import columns as C
 from wardframe.operators import duplicates, histogram, profile, quantiles, rows
-from wardframe.plans import gold, metrics, pipeline, profiling, quality, silver
+from wardframe.plans import gold, incremental, metrics, pipeline, profiling, quality, silver
 from wardframe.session import scratch_path
 from wardframe.sources import (
     MISSING_TOKENS,
@@ -313,14 +313,25 @@ def parquet_parts_union(spark, folder):
     return read_parts(spark, paths)
 
 
-# Profiling
+@query
+def parts_of_several_types(spark, folder):
+    """Line items in parts that disagree on the type of a column, and one that lacks a column."""
+    lines = derived.table(spark, folder, "lineitem")
+    base, paths = scratch_path(spark, "typed"), []
+    for i, kind in enumerate(("int", "long", "double")):
+        part = lines.filter(F.pmod("l_orderkey", F.lit(3)) == i)
+        part = part.withColumn("l_quantity", F.col("l_quantity").cast(kind)).withColumn("l_suppkey", F.col("l_suppkey").cast("int" if i else "long"))
+        paths.append(join_path(base, kind))
+        write_table(part.drop("l_tax") if i == 2 else part, paths[-1])
+    return read_parts(spark, paths)
 
-COUNTED = ["l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag", "l_shipdate"]
+
+# Profiling
 
 
 @query
 def distinct_counts(spark, folder):
-    return profile.distinct_counts(derived.table(spark, folder, "lineitem"), COUNTED)
+    return profile.distinct_counts(derived.table(spark, folder, "lineitem"))
 
 
 @query
@@ -496,14 +507,50 @@ def csv_missing_tokens(spark, folder):
 
 @query
 def csv_multi_line(spark, folder):
-    """Values with line breaks, commas and quotes."""
-    words = F.concat(F.col("c_name"), F.lit('\n"'), F.col("c_mktsegment"), F.lit('", \n'), F.col("c_custkey"))
-    names = derived.table(spark, folder, "customer").select("c_custkey", words.alias("c_label"))
-    path = _write_csv(names, scratch_path(spark, "lines"), escape='"')
-    types = {f.name: f.dataType for f in names.schema}
+    """All customers, with values that hold line breaks, commas and quotes."""
+    customers = _spanning(spark, folder)
+    path = _write_csv(customers, scratch_path(spark, "lines"), escape='"')
+    types = {f.name: f.dataType for f in customers.schema}
     return read_csv(spark, path, types.__getitem__, multi_line=True)
 
 
+def _spanning(spark: SparkSession, folder: str) -> DataFrame:
+    words = F.concat(F.col("c_name"), F.lit('\n"'), F.col("c_mktsegment"), F.lit('", \n\n'), F.col("c_custkey"))
+    return derived.table(spark, folder, "customer").withColumn("c_label", words)
+
+
+@query
+def csv_multi_line_sweep(spark, folder):
+    """Records of files whose values hold line breaks, by market segment."""
+    customers = _spanning(spark, folder).withColumn("segment", F.col("c_mktsegment"))
+    path = scratch_path(spark, "segments")
+    customers.write.option("header", True).option("escape", '"').partitionBy("segment").csv(path)
+    files = sweep_csv(spark, path, multi_line=True)
+    segment = F.regexp_extract(F.url_decode("file"), "segment=([^/]*)/", 1)
+    return files.groupBy(segment.alias("segment")).agg(
+        F.sum("n_rows").alias("n_rows"), F.max("n_columns").cast("long").alias("n_columns")
+    )
+
+
+@query
+def csv_pandas_types(spark, folder):
+    """All orders from texts with missing tokens, blanks and leading zeros, typed as pandas would."""
+    token = F.get(F.array(*[F.lit(t) for t in MISSING_TOKENS]), F.pmod("o_orderkey", F.lit(len(MISSING_TOKENS))).cast("int"))
+    text = lambda c: F.col(c).cast("string")
+    orders = derived.table(spark, folder, "orders").select(
+        F.lpad(text("o_orderkey"), 12, "0").alias("order_key"),
+        F.when(F.col("o_orderkey") % 3 == 0, token).otherwise(text("o_custkey")).alias("customer"),
+        F.when(F.col("o_orderkey") % 5 != 0, text("o_totalprice")).alias("price"),
+        F.when(F.col("o_orderkey") % 2 == 0, "True").otherwise("FALSE").alias("even"),
+        F.when(F.col("o_orderkey") % 7 == 0, token).otherwise("false").alias("unsure"),
+        F.when(F.col("o_orderkey") % 2 == 0, token).alias("nothing"),
+        F.concat("o_orderstatus", F.lit("1")).alias("status"),
+        (F.col("o_orderkey") * 1_000_000_007).alias("wide"),
+    )
+    path = _write_csv(orders, scratch_path(spark, "tokens"))
+    return read_csv_inferred(spark, path, missing=MISSING_TOKENS, like_pandas=True)
+
+
 @query
 def csv_inferred(spark, folder):
     path = _write_csv(derived.dim_raw(spark, folder), scratch_path(spark, "dim"))
@@ -546,47 +593,71 @@ def csv_sweep(spark, folder):
 
 @query
 def csv_heads(spark, folder):
-    """The first lines of one sorted file per state."""
+    """The first lines of sorted files of both raw tables, several files per state."""
     key = "CMS Certification Number (CCN)"
+    state = lambda c: F.coalesce(c, F.lit("none"))
     providers = derived.dim_raw(spark, folder).select(
-        F.coalesce("State", F.lit("none")).alias("place"), F.col(f"`{key}`").alias("number"), F.col("`Provider Name`").alias("name")
+        state(F.col("State")).alias("place"),
+        (F.substring(F.col(f"`{key}`"), 12, 1).cast("long") % 4).alias("share"),
+        F.col(f"`{key}`").alias("number"),
+        F.col("`Provider Name`").alias("name"),
+    )
+    days = derived.fact_raw(spark, folder).select(
+        state(F.col("STATE")).alias("place"),
+        (F.col("WorkDate") % 4).cast("long").alias("share"),
+        "PROVNUM",
+        "WorkDate",
+        "MDScensus",
     )
-    path = scratch_path(spark, "heads")
-    sorted_files = providers.repartition("place").sortWithinPartitions("place", "number")
-    sorted_files.write.option("header", True).partitionBy("place").csv(path)
-    heads = sweep_heads(spark, path, n=3)
-    place = F.regexp_extract(F.url_decode("file"), "place=([^/]*)/", 1)
-    return heads.select(place.alias("place"), "line", "value")
+    found = []
+    for dataset, df in (("dim", providers), ("fact", days)):
+        path = scratch_path(spark, "heads")
+        dealt = df.repartition("place", "share").sortWithinPartitions(*df.columns)
+        dealt.write.option("header", True).partitionBy("place", "share").csv(path)
+        place = F.regexp_extract(F.url_decode("file"), "place=([^/]*)/", 1)
+        share = F.regexp_extract("file", "share=([0-9]+)/", 1).cast("long")
+        heads = sweep_heads(spark, path, n=3)
+        found.append(heads.select(F.lit(dataset).alias("dataset"), place.alias("place"), share.alias("share"), "line", "value"))
+    return rows.union_parts(found)
+
+
+FINGERPRINTED_FILES = 8
 
 
 def _fingerprinted(spark: SparkSession, folder: str) -> str:
-    """The providers three times: as they are, once more, and in another order."""
+    """Both raw tables three times, in several files: as they are, once more, and in another order."""
     base = scratch_path(spark, "landed")
-    key = "CMS Certification Number (CCN)"
-    providers = derived.dim_raw(spark, folder).coalesce(1)
-    for name, order in (("first", F.col(f"`{key}`")), ("second", F.col(f"`{key}`")), ("turned", F.col(f"`{key}`").desc())):
-        _write_csv(providers.sortWithinPartitions(order), join_path(base, name), header=False)
+    for table, df in (("fact", derived.fact_raw(spark, folder)), ("dim", derived.dim_raw(spark, folder))):
+        columns = [C.quoted(c) for c in df.columns]
+        dealt = df.repartition(FINGERPRINTED_FILES, *columns[:1], *columns[7:8])
+        for copy in ("first", "second", "turned"):
+            order = [c.desc() for c in columns] if copy == "turned" else columns
+            _write_csv(dealt.sortWithinPartitions(*order), join_path(base, table, copy), header=False)
     return base
 
 
 @query
 def bronze_manifest(spark, folder):
-    """Bytes and lines per folder, and whether the fingerprint tells an order from another."""
-    files = manifest(
-        spark,
-        _fingerprinted(spark, folder),
-        expected=[("providers", "missing/never.csv")],
-    ).withColumn("dataset", _dataset("path"))
-    known = F.struct("n_bytes", "hash_sum", "hash_order")
-    first = files.filter("dataset = 'first'").select(known).scalar()
-    return files.withColumn("first", first).select(
-        "dataset",
-        "source",
-        "landed",
-        "n_lines",
-        (F.col("n_bytes") == F.col("first.n_bytes")).alias("same_bytes"),
-        (F.col("hash_sum") == F.col("first.hash_sum")).alias("same_lines"),
-        (F.col("hash_order") == F.col("first.hash_order")).alias("same_order"),
+    """Lines per table and copy, and whether the fingerprints of its files tell an order from another."""
+    files = manifest(spark, _fingerprinted(spark, folder), expected=[("providers", "dim/missing/part-00000-never.csv")])
+    part = lambda at: F.element_at(F.split("path", "/"), at)
+    number = F.regexp_extract("file_name", "part-([0-9]+)", 1)
+    files = files.withColumns({"dataset": part(-3), "copy": part(-2), "number": number})
+    first = files.filter("copy = 'first'").select(
+        "dataset", "number", *[F.col(c).alias(f"first_{c}") for c in ("n_bytes", "hash_sum", "hash_order")]
+    )
+    same = lambda c, name: F.bool_and(F.col(c) == F.col(f"first_{c}")).alias(name)
+    return (
+        files.join(first, ["dataset", "number"], "left")
+        .groupBy("dataset", "copy")
+        .agg(
+            F.max("source").alias("source"),
+            F.bool_and("landed").alias("landed"),
+            F.sum("n_lines").alias("n_lines"),
+            same("n_bytes", "same_bytes"),
+            same("hash_sum", "same_lines"),
+            same("hash_order", "same_order"),
+        )
     )
 
 
@@ -655,3 +726,21 @@ def full_run_staff_hours(spark, folder):
     tables = _run_pipeline(spark, folder)
     hours = metrics.staff_hours_long(tables.bed, tables.staff, PROVIDER_TYPE)
     return rounded(hours, SUM_DIGITS, "Avg Hours")
+
+
+@query
+def incremental_run(spark, folder):
+    """Published work days per month, after a run over some files and one over those that landed later."""
+    base = scratch_path(spark, "incremental")
+    bronze, root = join_path(base, "raw"), join_path(base, "published")
+    days, early = derived.fact_raw(spark, folder), F.col("WorkDate") < 19960101
+    _write_csv(derived.dim_raw(spark, folder), join_path(bronze, S.DIM_FILE))
+    for landed in (days.filter(early), days.filter(~early | F.col("WorkDate").isNull())):
+        landed.write.option("header", True).mode("append").csv(join_path(bronze, S.FACT_FILE))
+        incremental.run_incremental(spark, bronze, root)
+    tables = incremental.load(spark, root)
+    return tables.staff.groupBy("WORKYEAR", "WORKMONTH").agg(
+        F.count("*").alias("n_days"),
+        F.sum("MDSCENSUS").alias("residents"),
+        F.round(F.sum("HRS_RN_EMP"), SUM_DIGITS).alias("rn_hours"),
+    )

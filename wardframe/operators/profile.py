@@ -31,11 +31,9 @@ def _one_per_column(columns: Sequence[str], results: Sequence[Column]) -> Column
 
 
 def _as_text(df: DataFrame, column: str) -> Column:
-    """A text that is equal for equal values of a column, null where the value is missing."""
+    """A text that is equal for equal values of a column that is no number, null where the value is missing."""
     value, kind = quoted(column), df.schema[column].dataType
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        text = (value + F.lit(0.0).cast(kind)).cast("string")  # -0.0 equals 0.0
-    elif isinstance(kind, T.BinaryType):
+    if isinstance(kind, T.BinaryType):
         text = F.hex(value)
     elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
         text = F.to_json(F.struct(value.alias("v")))
@@ -62,11 +60,28 @@ def distinct_counts(
         counts = df.agg(*[F.approx_count_distinct(v).alias(f"n{i}") for i, v in enumerate(present)])
         found = [F.col(f"n{i}").alias("n_distinct") for i in range(len(columns))]
         return counts.select(_one_per_column(columns, found))
-    stacked = df.select(*[_as_text(df, c).alias(c) for c in columns]).unpivot(
-        [], [quoted(c) for c in columns], "column", "value"
-    )
-    counts = stacked.groupBy("column").agg(F.count_distinct("value").alias("n_distinct"))
-    return _every_column(counts, columns)
+    slots = [_slots(df, c, i) for i, c in enumerate(columns)]
+    stacked = df.select(F.inline(F.array(*slots))).filter("whole IS NOT NULL OR real IS NOT NULL OR text IS NOT NULL")
+    counts = stacked.distinct().groupBy("at").agg(F.count("*").alias("n_distinct"))
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("at") + 1)
+    return _every_column(counts.select(name.alias("column"), "n_distinct"), columns)
+
+
+def _slots(df: DataFrame, column: str, at: int) -> Column:
+    """(at, whole, real, text): the value of a column in the slot of its kind, so that no number becomes text."""
+    value, kind = quoted(column), df.schema[column].dataType
+    whole, real, text = F.lit(None).cast("long"), F.lit(None).cast("double"), F.lit(None).cast("string")
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
+        whole = value.cast("long")
+    elif isinstance(kind, T.DateType):
+        whole = F.unix_date(value).cast("long")
+    elif isinstance(kind, T.TimestampType):
+        whole = F.unix_micros(value)
+    elif isinstance(kind, (T.FloatType, T.DoubleType)):
+        real = F.when(~is_missing(df, column), value.cast("double") + F.lit(0.0))  # -0.0 equals 0.0
+    else:
+        text = _as_text(df, column)
+    return F.struct(F.lit(at).alias("at"), whole.alias("whole"), real.alias("real"), text.alias("text"))
 
 
 def _every_column(counts: DataFrame, columns: Sequence[str]) -> DataFrame:

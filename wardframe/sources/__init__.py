@@ -10,18 +10,27 @@ from wardframe.sources.delimited import (
     sweep_csv,
     sweep_heads,
 )
+from wardframe.sources.inference import infer_types
+from wardframe.sources.records import records
 from wardframe.sources.tables import join_path, read_parts, read_table, write_table
+from wardframe.sources.versions import ConflictError, Publication, Store, remove_unpublished
 
 __all__ = [
     "MISSING_TOKENS",
+    "ConflictError",
+    "Publication",
+    "Store",
     "duplicate_headers",
     "header_names",
+    "infer_types",
     "join_path",
     "manifest",
     "read_csv",
     "read_csv_inferred",
     "read_parts",
     "read_table",
+    "records",
+    "remove_unpublished",
     "sweep_csv",
     "sweep_heads",
     "write_table",

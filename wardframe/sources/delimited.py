@@ -11,9 +11,12 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from wardframe.operators.columns import quoted
+from wardframe.sources.inference import infer_types
+from wardframe.sources.records import records
 
 # Fixed value: charsets Spark reads from CSV by itself.
 SPARK_CHARSETS = ("utf-8", "us-ascii", "iso-8859-1", "utf-16", "utf-16be", "utf-16le", "utf-32")
+WIDE_CHARSETS = ("utf-16", "utf-16be", "utf-16le", "utf-32")
 
 # Fixed value: texts that stand for a missing value in exported tables.
 MISSING_TOKENS = (
@@ -56,21 +59,61 @@ class Charset:
         return text.translate(str.maketrans(self.read, self.meant))
 
 
+    def of_bytes(self, value: Column) -> Column | None:
+        """The text of a value whose bytes are those of the file; None if they are it already."""
+        if self.spark_name.lower() in ("utf-8", "us-ascii"):
+            return None
+        if self.spark_name.lower() in WIDE_CHARSETS:
+            raise ValueError(f"records that span lines are not read in {self.spark_name}")
+        return self.column(F.decode(value.cast("binary"), self.spark_name))
+
+
 def _reader(spark: SparkSession, charset: Charset, multi_line: bool) -> DataFrameReader:
     reader = spark.read.option("header", True).option("encoding", charset.spark_name)
     # A quote within a quoted value is doubled.
     return reader.option("escape", '"').option("multiLine", multi_line).option("enforceSchema", False)
 
 
+def _texts(
+    spark: SparkSession, path: str | Sequence[str], charset: Charset, multi_line: bool, file_column: str | None
+) -> DataFrame:
+    """All columns as text, under the names of the header, and the file of each record if asked for."""
+    path = path if isinstance(path, str) else list(path)
+    # Without inference this looks at the first record only.
+    names = _reader(spark, charset, multi_line).csv(path).columns
+    own = [charset.name(n) for n in names]
+    if not multi_line or charset.spark_name.lower() in WIDE_CHARSETS:
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        raw = _reader(spark, charset, multi_line).schema(schema).csv(path)
+        texts = [charset.column(quoted(n)).alias(o) for n, o in zip(names, own)]
+        return raw.select(*texts, *([F.col("_metadata.file_path").alias(file_column)] if file_column else []))
+    found = records(spark, path, charset.of_bytes(F.col("value")))
+    fields = F.from_csv(
+        F.regexp_replace("value", "^\ufeff|\r$", ""),
+        ", ".join(f"c{i} string" for i in range(len(own))),
+        {"escape": '"', "maxCharsPerColumn": "-1"},
+    )
+    parsed = found.select("file", "is_header", fields.alias("x"))
+    # A header is compared with the first file's, as for files without such records.
+    as_expected = F.lit(True)
+    for i, name in enumerate(own):
+        as_expected &= F.lower(F.coalesce(F.col(f"x.c{i}"), F.lit(""))).eqNullSafe(name.lower())
+    other = F.raise_error(F.concat(F.lit("another header than in the first file: "), F.col("file")))
+    is_data = F.when(~F.col("is_header"), True).when(as_expected, False).otherwise(other.cast("boolean"))
+    texts = [F.col(f"x.c{i}").alias(o) for i, o in enumerate(own)]
+    return parsed.filter(is_data).select(*texts, *([F.col("file").alias(file_column)] if file_column else []))
+
+
 def read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     type_of: Callable[[str], T.DataType],
     encoding: str = "utf-8",
     rejects: str | None = None,
     null_value: str | None = None,
     missing: Sequence[str] = (),
     multi_line: bool = False,
+    file_column: str | None = None,
 ) -> DataFrame:
     """CSV with header, in one pass: ``type_of`` names the type of every header column.
 
@@ -78,21 +121,20 @@ def read_csv(
     does not change what it finds. A value that does not fit its type becomes
     null. With ``rejects``, a text column of that name holds the record wherever
     this happened in any column. ``null_value`` and each of ``missing`` stand
-    for a missing value in every column.
+    for a missing value in every column. ``file_column`` names a column for the
+    file that a record comes from.
 
     Every file of a folder must carry the same header. With ``multi_line``,
-    quoted values may hold line breaks; a file is then one task. Without it,
+    quoted values may hold line breaks; the files are read in splits all the
+    same, in three passes (in UTF-16 and UTF-32 a file is one task). Without it,
     such files are read wrongly; ``sweep_csv`` refuses them.
     """
-    charset = Charset(encoding)
-    reader = _reader(spark, charset, multi_line)
-    # Without inference this looks at the first line only.
-    names = reader.csv(path).columns
-    raw = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).csv(path)
+    texts = _texts(spark, path, Charset(encoding), multi_line, file_column)
+    names = [c for c in texts.columns if c != file_column]
     tokens = [*missing, *([] if null_value is None else [null_value])]
     typed, unfit = [], F.lit(False)
-    for n in names:
-        name, text = charset.name(n), charset.column(quoted(n))
+    for name in names:
+        text = quoted(name)
         if tokens:
             text = F.when(~text.isin(tokens), text)
         kind = type_of(name)
@@ -102,43 +144,28 @@ def read_csv(
             text = value
         typed.append(text.alias(name))
     if rejects:
-        record = F.to_csv(F.struct(*[charset.column(quoted(n)).alias(n) for n in names]))
+        record = F.to_csv(F.struct(*[quoted(n) for n in names]))
         typed.append(F.when(unfit, record).alias(rejects))
-    return raw.select(*typed)
+    return texts.select(*typed, *([quoted(file_column)] if file_column else []))
 
 
 def read_csv_inferred(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     keys: Sequence[str] = (),
     encoding: str = "utf-8",
     multi_line: bool = False,
+    missing: Sequence[str] = (),
+    like_pandas: bool = False,
 ) -> DataFrame:
     """CSV with inferred types, at the price of one more pass over the files.
 
-    ``keys`` always stay text, so that a leading zero survives.
+    ``keys`` always stay text, so that a leading zero survives. ``missing`` and
+    ``like_pandas`` are those of ``infer_types``.
     """
-    charset = Charset(encoding)
-    reader = _reader(spark, charset, multi_line)
-    inferred = reader.option("inferSchema", True).csv(path).schema
-    as_text = {k.lower() for k in keys}
-    schema = T.StructType(
-        [
-            T.StructField(f.name, T.StringType())
-            if charset.name(f.name).lower() in as_text
-            else f
-            for f in inferred
-        ]
-    )
-    read = reader.option("inferSchema", False).option("enforceSchema", True).schema(schema).csv(path)
-    return read.select(
-        *[
-            (charset.column(quoted(f.name)) if isinstance(f.dataType, T.StringType) else quoted(f.name)).alias(
-                charset.name(f.name)
-            )
-            for f in schema
-        ]
-    )
+    texts = _texts(spark, path, Charset(encoding), multi_line, None)
+    types = infer_types(texts, keys, missing, like_pandas)
+    return read_csv(spark, path, types.__getitem__, encoding, missing=missing, multi_line=multi_line)
 
 
 def _lines(spark: SparkSession, folder: str, encoding: str, pattern: str | None) -> DataFrame:
@@ -211,18 +238,17 @@ def sweep_csv(
 
     One distributed pass over all files, whatever their schemas. A file with a
     record that spans lines has a line with an odd number of quotes; it is
-    refused, with its name, unless ``multi_line`` asks for records to be counted
-    by the quotes before them. The lines of one file are then put in order.
+    refused, with its name, unless ``multi_line`` asks for records to be cut by
+    the quotes before them, which takes three passes.
     """
-    lines = _lines(spark, folder, encoding, pattern)
-    n_quotes = F.length("value") - F.length(F.regexp_replace("value", '"', ""))
     at = F.struct("block", "line")
     if multi_line:
-        before = Window.partitionBy("file").orderBy("block", "line").rowsBetween(Window.unboundedPreceding, -1)
-        opened = F.coalesce(F.sum(n_quotes).over(before), F.lit(0)) % 2
-        lines = lines.withColumn("opened", opened).filter("opened = 0")
+        charset = Charset(encoding)
+        lines = records(spark, folder, charset.of_bytes(F.col("value")), pattern, recursive=True)
         odd = F.lit(0)
     else:
+        lines = _lines(spark, folder, encoding, pattern)
+        n_quotes = F.length("value") - F.length(F.regexp_replace("value", '"', ""))
         odd = F.count_if(n_quotes % 2 == 1)
     per_file = lines.groupBy("file").agg(
         (F.count("*") - 1).alias("n_rows"), F.min_by("value", at).alias("header"), odd.alias("odd")
