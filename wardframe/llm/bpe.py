@@ -149,8 +149,8 @@ class Encoder:
         coded = split.flatten().dictionary_encode()
         codes = coded.indices.to_numpy(zero_copy_only=False).copy()
         # The first piece of a text has no space before it and a code of its own.
-        firsts = split.flatten().take(pa.array(starts)).to_pylist()
-        pool = self._spaced(coded.dictionary.to_pylist())
+        firsts = _plain(split.flatten().take(pa.array(starts)))
+        pool = self._spaced(_plain(coded.dictionary))
         codes[starts] = len(pool) + np.arange(len(firsts))
         pool += self.whole(firsts)
         # A slice has far fewer than 2^31 ids.
@@ -211,6 +211,11 @@ class Encoder:
         return parts[0]
 
 
+def _plain(strings: pa.Array) -> list[str]:
+    """A list of strings without nulls; through numpy, which makes no scalar of each."""
+    return strings.to_numpy(zero_copy_only=False).tolist()
+
+
 def _byte_of_char() -> dict[str, int]:
     """The byte-level alphabet: printable bytes stand for themselves, others follow from 256."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]

@@ -39,7 +39,7 @@ END_ID = 2
 EPOCHS = 3
 ISLAND_ITEMS = 32_768
 POPULATION = 4
-GENERATIONS = 8
+GENERATIONS = 6
 # Migrating bins: as many as these, whatever the corpus.
 ELITE = 512
 # A parent's bins that may be injected: the best filled of it.
