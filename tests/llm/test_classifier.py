@@ -1,3 +1,4 @@
+import re
 import zlib
 
 import numpy as np
@@ -76,6 +77,74 @@ def test_one_class_or_no_labels(spark, documents):
         assert len(scores) == 20 and all(abs(s - share) < 0.02 for s in scores)
 
 
+def test_one_passage_of_five_hundred_earns_the_label(spark, documents):
+    clean = " ".join(f"some words of a long text {i}." for i in range(5000))
+    bad = " ".join(["###### | !!! $$$$ %%%%"] * 10)
+    at = [3000 * (i % 10) + 517 * i for i in range(60)]
+    w = clean.split()
+    rows = [(i, clean if i % 2 else " ".join([*w[: at[i] % len(w)], bad, *w[at[i] % len(w) :]])) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    model = C.train(documents(rows), labels)
+    scores = {r.doc_id: r.score for r in C.score_documents(documents(rows), model).collect()}
+    held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert min(scores[i] for i in held if i % 2) > max(scores[i] for i in held if not i % 2)
+
+
+def test_labels_without_a_document_use_nothing_up(spark, documents):
+    rows = [(i, f"text {i} of words" if i % 2 else "### $$ !!" * 20) for i in range(40)]
+    schema = "doc_id long, quality int, toxic int"
+    own = [(i, i % 2, 0) for i in range(40)]
+    none = [(1000 + i, 1 - i % 2, 0) for i in range(400)]
+    one = C.train(documents(rows), spark.createDataFrame(own, schema), fit_documents=30)
+    other = C.train(documents(rows), spark.createDataFrame(own + none, schema), fit_documents=30)
+    assert all(np.array_equal(one.weights[k], other.weights[k]) for k in one.weights)
+
+
+def plain_features(text):
+    """The measures of each passage, one word after the other."""
+    kinds = ["ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "#*$%&<>@^~=+_\\{}[]", "|", "!?", ".,;:", "\"'()-/`"]
+    words = [x for x in re.split(rb"[\x20\x09-\x0D]+", (text or "").encode()) if x]
+    found = []
+    for a in range(0, max(len(words), 1), C.PASSAGE_WORDS):
+        own = words[a : a + C.PASSAGE_WORDS]
+        if not own:
+            return [[0.0] * C.FEATURES]
+        raw, sizes = b"".join(own), [len(x) for x in own]
+        keys = [(x[:8], len(x)) for x in own]
+        # A word echoes the one before it, also across passages.
+        before = [(x[:8], len(x)) for x in words[max(a - 1, 0) : a]]
+        mean = sum(sizes) / len(own)
+        found.append(
+            [sum(b in k.encode() for b in raw) / len(raw) for k in kinds]
+            + [sum(b >= 128 for b in raw) / len(raw), mean / 10]
+            + [max(sum(n * n for n in sizes) / len(own) - mean**2, 0) ** 0.5 / 10]
+            + [sum(x == y for x, y in zip([*before, *keys], [*before, *keys][1:])) / len(own)]
+            + [sum(65 <= x[0] <= 90 for x in own) / len(own), len(set(keys)) / len(own), len(own) / C.PASSAGE_WORDS]
+        )
+    return found
+
+
+def plain_score(model, rows):
+    """Attention and score of one bag, passage by passage."""
+    w = model.weights
+    hidden = [np.tanh((np.array(r) - model.shift) / model.scale @ w["encode"] + w["encode_0"]) for r in rows]
+    energy = [float((np.tanh(h @ w["content"]) / (1 + np.exp(-(h @ w["gate"])))) @ w["energy"]) for h in hidden]
+    share = [np.exp(e - max(energy)) for e in energy]
+    pooled = sum(s / sum(share) * h for s, h in zip(share, hidden))
+    return 1 / (1 + np.exp(-(pooled @ w["out"] + w["out_0"])))
+
+
+def test_features_and_scores_equal_a_plain_version(trained, documents, texts):
+    model = trained[2]
+    rows = [*list(texts.items())[:40], (-1, None), (-2, ""), (-3, "é Ü| x x x " * 70), (-4, "A" * 5000)]
+    for _, text in rows:
+        table, _ = C.passage_features(pa.array([text], pa.string()))
+        assert np.allclose(table, plain_features(text), atol=1e-5)
+    scores = {r.doc_id: r.score for r in C.score_documents(documents(rows), model).collect()}
+    for i, text in rows:
+        assert scores[i] == pytest.approx(float(plain_score(model, plain_features(text))), abs=1e-4)
+
+
 @pytest.fixture(scope="module")
 def trained(spark, folder):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))

@@ -25,10 +25,8 @@ from wardframe.llm.worker import serve
 PASSAGE_WORDS = 50
 THRESHOLD = 0.3
 HELD_OUT_PARTS = 5
-# The fit sees this many labelled documents, those of the least hashed ids, and
-# of each this many passages, evenly spread. Scores see all passages.
+# The fit sees this many labelled documents, those of the least hashed ids, with all their passages.
 FIT_DOCUMENTS = 4_000
-FIT_PASSAGES = 64
 
 _BYTES = np.arange(256)
 # Kinds of bytes that are counted in each passage.
@@ -206,25 +204,20 @@ def fit(
     return Model(shift, scale, w)
 
 
-def _fit_batches(most: int):
-    def run(batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b in slices(batch.column(0)):
-                table, ends = passage_features(batch.column(0).slice(a, b - a))
-                for i, (s, e) in enumerate(zip(ends, ends[1:])):
-                    chosen = table[s:e]
-                    if e - s > most:
-                        chosen = chosen[np.linspace(0, e - s - 1, most).astype(int)]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([chosen.astype("<f4").tobytes()], pa.binary()),
-                            batch.column(1).slice(a + i, 1),
-                            batch.column(2).slice(a + i, 1),
-                        ],
-                        names=["passages", "label", "turn"],
-                    )
-
-    return run
+def _fit_batches(batches) -> Iterator[pa.RecordBatch]:
+    """The passages of each text as one row of bytes, beside its label and turn."""
+    for batch in batches:
+        for a, b in slices(batch.column(0)):
+            table, ends = passage_features(batch.column(0).slice(a, b - a))
+            for i, (s, e) in enumerate(zip(ends, ends[1:])):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([table[s:e].astype("<f4").tobytes()], pa.binary()),
+                        batch.column(1).slice(a + i, 1),
+                        batch.column(2).slice(a + i, 1),
+                    ],
+                    names=["passages", "label", "turn"],
+                )
 
 
 def train(
@@ -232,7 +225,6 @@ def train(
     labels: DataFrame,
     label_col: str = "quality",
     fit_documents: int = FIT_DOCUMENTS,
-    fit_passages: int = FIT_PASSAGES,
     id_col: str = "doc_id",
     text_col: str = "text",
     **settings,
@@ -240,20 +232,22 @@ def train(
     """Fits on labelled documents that are not held out, at most ``fit_documents`` of them.
 
     Those of the least hashed ids are taken, so the sample is the same in every
-    run. What reaches the driver is bounded by the two limits. Null labels and
-    ids are left out.
+    run. What reaches the driver is the measures of that many documents, 56 bytes
+    for every 50 words. Null labels and ids are left out, and so are labels whose
+    document is not there.
     """
     usable = labels.select(quoted(id_col).alias("of"), quoted(label_col).cast("int").alias("label"))
     learnt = crc32_rest(F.col("of"), HELD_OUT_PARTS) != 0
     usable = usable.filter(F.col("label").isin(0, 1) & learnt).withColumn("turn", F.xxhash64("of"))
-    sample = usable.orderBy("turn", "of", "label").limit(fit_documents)
+    there = docs.select(quoted(id_col).alias("of"))
+    sample = usable.join(there, "of", "left_semi").orderBy("turn", "of", "label").limit(fit_documents)
     # A bounded number of ids: the documents stay where they are.
     texts = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("body")).join(
         F.broadcast(sample), F.col("id") == F.col("of")
     )
     found = (
         texts.select("body", "label", "turn")
-        .mapInArrow(_fit_batches(fit_passages), "passages binary, label int, turn long")
+        .mapInArrow(_fit_batches, "passages binary, label int, turn long")
         .orderBy("turn", "label", F.xxhash64("passages"))
         .limit(fit_documents)
         .toArrow()
