@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from wardframe.llm.decontaminate import SIMILARITY
-from wardframe.llm.url_graph import DAMPING, DISTRUST_SHARE, ROUNDS
+from wardframe.llm.url_graph import DAMPING, DISTRUST_SHARE
+
+# SQL has no loop that ends when scores have settled; the given pages settle in the first rounds.
+ROUNDS = 20
 
 # The five-word shingles of a word list, and their letters.
 SHINGLES = "list_distinct(list_transform(range(1, len({w}) - 3), lambda i: list_slice({w}, i, i + 4)))"

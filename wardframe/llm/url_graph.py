@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from wardframe.llm.common import quoted, stored
 
 DAMPING = 0.85
-ROUNDS = 20
+MOST_ROUNDS = 1000
 TOLERANCE = 1e-6
 DISTRUST_SHARE = 0.5
 # Fixed value: link targets in a start tag; quotes are optional.
@@ -124,15 +124,18 @@ def propagate(
     seeds: DataFrame,
     edges: DataFrame,
     damping: float = DAMPING,
-    rounds: int = ROUNDS,
+    rounds: int | None = None,
     tolerance: float = TOLERANCE,
+    most_rounds: int = MOST_ROUNDS,
 ) -> DataFrame:
-    """Rows (host, trust, distrust), settled to ``tolerance`` or after ``rounds`` rounds.
+    """Rows (host, trust, distrust), settled to ``tolerance``, or after ``rounds`` if that is given.
 
     A score has settled when it changes by no more than ``tolerance`` of itself,
     however small it is, since verdicts compare a host's scores with each other.
-    Neither limit ends the run while scores still reach new hosts: a chain of
-    more than ``rounds`` links is followed to its end, and for ``rounds`` more.
+    The run does not end while scores still reach new hosts, so chains of any
+    length are followed to their ends, and for ``rounds`` more if they are longer
+    than that. Changes shrink by ``damping`` a round from then on; if they have
+    not settled ``most_rounds`` later, it is an error.
 
     ``seeds`` holds (host, trust, distrust), both columns together summing to 1,
     so that the two scores are on one scale. The restart goes to the seeds; a
@@ -143,7 +146,7 @@ def propagate(
     flows = stored(_flows(edges), "flows")
     ranks = seeds
     done, last_new = 0, 0
-    while last_new == done or done < (rounds if last_new <= rounds else last_new + rounds):
+    while rounds is None or last_new == done or done < (rounds if last_new <= rounds else last_new + rounds):
         moved = flows.alias("f").join(
             ranks.withColumnsRenamed({"trust": "t", "distrust": "d"}),
             F.col("f.giver") == F.col("host"),
@@ -185,6 +188,8 @@ def propagate(
             last_new = done
         elif change is None or change <= tolerance:
             break
+        elif done > last_new + most_rounds:
+            raise RuntimeError(f"scores still change by {change} after {done} rounds")
     return ranks
 
 
