@@ -134,7 +134,7 @@ def run_incremental(
         if not first:
             old = _live(store.read(FACT, base), known)
             touched = touched.union(_months(old.join(moved.select(F.col("path").alias(FILE)), FILE, "left_semi")))
-        months = sorted({tuple(r) for r in touched.collect()}, key=repr)
+        months = sorted({tuple(r) for r in touched.collect()}, key=lambda m: [(v is not None, v) for v in m])
         days = gold.fact_staff(_live(fact, files).drop(FILE, RUN))
         names = {"/".join(f"{c}={_folder(v)}" for c, v in zip(MONTH, m)) for m in months}
         publication.write(STAFF, days.filter(_any_month(months)), MONTH, ["PROVNUM"], keep=lambda part: part not in names)
