@@ -125,15 +125,15 @@ def test_chains_are_followed_to_their_ends(spark, length):
 
 
 def test_webs_with_cycles_settle(spark):
-    # Two hosts that link to each other and little else: after 20 rounds 4 % are still under way.
+    # Hosts that link to each other and little else: after 20 rounds some scores are still under way.
     edges = [("a", "b", 9), ("b", "a", 9), ("b", "c", 1), ("c", "a", 1)]
     seeds = [("a", 0.5, 0.1), ("c", 0.1, 0.3)]
-    found = ranked(spark, seeds, edges, tolerance=1e-3)
-    settled = brute_force({h: (t, d) for h, t, d in seeds}, edges, 0.85, 400)
-    early = brute_force({h: (t, d) for h, t, d in seeds}, edges, 0.85, 20)
+    found = ranked(spark, seeds, edges, tolerance=1e-4)
+    settled = brute_force(seeds, edges, 0.85, 400)
+    early = brute_force(seeds, edges, 0.85, 20)
     for host, scores in settled.items():
-        assert found[host] == pytest.approx(scores, rel=0.01)
-    assert any(abs(early[h][0] / settled[h][0] - 1) > 0.02 for h in settled)
+        assert found[host] == pytest.approx(scores, rel=1e-3)
+    assert any(abs(early[h][0] / settled[h][0] - 1) > 2e-3 for h in settled)
     with pytest.raises(RuntimeError, match="still change"):
         ranked(spark, seeds, edges, most_rounds=2)
 
