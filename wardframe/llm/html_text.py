@@ -1,10 +1,15 @@
 """The main text of web pages, with each site's template removed.
 
-A page is read once into its elements; what they say of themselves (tag, class,
-id, role) marks menus, headers, footers, sidebars, notices, adverts, forms and
-comments. Every other block element's subtree is hashed, and Spark counts per
-host on how many different pages each hash occurs. Subtrees that recur across
-many pages of their host are its template and are deleted as well.
+Every block element's subtree is hashed in two ways: its text and markup, and its
+slot, that is, the tags and names from the root down to it and whether it is made
+of links. Spark counts both, per host and per section of a host, over different
+pages. A subtree that recurs with its text is template. So is a slot that most
+pages have, such as a menu whose links differ, unless it holds, is or lies in the
+slot where most of the text is, which is different on each page.
+
+What counts cannot tell, they leave to what elements say of themselves (tag, class,
+id, role): menus and adverts of hosts with too few pages, and whatever stands
+within the article itself, such as the readers' comments.
 """
 
 from __future__ import annotations
@@ -15,13 +20,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardframe.llm.bpe import slices
 from wardframe.llm.common import quoted, stored
-from wardframe.llm.url_graph import host_of
+from wardframe.llm.url_graph import host_of, path_of
 from wardframe.llm.worker import serve
 
 # A subtree is template if it is on so many different pages of its host, and on
@@ -30,6 +35,12 @@ from wardframe.llm.worker import serve
 MIN_PAGES = 5
 OUTER_SHARE = 0.2
 INNER_SHARE = 0.6
+# A slot outside the text is template on this share of the pages; the text is the
+# innermost slot with this share of the characters.
+SLOT_SHARE = 0.5
+TEXT_SHARE = 0.5
+# Blocks that hold a text, as opposed to its headings, paragraphs and lists.
+HOLDERS = frozenset("article body center div html main section td".split())
 LINKED_SHARE = 0.6
 
 # Element kinds of the HTML standard.
@@ -95,6 +106,8 @@ ATTRIBUTE = re.compile(
     r"(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/>\"']|$)",
     re.I,
 )
+NAMES = re.compile(r"(?:^|\s)(?:class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+DIGITS = re.compile(r"[0-9]+")
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 LETTERS = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
@@ -111,6 +124,7 @@ class Page:
     is_main: list[bool] = field(default_factory=list)
     under_main: list[bool] = field(default_factory=list)
     digest: list[int] = field(default_factory=list)
+    names: list[int] = field(default_factory=list)
     chars: list[int] = field(default_factory=list)
     linked: list[int] = field(default_factory=list)
     links: list[int] = field(default_factory=list)
@@ -164,6 +178,9 @@ def parse(source: str) -> Page:
         page.is_main.append(main)
         page.under_main.append(main or in_main)
         page.digest.append(0)
+        named = DIGITS.sub("0", "\x01".join(map("".join, NAMES.findall(attributes)))) if attributes else ""
+        path = page.names[parent] if parent >= 0 else 0
+        page.names.append(xxhash.xxh64_intdigest(f"{path:x} {tag} {named}"))
         page.chars.append(0)
         page.linked.append(0)
         page.links.append(1 if tag == "a" else 0)
@@ -297,27 +314,62 @@ def _inside(page: Page, gone: list[bool]) -> list[bool]:
     return inside
 
 
-def subtrees(page: Page) -> set[int]:
-    """Marks of the page's block subtrees with text; the lowest bit says whether in the article."""
-    gone = _dropped(page)
-    inside = _inside(page, gone)
-    return {
-        page.digest[i] * 2 + inside[i]
-        for i, tag in enumerate(page.tag)
-        if tag in BLOCKS and page.chars[i] and not gone[i] and not page.has_core[i]
-    }
+def slot(page: Page, i: int) -> int:
+    """The mark of an element's slot; below zero, unlike those of subtrees."""
+    linked = page.linked[i] > LINKED_SHARE * page.chars[i]
+    return -((page.names[i] >> 2) * 2 + linked) - 1
+
+
+def marks(page: Page) -> dict[int, tuple[int, int]]:
+    """Marks of subtrees and slots of the page's blocks with text: (characters, digest of the text).
+
+    The lowest bit of a subtree's mark says whether it is in the article.
+    """
+    inside = _inside(page, _dropped(page))
+    found: dict[int, tuple[int, int]] = {}
+    for i, tag in enumerate(page.tag):
+        if tag in BLOCKS and page.chars[i]:
+            if not page.has_core[i]:
+                found[page.digest[i] * 2 + inside[i]] = page.chars[i], 0
+            own = slot(page, i)
+            chars, digest = found.get(own, (0, 0))
+            found[own] = chars + page.chars[i], digest ^ page.digest[i]
+    return found
+
+
+def depths(page: Page) -> dict[int, int]:
+    """How deep each slot lies; below zero if it holds no other blocks by its kind."""
+    level: list[int] = []
+    for parent in page.parent:
+        level.append(level[parent] + 1 if parent >= 0 else 0)
+    return {slot(page, i): level[i] if tag in HOLDERS else -1 for i, tag in enumerate(page.tag)}
+
+
+def _protected(page: Page, content: set[int]) -> list[bool]:
+    """Elements that are, hold, or lie in, the slots of the text."""
+    own = [slot(page, i) in content for i in range(len(page.tag))]
+    under: list[bool] = []
+    for i, parent in enumerate(page.parent):
+        under.append(own[i] or (parent >= 0 and under[parent]))
+    for i in range(len(own) - 1, -1, -1):
+        if own[i] and page.parent[i] >= 0:
+            own[page.parent[i]] = True
+    return [a or b for a, b in zip(own, under)]
 
 
-def main_text(page: Page, template: set[int]) -> str:
+def main_text(page: Page, template: set[int], content: set[int] = frozenset()) -> str:
     """The text of the article's blocks, one line each."""
     gone = _dropped(page)
     inside = _inside(page, gone)
+    spared = _protected(page, content) if content else [True] * len(gone)
     for i, parent in enumerate(page.parent):
-        recurs = page.tag[i] in BLOCKS and page.digest[i] * 2 + inside[i] in template
+        block = page.tag[i] in BLOCKS
+        recurs = block and page.digest[i] * 2 + inside[i] in template
+        recurs = recurs or (block and not inside[i] and not spared[i] and slot(page, i) in template)
         menu = (
             not inside[i]
             and not page.has_core[i]
-            and page.tag[i] in BLOCKS
+            and block
             and page.links[i] > 1
             and page.linked[i] > LINKED_SHARE * page.chars[i]
         )
@@ -340,26 +392,41 @@ def main_text(page: Page, template: set[int]) -> str:
     return "\n".join(lines(True) or lines(False))
 
 
-def _subtree_batches(batches) -> Iterator[pa.RecordBatch]:
+COUNTED = "scope string, version long, mark long, chars long, digest long, depth int"
+
+
+def _mark_batches(batches) -> Iterator[pa.RecordBatch]:
+    """The marks of each page, for its host and for its section; mark 0 is the page."""
     import xxhash
 
     serve("html")
     for batch in batches:
-        for a, b in slices(batch.column(1)):
-            hosts, versions, marks = [], [], []
+        for a, b in slices(batch.column(2)):
+            scopes, versions, found, chars, digests, depth = [], [], [], [], [], []
             part = batch.slice(a, b - a)
-            for host, source in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            for host, section, source in zip(*[c.to_pylist() for c in part.columns]):
                 page = parse(source)
                 whole = "\x00".join(t for _, t in page.pieces if t)
                 version = xxhash.xxh64_intdigest(whole) >> 1
-                own = [0, *subtrees(page)]
-                hosts += [host] * len(own)
-                versions += [version] * len(own)
-                marks += own
-            columns = [(hosts, pa.string()), (versions, pa.int64()), (marks, pa.int64())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(*c) for c in columns], names=["host", "version", "mark"]
-            )
+                top = sum(page.chars[i] for i, parent in enumerate(page.parent) if parent < 0)
+                own, deep = {0: (top, 0), **marks(page)}, depths(page)
+                # Within an article the few pages of a section may well share a common sentence.
+                outside = {m: n for m, n in own.items() if m <= 0 or m % 2 == 0}
+                for scope, counted in ((host, own), (section, outside)):
+                    scopes += [scope] * len(counted)
+                    versions += [version] * len(counted)
+                    found += counted.keys()
+                    chars += [n for n, _ in counted.values()]
+                    digests += [d for _, d in counted.values()]
+                    depth += [deep.get(m, 0) for m in counted]
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+            columns = [pa.array(*c) for c in zip((scopes, versions, found, chars, digests, depth), kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in COUNTED.split(", ")])
+
+
+def _sections(url: Column) -> Column:
+    """Host and first part of the path; a scope of its own beside the host."""
+    return F.concat(host_of(url), F.lit("/"), F.regexp_extract(path_of(url), "^/([^/]*)/", 1))
 
 
 def site_templates(
@@ -369,28 +436,46 @@ def site_templates(
     inner_share: float = INNER_SHARE,
     url_col: str = "url",
     html_col: str = "html",
+    slot_share: float = SLOT_SHARE,
 ) -> DataFrame:
-    """Rows (host, marks): the subtrees that recur across the pages of a host.
-
-    Pages with the same text count once, so that copies of an article do not
-    make it a template. Counts are merged in every task before the shuffle. A
-    host has at most 1 / share times the subtrees of its largest page.
+    """Rows (scope, marks, content): what recurs across the pages of a host, or of a section of it.
+
+    ``marks`` are subtrees and slots of the template; ``content`` is the innermost
+    slot with most of the text, different from page to page, which no slot of the
+    template deletes. Pages with
+    the same text count once, so that copies of an article do not make it a
+    template. Counts are merged in every task before the shuffle. A scope has at
+    most 1 / share times the marks of its largest page.
     """
+    url = quoted(url_col)
     marked = (
-        pages.select(host_of(quoted(url_col)).alias("host"), quoted(html_col).alias("html"))
+        pages.select(host_of(url).alias("host"), _sections(url).alias("section"), quoted(html_col).alias("html"))
         .filter("host <> '' AND html IS NOT NULL")
-        .mapInArrow(_subtree_batches, "host string, version long, mark long")
+        .mapInArrow(_mark_batches, COUNTED)
+    )
+    # One row per page and mark: copies of a page are one from here on.
+    once = marked.groupBy("scope", "mark", "version").agg(*[F.max(c).alias(c) for c in ("chars", "digest", "depth")])
+    counts = once.groupBy("scope", "mark").agg(
+        F.count("*").alias("n"),
+        F.sum("chars").alias("chars"),
+        F.max("depth").alias("depth"),
+        (F.min("digest") != F.max("digest")).alias("differs"),
     )
-    counts = marked.groupBy("host", "mark").agg(F.count_distinct("version").alias("n"))
     often = stored(counts.filter(F.col("n") >= min_pages), "subtrees")
-    totals = often.filter("mark = 0").select("host", F.col("n").alias("total"))
-    share = F.when(F.col("mark") % 2 == 1, inner_share).otherwise(outer_share)
+    totals = often.filter("mark = 0").select("scope", F.col("n").alias("total"), F.col("chars").alias("all_chars"))
+    share = (
+        F.when(F.col("mark") < 0, slot_share).when(F.col("mark") % 2 == 1, inner_share).otherwise(outer_share)
+    )
+    recurs = F.col("n") >= share * F.col("total")
+    texts = (F.col("mark") < 0) & (F.col("depth") >= 0) & F.col("differs") & (F.col("chars") >= TEXT_SHARE * F.col("all_chars"))
+    deepest = F.max(F.when(texts, F.struct("depth", "mark")))
     return (
         often.filter("mark <> 0")
-        .join(totals, "host")
-        .filter(F.col("n") >= share * F.col("total"))
-        .groupBy("host")
-        .agg(F.collect_list("mark").alias("marks"))
+        .join(totals, "scope")
+        .filter(recurs)
+        .groupBy("scope")
+        .agg(F.collect_list("mark").alias("marks"), deepest.alias("deepest"))
+        .select("scope", "marks", F.col("deepest.mark").alias("content"))
     )
 
 
@@ -401,10 +486,10 @@ def _text_batches(names: list[str]):
             for a, b in slices(batch.column(1)):
                 part = batch.slice(a, b - a)
                 texts = []
-                for source, marks in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
-                    texts.append(main_text(parse(source or ""), set(marks or ())))
+                for source, own, content in zip(*[part.column(i).to_pylist() for i in (1, 2, 3)]):
+                    texts.append(main_text(parse(source or ""), set(own or ()), set(content or ())))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(3), pa.array(texts, pa.string())], names=names
+                    [part.column(0), part.column(4), pa.array(texts, pa.string())], names=names
                 )
 
     return run
@@ -418,6 +503,7 @@ def extract_text(
     min_pages: int = MIN_PAGES,
     outer_share: float = OUTER_SHARE,
     inner_share: float = INNER_SHARE,
+    slot_share: float = SLOT_SHARE,
 ) -> DataFrame:
     """Rows (id, url, text), one per page row: the article without the site around it.
 
@@ -430,18 +516,23 @@ def extract_text(
     empty table, and other columns are not looked at.
     """
     templates = stored(
-        site_templates(pages, min_pages, outer_share, inner_share, url_col, html_col), "templates"
-    ).withColumnRenamed("host", "of_host")
+        site_templates(pages, min_pages, outer_share, inner_share, url_col, html_col, slot_share), "templates"
+    )
     rows = pages.select(
         quoted(id_col).alias("id"),
         quoted(html_col).alias("html"),
         quoted(url_col).alias("url"),
         host_of(quoted(url_col)).alias("host"),
+        _sections(quoted(url_col)).alias("section"),
     )
     # The pages come first: a host with a third of them may then be split.
-    joined = rows.join(templates, F.col("host") == F.col("of_host"), "left").select(
-        "id", "html", "marks", "url"
-    )
+    for scope in ("host", "section"):
+        own = templates.select(*[F.col(c).alias(f"{c}_of_{scope}") for c in templates.columns])
+        rows = rows.join(own, F.col(scope) == F.col(f"scope_of_{scope}"), "left")
+    none = F.array().cast("array<bigint>")
+    either = F.concat(*[F.coalesce(f"marks_of_{s}", none) for s in ("host", "section")])
+    content = F.array_compact(F.array("content_of_host", "content_of_section"))
+    joined = rows.select("id", "html", either.alias("marks"), content.alias("content"), "url")
     schema = T.StructType(
         [
             T.StructField(id_col, rows.schema["id"].dataType),
