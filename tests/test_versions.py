@@ -164,11 +164,11 @@ def test_runs_over_changed_files_equal_whole_runs(spark, raw, tmp_path):
     assert published(spark, root) == whole(old.union(changed).union(new), dim)
 
     os.remove(f"{bronze}/{S.FACT_FILE}/a.csv")
-    land(dim.limit(20), bronze, S.DIM_FILE, "p.csv")
+    land(dim.limit(4), bronze, S.DIM_FILE, "p.csv")
     run = incremental.run_incremental(spark, bronze, root)
     assert (run.read, run.gone) == (1, 1)
     found = published(spark, root)
-    assert found[2] == whole(changed.union(new), dim)[2] and len(found[0]) == 20
+    assert found[2] == whole(changed.union(new), dim)[2] and len(found[0]) == 4
 
 
 def test_a_failing_rerun_leaves_the_tables(spark, raw, tmp_path):
