@@ -288,6 +288,7 @@ _BODIES = {
     "fact_staff": "SELECT * FROM fact_staff",
     "fact_dates": f"SELECT PROVNUM, {WORK_DATE} AS WORKDATE, {DATE_PARTS} FROM silver_fact",
     "provider_join": "SELECT * FROM days",
+    "provider_join_stored": "SELECT * FROM days",
     "join_null_safe": """SELECT * FROM
         (SELECT CASE WHEN s_suppkey <> 3 THEN s_suppkey END AS PROVIDER_NUM, s_name FROM supplier) s
         JOIN (SELECT CASE WHEN l_orderkey % 29 <> 0 THEN l_suppkey END AS PROVNUM, l_quantity
@@ -439,6 +440,24 @@ _BODIES = {
     "profile_dim": _profile("dim_raw", list(DIM_RAW), DIM_NUMBERS, [CCN], [CCN, "Provider Type"], 50),
     "incremental_run": """SELECT WORKYEAR, WORKMONTH, count(*) AS n_days, CAST(sum(MDSCENSUS) AS BIGINT) AS residents,
         round(sum(HRS_RN_EMP), 4) AS rn_hours FROM fact_staff GROUP BY 1, 2""",
+    "kept_counts": _union(
+        [
+            f"""SELECT '{c}' AS "column", count(*) AS n_rows, count("{c}") AS n_present, {ends}, true AS near FROM fact_raw"""
+            for c in FACT_RAW
+            for ends in [", ".join(
+                f'CAST({f}("{c}") AS DOUBLE) AS {n}' if c in FACT_NUMBERS else f"CAST(NULL AS DOUBLE) AS {n}"
+                for f, n in (("min", "least"), ("max", "greatest"))
+            )]
+        ]
+    ),
+    "kept_quartiles": _union(
+        [f"""SELECT '{c}' AS "column", CAST(s AS DOUBLE) AS share, true AS near FROM (VALUES (0.25), (0.5), (0.75)) v (s)
+        WHERE (SELECT count("{c}") FROM fact_raw) > 0""" for c in FACT_NUMBERS]
+    ),
+    "kept_histogram": _union(
+        [f"""SELECT '{c}' AS "column", CAST(bin AS INT) AS bin, true AS near FROM generate_series(0, 19) g (bin)
+        WHERE (SELECT count("{c}") FROM fact_raw) > 0""" for c in FACT_NUMBERS]
+    ),
     "full_run": _union(
         [
             f"SELECT '{t}' AS table_name, count(*) AS n_rows, CAST({n} AS BIGINT) AS n_columns FROM {t}"

@@ -11,12 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from wardframe import schema as S
 from wardframe.checks import derived
 from wardframe.operators import columns as C
 from wardframe.operators import duplicates, histogram, profile, quantiles, rows
-from wardframe.plans import gold, incremental, metrics, pipeline, profiling, quality, silver
+from wardframe.plans import gold, incremental, metrics, pipeline, profiling, quality, silver, statistics
 from wardframe.session import scratch_path
 from wardframe.sources import (
     MISSING_TOKENS,
@@ -119,6 +120,14 @@ def provider_join(spark, folder):
     return metrics.provider_frame(_bed(spark, folder), _staff(spark, folder))
 
 
+@query
+def provider_join_stored(spark, folder):
+    """The join of the stored tables, with a provider's days in slices of a hundred."""
+    path = scratch_path(spark, "joined")
+    metrics.store_provider_frame(_bed(spark, folder), _staff(spark, folder), path, buckets=8, rows_per_slice=100)
+    return metrics.stored_provider_frame(spark, path)
+
+
 @query
 def join_null_safe(spark, folder):
     unknown = F.col("l_orderkey") % 29 == 0
@@ -678,6 +687,49 @@ def duplicate_header_names(spark, folder):
     return found.select(region.alias("n_regionkey"), "name", "occurrences", "first_position")
 
 
+def _kept(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The raw work days, their stored statistics, which are written in two goes, and the numeric columns."""
+    fact, columns = _fact_hours(spark, folder)
+    month, path = F.floor(F.col("WorkDate") / 100).alias("month"), scratch_path(spark, "statistics")
+    early = F.coalesce(F.col("WorkDate") < 19960101, F.lit(False))
+    for some in (early, ~early):
+        write_table(statistics.sketched(fact.filter(some).select("*", month), ["month"], fact.columns), path, append=True)
+    return fact, read_parts(spark, [path]), columns
+
+
+@query
+def kept_counts(spark, folder):
+    """Counts and ends by the stored statistics, and whether distinct counts are within their bound."""
+    fact, kept, _ = _kept(spark, folder)
+    exact = profile.distinct_counts(fact)
+    near = F.abs(F.col("n_about") - F.col("n_distinct")) <= F.ceil(F.col("n_distinct") * statistics.DISTINCT_ERROR)
+    found = statistics.merged(kept).withColumnRenamed("n_distinct", "n_about").join(exact, "column")
+    return found.select("column", "n_rows", "n_present", "least", "greatest", near.alias("near"))
+
+
+@query
+def kept_quartiles(spark, folder):
+    """Whether each quartile by the stored statistics lies between the exact ones at the ends of its bound."""
+    fact, kept, columns = _kept(spark, folder)
+    shares, reach = (0.25, 0.5, 0.75), statistics.RANK_ERROR
+    exact = quantiles.quantiles(fact, columns, [s + d for s in shares for d in (-reach, reach)])
+    share = F.round(F.col("probability") * 4) / 4
+    ends = exact.groupBy("column", share.alias("share")).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    found = statistics.merged_quantiles(kept, shares).join(ends, ["column", "share"])
+    return found.select("column", "share", F.col("value").between(F.col("lo"), F.col("hi")).alias("near"))
+
+
+@query
+def kept_histogram(spark, folder):
+    """Whether each bin by the stored statistics is within its bound of the exact count."""
+    fact, kept, columns = _kept(spark, folder)
+    exact = histogram.histogram(fact, columns, bins=20).select("column", "bin", F.col("n").alias("n_exact"))
+    total = F.sum("n_exact").over(Window.partitionBy("column"))
+    found = statistics.merged_histogram(kept, bins=20).join(exact.withColumn("total", total), ["column", "bin"])
+    near = F.abs(F.col("n") - F.col("n_exact")) <= 2 * statistics.RANK_ERROR * F.col("total")
+    return found.select("column", "bin", near.alias("near"))
+
+
 @query
 def partitioned_sink(spark, folder):
     """The work days written by month, and each month read back by itself."""

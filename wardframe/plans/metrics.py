@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardframe import schema as S
@@ -20,6 +20,7 @@ from wardframe.operators.aggregates import (
 from wardframe.operators.columns import labelled_column
 from wardframe.operators.joins import join_dimension
 from wardframe.operators.rows import first_rows, require_rows, where_equal
+from wardframe.sources import join_stored, store_for_join
 
 ROLE_HOURS = {role: S.hours(role) for role in S.ROLES}
 
@@ -29,6 +30,16 @@ def provider_frame(bed: DataFrame, staff: DataFrame, null_safe: bool = False) ->
     return join_dimension(bed, staff, "PROVIDER_NUM", "PROVNUM", ("_bed", "_staff"), null_safe)
 
 
+def store_provider_frame(bed: DataFrame, staff: DataFrame, folder: str, buckets: int, **limits: int) -> None:
+    """Both tables stored so that the reports can join them without a shuffle."""
+    store_for_join(bed, staff, "PROVIDER_NUM", "PROVNUM", folder, buckets, **limits)
+
+
+def stored_provider_frame(spark: SparkSession, folder: str) -> DataFrame:
+    """``provider_frame`` of the stored tables."""
+    return join_stored(spark, folder, ("_bed", "_staff"))
+
+
 # Report 1 and 2: beds
 
 

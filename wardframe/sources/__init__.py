@@ -1,6 +1,7 @@
 """Readers and writers: CSV, Parquet, and the manifest of landed files."""
 
 from wardframe.sources.bronze import manifest
+from wardframe.sources.bucketed import join_stored, read_stored, store_for_join
 from wardframe.sources.delimited import (
     MISSING_TOKENS,
     duplicate_headers,
@@ -24,13 +25,16 @@ __all__ = [
     "header_names",
     "infer_types",
     "join_path",
+    "join_stored",
     "manifest",
     "read_csv",
     "read_csv_inferred",
     "read_parts",
+    "read_stored",
     "read_table",
     "records",
     "remove_unpublished",
+    "store_for_join",
     "sweep_csv",
     "sweep_heads",
     "write_table",
