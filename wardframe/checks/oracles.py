@@ -60,6 +60,35 @@ DIM_NURSE = f"""
            {_rate(S.NURSE_HOURS, S.WEEKEND_HOURS)} AS NURSE_TO_PATIENT_RATE
     FROM silver_dim"""
 
+
+
+def _gates() -> str:
+    """Counts per Silver table: all rows, refused ones by reason, missing values by column, and what was stored."""
+    odd, no_day = "NOT regexp_full_match(PROVIDER_NUM, '[0-9]+')", "PROVNUM IS NULL OR WORKDATE IS NULL"
+    dim = {
+        "n_rows": "true",
+        "n_refused": f"PROVIDER_NUM IS NULL OR {odd}",
+        "refused:provider_key_missing": "PROVIDER_NUM IS NULL",
+        "refused:provider_key_not_numeric": odd,
+        "refused:key_repeated": "PROVIDER_NUM IN (SELECT PROVIDER_NUM FROM silver_dim GROUP BY 1 HAVING count(*) > 1)",
+        **{f"missing:{_silver_name(c)}": f"{_silver_name(c)} IS NULL" for c in S.DIM_COLUMNS},
+        "n_stored": "regexp_full_match(PROVIDER_NUM, '[0-9]+')",
+        "stored:provider_key_not_numeric": odd,
+    }
+    fact = {
+        "n_rows": "true",
+        "n_refused": no_day,
+        "refused:work_day_key_missing": no_day,
+        **{f"missing:{c.upper()}": f"{c} IS NULL" for c in FACT_RAW if c not in S.FACT_DROPPED},
+        "n_stored": f"NOT ({no_day})",
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{table}_table' AS table_name, '{name}' AS measure, count(*) AS n FROM silver_{table} WHERE {condition}"
+        for table, found in (("dim", dim), ("fact", fact))
+        for name, condition in found.items()
+    )
+
+
 HOURS = [f"HRS_{role}_{kind}" for role in S.ROLES for kind in ("EMP", "CTR")]
 RATIOS = ", ".join(
     rounded(f"CASE WHEN HRS_{r}_CTR < 0.001 THEN 10000e0 ELSE HRS_{r}_EMP / HRS_{r}_CTR END", 2)
@@ -464,6 +493,7 @@ _BODIES = {
             for t, n in (("dim_bed", 9), ("dim_nurse", 14), ("fact_staff", 33))
         ]
     ),
+    "full_run_gates": _gates(),
     "full_run_staff_hours": HOURS_LONG,
 }
 

@@ -773,6 +773,31 @@ def full_run(spark, folder):
     return rows.union_parts(shapes)
 
 
+@query
+def full_run_gates(spark, folder):
+    """What a run counted while it wrote Silver, and the rows that it refused, by reason."""
+    base = scratch_path(spark, "gates")
+    bronze, refused = join_path(base, "raw"), join_path(base, "refused")
+    _write_csv(derived.fact_raw(spark, folder), join_path(bronze, S.FACT_FILE))
+    _write_csv(derived.dim_raw(spark, folder), join_path(bronze, S.DIM_FILE))
+    counts = pipeline.to_silver_gated(spark, bronze, join_path(base, "silver"), refused)
+    kept = [(name, f"silver/{name}") for name in ("dim_table", "fact_table")]
+    stored = [
+        spark.read.parquet(join_path(base, path)).agg(F.count("*").alias("n")).select(
+            F.lit(name).alias("table_name"), F.lit("n_stored").alias("measure"), "n"
+        )
+        for name, path in kept
+    ]
+    why = (
+        spark.read.parquet(join_path(refused, "dim_table"))
+        .select(F.explode("reasons").alias("reason"))
+        .groupBy("reason")
+        .agg(F.count("*").alias("n"))
+        .select(F.lit("dim_table").alias("table_name"), F.concat(F.lit("stored:"), "reason").alias("measure"), "n")
+    )
+    return rows.union_parts([counts, *stored, why])
+
+
 @query
 def full_run_staff_hours(spark, folder):
     tables = _run_pipeline(spark, folder)

@@ -11,7 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from wardframe import schema as S
-from wardframe.plans import gold, silver
+from wardframe.plans import gates, gold, silver
 from wardframe.plans.quality import require_unique_providers
 from wardframe.sources import join_path, read_csv, read_table, write_table
 
@@ -56,6 +56,40 @@ def to_silver(
     write_table(silver.silver_dim(dim), join_path(silver_dir, "dim_table"))
 
 
+def to_silver_gated(
+    spark: SparkSession,
+    bronze: str,
+    silver_dir: str,
+    refused_dir: str | None = None,
+    fact_file: str = S.FACT_FILE,
+    dim_file: str = S.DIM_FILE,
+    encoding: str = "utf-8",
+    most_refused: float = 1.0,
+) -> DataFrame:
+    """``to_silver`` with the checks of ``gates``: rows (table_name, measure, n).
+
+    With ``refused_dir`` refused rows go there instead, one table for each of
+    Silver's. Providers whose key recurs are refused, as the join would
+    multiply their days.
+    """
+    fact = silver.silver_fact(read_csv(spark, join_path(bronze, fact_file), S.fact_type, encoding))
+    dim = silver.silver_dim(read_csv(spark, join_path(bronze, dim_file), S.dim_type, encoding))
+    counted = {}
+    for name, df, checks, unique in (
+        ("fact_table", fact, gates.FACT_GATES, ()),
+        ("dim_table", dim, gates.DIM_GATES, ("PROVIDER_NUM",)),
+    ):
+        counted[name] = gates.write_gated(
+            df,
+            join_path(silver_dir, name),
+            checks,
+            join_path(refused_dir, name) if refused_dir else None,
+            unique,
+            most_refused,
+        )
+    return gates.gate_report(spark, counted)
+
+
 def to_gold_dims(
     spark: SparkSession, silver_dir: str, gold_dir: str, unique_providers: bool = False
 ) -> None:

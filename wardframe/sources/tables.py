@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 import pyarrow as pa
@@ -131,6 +131,7 @@ def write_table(
     lookup_by: Sequence[str] = (),
     max_records_per_file: int = 0,
     append: bool = False,
+    last: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Replace the table at ``path``; with ``append``, add to it.
 
@@ -139,7 +140,8 @@ def write_table(
 
     A partitioned table is first dealt out by its partition columns, so that a
     partition is a few files of good size, not one per task; a partition that
-    holds much of the table is split over tasks.
+    holds much of the table is split over tasks. ``last`` is applied to the rows
+    as they are dealt out, right before the write.
 
     Overwriting deletes first and is not a transaction: one writer per path,
     and never read and write one path in the same plan. Tables that belong
@@ -147,6 +149,8 @@ def write_table(
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
+    if last:
+        df = last(df)
     writer = df.write.mode("append" if append else "overwrite")
     for column in lookup_by:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", True)
