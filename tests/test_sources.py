@@ -1,5 +1,7 @@
 """CSV edge cases, Parquet parts, and the audit of raw files."""
 
+import re
+
 import duckdb
 import pytest
 from pyspark.sql import types as T
@@ -186,6 +188,34 @@ def test_manifest_tells_files_apart(spark, write, tmp_path):
     assert len({prints[n] for n in ("a.csv", "c.csv", "d.csv", "f.csv")}) == 4
 
 
+def test_files_at_any_depth_are_listed_by_tasks(spark, write, tmp_path):
+    for name in ("a.csv", "x/b.csv", "x/y/z/c 1%2.csv", "x/y/none.csv", "x/d.txt", "_marks/e.csv", "k=_/f.csv", "x/.g.csv"):
+        write(f"l/{name}", "" if "none" in name else "1\n")
+    found = sources.list_files(spark, f"{tmp_path}/l", "*.csv").collect()
+    below = {r.path.split("/l/", 1)[1]: r.n_bytes for r in found}
+    assert below == {"a.csv": 2, "x/b.csv": 2, "x/y/z/c 1%2.csv": 2, "x/y/none.csv": 0, "k=_/f.csv": 2}
+    # The scan names a file otherwise than the listing; they have to meet.
+    rows = sources.manifest(spark, f"{tmp_path}/l").collect()
+    assert sorted(r.n_lines for r in rows) == [0, 1, 1, 1, 1]
+    named = spark.read.text(f"{tmp_path}/l", pathGlobFilter="*.csv", recursiveFileLookup=True).inputFiles()
+    assert {r.path for r in rows} == set(named)
+
+
+def test_an_empty_folder_has_no_files(spark, tmp_path):
+    (tmp_path / "nothing").mkdir()
+    assert sources.list_files(spark, f"{tmp_path}/nothing").isEmpty()
+
+
+@pytest.mark.parametrize(
+    "glob, fits, not_",
+    [("*.csv", "a.csv", "a.csvx"), ("{a,b}?.csv", "b1.csv", "c1.csv"), ("[!0-9]*", "x1", "1x"), ("a.b", "a.b", "aXb")],
+)
+def test_globs_on_names(glob, fits, not_):
+    from wardframe.sources.listing import name_pattern
+
+    assert re.search(name_pattern(glob), fits) and not re.search(name_pattern(glob), not_)
+
+
 def test_parquet_round_trip_and_parts(spark, tmp_path):
     df = spark.createDataFrame([(1, "x"), (2, None)], "k int, s string")
     for _ in range(2):

@@ -12,6 +12,7 @@ from wardframe.sources.delimited import (
     sweep_heads,
 )
 from wardframe.sources.inference import infer_types
+from wardframe.sources.listing import list_files
 from wardframe.sources.records import records
 from wardframe.sources.tables import join_path, read_parts, read_table, write_table
 from wardframe.sources.versions import ConflictError, Publication, Store, remove_unpublished
@@ -26,6 +27,7 @@ __all__ = [
     "infer_types",
     "join_path",
     "join_stored",
+    "list_files",
     "manifest",
     "read_csv",
     "read_csv_inferred",

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from wardframe.sources.listing import list_files
+
 # Line hashes are taken modulo this prime, so that their sums stay exact.
 MODULUS = 2**31 - 1
 
@@ -28,7 +30,8 @@ def manifest(
     its line number, so two lines that changed places are seen. A file is read
     in splits by many tasks: sums are taken per block with numbers that start
     there, and moved by the lines before the block once these are known. Both
-    do not depend on how a file is split.
+    do not depend on how a file is split. Tasks, not the driver, make a row per
+    file; the driver holds the file list of Spark's own scans.
     """
     # Only the newline separates lines; a carriage return is part of the content.
     reader = (
@@ -65,24 +68,24 @@ def manifest(
         )
     )
     # The listing knows files without bytes too, which no scan returns.
-    listed = [(f, f) for f in text.inputFiles()]
+    listed = list_files(spark, folder, pattern).select(F.col("path").alias("listed"))
     below = folder.rstrip("/") + "/"
     wanted = [(source, below + path.lstrip("/")) for source, path in expected]
     return _against(spark, files, listed, wanted)
 
 
-def _against(spark, files: DataFrame, listed: list, wanted: list) -> DataFrame:
+def _against(spark, files: DataFrame, landed: DataFrame, wanted: list) -> DataFrame:
     """Files that landed and files that were expected, each once, by the end of their path."""
-    landed = spark.createDataFrame(listed, "path string, listed string")
-    plain = lambda c: F.regexp_replace(F.url_decode(c), "^[a-z0-9]+:/*", "/")
-    counted = files.withColumn("place", plain("path")).drop("path")
-    there = landed.withColumn("place", plain("path")).join(counted, "place", "left")
+    # A scan names its files as in a URL, the listing does not.
+    plain = lambda c: F.regexp_replace(c, "^[a-z0-9]+:/*", "/")
+    counted = files.withColumn("place", plain(F.url_decode("path")))
+    there = landed.withColumn("place", plain("listed")).join(counted, "place", "left")
     asked = spark.createDataFrame(wanted, "source string, asked string").withColumn("place", plain("asked"))
     joined = asked.join(there, "place", "full")
     name = F.element_at(F.split(F.col("place"), "/"), -1)
     return joined.select(
         "source",
-        F.coalesce("path", "asked").alias("path"),
+        F.regexp_replace(F.coalesce("path", "listed", "asked"), "^file:/+", "file:///").alias("path"),
         name.alias("file_name"),
         F.col("listed").isNotNull().alias("landed"),
         F.when(F.col("listed").isNotNull(), F.coalesce("n_bytes", F.lit(0))).alias("n_bytes"),
