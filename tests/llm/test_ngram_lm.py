@@ -1,8 +1,10 @@
 import collections
+import itertools
 import math
 import re
 import zlib
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -33,12 +35,13 @@ class BruteForce:
             self.follow[a][min(n, 3)] += 1
         self.d2 = N.discounts([sum(n == k for n in self.pairs.values()) for k in (1, 2, 3, 4)])
         self.d1 = N.discounts([sum(n == k for n in self.before.values()) for k in (1, 2, 3, 4)])
+        self.taken = sum(self.d1[min(n, 3) - 1] for n in self.before.values())
 
     def lower(self, w):
         types = len(self.pairs)
         if not types:
             return 1 / (self.size + 1)
-        left = sum(self.d1[min(n, 3) - 1] for n in self.before.values()) / types
+        left = self.taken / types
         n = self.before.get(w, 0)
         return (max(n - self.d1[min(n, 3) - 1], 0) / types if n else 0) + left / (self.size + 1)
 
@@ -57,9 +60,9 @@ class BruteForce:
         return len(w), sum(c > 0 for c in known), base, sum(math.log10(self.of(a, b)) for a, b in zip([None, *w], w))
 
 
-def check(spark, documents, train, rows):
+def check(spark, documents, train, rows, **layout):
     folder = scratch_path(spark, "ngram-test")
-    summary = N.train(documents(list(enumerate(train))), folder)
+    summary = N.train(documents(list(enumerate(train))), folder, **layout)
     model = BruteForce(train)
     assert (summary.tokens, summary.vocabulary) == (model.total, model.size)
     found = N.score_documents(documents(rows), folder, summary).collect()
@@ -84,6 +87,27 @@ def test_scores_of_the_table(spark, documents, texts):
     assert min(model.d2) > 0 and model.d2 != N.FALLBACK
 
 
+@pytest.mark.parametrize("spare", [1, 3])
+def test_ids_beyond_32_bits(spark, documents, texts, spare):
+    train = [*ODD, *list(texts.values())[:80]]
+    check(spark, documents, train, [*enumerate(ODD), *list(texts.items())[60:110], (0, "never seen")], spare=spare)
+
+
+@pytest.mark.parametrize("words, spare", [(0, 0), (2**32 - 2, 0), (2**32 - 1, 1), (2**33 - 2, 1), (2**36, 5)])
+def test_ids_and_keys_of_any_vocabulary(words, spare):
+    ids = N.Ids.of(words)
+    assert ids.spare == spare and ids.unknown >= words
+    some = [0, 1, 5, words // 3, max(words - 1, 0), ids.unknown, ids.begin]
+    before, after = (np.array(x, np.uint64) for x in zip(*itertools.product(some, some)))
+    keys, parts = ids.keys(before, after)
+    assert parts.max() < ids.parts
+    distinct = {(int(a), int(b)) for a, b in zip(before, after)}
+    assert len({(int(k), int(p)) for k, p in zip(keys, parts)}) == len(distinct)
+    for k, p, a, b in zip(keys, parts, before, after):
+        first, second = ids.pairs(np.array([k]), int(p))
+        assert (first[0], second[0]) == (a, b)
+
+
 def test_probabilities_sum_to_one(texts):
     model = BruteForce(list(texts.values())[:60])
     for a in [None, "the", "\n", "never seen"]:

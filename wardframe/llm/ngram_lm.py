@@ -6,6 +6,8 @@ The model is a folder of sorted arrays that workers map into memory:
   A word's id is its place among all of them.
 * ``pairs-*``: sorted keys of one bucket, previous id and next id, and counts.
   The bucket follows from a hash of the key, so no word makes a bucket large.
+  A key has 32 bits of either id. Of ids that need more, the lowest bits are the
+  key's part, and each part has buckets of its own.
 * ``context-*`` and ``before-*``: per id, for a range of ids, what follows it
   (tokens, and types seen once, twice, more often) and how many different ids
   come before it.
@@ -34,8 +36,8 @@ from wardframe.llm.worker import remembers, serve
 
 HELD_OUT_PARTS = 10
 ADDED = 0.1
-# Ids that are not in the vocabulary: the place before the first word, and unknown words.
-BEGIN, UNKNOWN = 0xFFFFFFFF, 0xFFFFFFFE
+HALF = np.uint64(32)
+LOWER_HALF = np.uint64(0xFFFFFFFF)
 PAIRS_PER_BUCKET = 4_000_000
 IDS_PER_RANGE = 1 << 18
 SLICE_BYTES = 2 << 20
@@ -127,33 +129,70 @@ def _word_writer(folder: str):
     return run
 
 
+@dataclass(frozen=True)
+class Ids:
+    """How ids are laid out: ``spare`` is how many bits they have beyond 32."""
+
+    spare: int
+
+    @classmethod
+    def of(cls, vocabulary: int) -> Ids:
+        """The last two ids are no words: see ``begin`` and ``unknown``."""
+        return cls(max(0, (vocabulary + 1).bit_length() - 32))
+
+    @property
+    def begin(self) -> int:
+        """The place before the first word."""
+        return (1 << 32 + self.spare) - 1
+
+    @property
+    def unknown(self) -> int:
+        return (1 << 32 + self.spare) - 2
+
+    @property
+    def parts(self) -> int:
+        return 1 << 2 * self.spare
+
+    def keys(self, before: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The key of each pair of ids, and the part it belongs to."""
+        s, low = np.uint64(self.spare), np.uint64((1 << self.spare) - 1)
+        return before >> s << HALF | after >> s, (before & low) << s | after & low
+
+    def pairs(self, keys: np.ndarray, part: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of keys of one part."""
+        s = np.uint64(self.spare)
+        first, second = np.uint64(part >> self.spare), np.uint64(part & (1 << self.spare) - 1)
+        return keys >> HALF << s | first, (keys & LOWER_HALF) << s | second
+
+
 class Words:
     """The vocabulary: from word hashes to ids and counts."""
 
-    def __init__(self, folder: str, shards: list[dict]):
+    def __init__(self, folder: str, shards: list[dict], ids: Ids):
+        self.unknown = ids.unknown
         self.least = np.array([s["least"] for s in shards], np.int64)
         self.parts = [_mapped(f"{folder}/{s['name']}", "<i8", "<i8") for s in shards]
         self.before = np.cumsum([0, *(s["size"] for s in shards)])
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Id, or UNKNOWN, and count of each token; each distinct one is looked up once."""
+        """Id, or that of unknown words, and count of each token; each distinct one is looked up once."""
         distinct, where = np.unique(hashes.view(np.int64), return_inverse=True)
-        ids = np.full(len(distinct), UNKNOWN, np.uint64)
+        ids = np.full(len(distinct), self.unknown, np.uint64)
         counts = np.zeros(len(distinct), np.int64)
         edges = np.searchsorted(distinct, self.least)
         for i, (known, n) in enumerate(self.parts):
             own = slice(edges[i], edges[i + 1] if i + 1 < len(edges) else len(distinct))
             at = np.minimum(np.searchsorted(known, distinct[own]), len(known) - 1)
             hit = known[at] == distinct[own]
-            ids[own] = np.where(hit, self.before[i] + at, UNKNOWN)
+            ids[own] = np.where(hit, self.before[i] + at, self.unknown)
             counts[own] = np.where(hit, n[at], 0)
         return ids[where], counts[where]
 
 
-def _previous(ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def _previous(ids: np.ndarray, ends: np.ndarray, begin: int) -> np.ndarray:
     before = np.empty_like(ids)
     before[1:] = ids[:-1]
-    before[ends[:-1]] = BEGIN
+    before[ends[:-1]] = begin
     return before
 
 
@@ -201,35 +240,45 @@ def _summed(blocks: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np
     return keys[first], np.add.reduceat(counts, first)
 
 
-def _pair_batches(folder: str, shards: list[dict], buckets: int):
+def _spans(sorted_values: np.ndarray) -> list[tuple[int, slice]]:
+    """Each value that occurs, with its span."""
+    values, first = np.unique(sorted_values, return_index=True)
+    bounds = [*first.tolist(), len(sorted_values)]
+    return [(int(v), slice(a, b)) for v, a, b in zip(values, bounds, bounds[1:])]
+
+
+def _pair_batches(folder: str, shards: list[dict], layout: Ids, per_part: int):
     def run(batches):
         serve("ngram")
-        words, seen, held = Words(folder, shards), [], 0
+        words, seen, held = Words(folder, shards, layout), {}, 0
 
         def blocks():
-            keys, counts = _summed(seen)
-            bucket = _buckets_of(keys, buckets)
-            order = np.argsort(bucket, kind="stable")
-            keys, counts, bucket = keys[order], counts[order], bucket[order]
-            edges = np.searchsorted(bucket, np.arange(buckets + 1))
-            for a in range(0, buckets, 64):
-                own = [i for i in range(a, min(a + 64, buckets)) if edges[i] < edges[i + 1]]
-                spans = [slice(edges[i], edges[i + 1]) for i in own]
-                raw = [_packed(keys[span], counts[span]) for span in spans]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(own, pa.int32()), pa.array(raw, pa.binary())], names=["bucket", "block"]
-                )
+            for part, own in sorted(seen.items()):
+                keys, counts = _summed(own)
+                bucket = part * per_part + _buckets_of(keys, per_part).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                keys, counts, spans = keys[order], counts[order], _spans(bucket[order])
+                for a in range(0, len(spans), 64):
+                    some = spans[a : a + 64]
+                    raw = [_packed(keys[span], counts[span]) for _, span in some]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([b for b, _ in some], pa.int64()), pa.array(raw, pa.binary())],
+                        names=["bucket", "block"],
+                    )
 
         for batch in batches:
             for a, b in slices(batch.column(0), SLICE_BYTES):
                 hashes, ends = tokens(batch.column(0).slice(a, b - a))
                 ids, _ = words.find(hashes)
-                keys = _previous(ids, ends) << np.uint64(32) | ids
-                seen.append(np.unique(keys, return_counts=True))
-                held += len(seen[-1][0])
+                keys, parts = layout.keys(_previous(ids, ends, layout.begin), ids)
+                order = np.argsort(parts, kind="stable") if layout.spare else slice(None)
+                keys = keys[order]
+                for part, span in _spans(parts[order]):
+                    seen.setdefault(part, []).append(np.unique(keys[span], return_counts=True))
+                    held += len(seen[part][-1][0])
                 if held > PAIRS_PER_BUCKET:
                     yield from blocks()
-                    seen, held = [], 0
+                    seen, held = {}, 0
         if seen:
             yield from blocks()
 
@@ -273,7 +322,7 @@ def _count_of_counts(counts: np.ndarray) -> list[int]:
 _PAIR_SCHEMA = "kind string, span long, raw binary, counts array<long>"
 
 
-def _pair_writer(folder: str):
+def _pair_writer(folder: str, layout: Ids, per_part: int):
     def run(group):
         import pandas as pd
 
@@ -283,7 +332,7 @@ def _pair_writer(folder: str):
         bucket = int(group["bucket"].iloc[0])
         _save(folder, f"pairs-{bucket:06d}", keys.astype("<u8"), small)
         _save(folder, f"more-{bucket:06d}", keys[over].astype("<u8"), counts[over].astype("<i8"))
-        before, after = keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)
+        before, after = layout.pairs(keys, bucket // per_part)
         first = np.flatnonzero(np.concatenate([[True], before[1:] != before[:-1]]))
         kinds = (counts, counts == 1, counts == 2, counts > 2)
         columns = [np.add.reduceat(x.astype(np.int64), first) for x in kinds]
@@ -333,7 +382,8 @@ class Summary:
     """What a worker needs to know besides the arrays; small, and kept as JSON."""
 
     shards: list[dict]
-    buckets: int
+    spare: int  # see Ids
+    per_part: int  # buckets of each part
     pair_discounts: tuple[float, float, float]
     word_discounts: tuple[float, float, float]
     types: int  # different pairs
@@ -348,9 +398,11 @@ class Summary:
         return sum(s["total"] for s in self.shards)
 
 
-def train(docs: DataFrame, folder: str, text_col: str = "text") -> Summary:
+def train(docs: DataFrame, folder: str, text_col: str = "text", spare: int | None = None) -> Summary:
     """Counts all texts of ``docs`` into a model in ``folder``.
 
+    Ids have ``spare`` bits beyond 32; by default as many as there are words for.
+
     A null text is empty; it still has its end. The driver gets one row per
     file. A file is written again as it was if its task runs again. An empty
     table gives a model without words.
@@ -366,12 +418,12 @@ def train(docs: DataFrame, folder: str, text_col: str = "text") -> Summary:
     )
     shards = [r.asDict() for r in sorted(written.collect(), key=lambda r: r.least)]
     total = sum(s["total"] for s in shards)
-    if sum(s["size"] for s in shards) >= UNKNOWN:
-        raise ValueError("more words than ids")
+    layout = Ids.of(sum(s["size"] for s in shards)) if spare is None else Ids(spare)
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(tasks, -(-total // PAIRS_PER_BUCKET))
-    blocks = texts.mapInArrow(_pair_batches(path, shards, buckets), "bucket int, block binary")
-    pairs = stored(blocks.groupBy("bucket").applyInPandas(_pair_writer(path), _PAIR_SCHEMA), "pair-counts")
+    per_part = -(-max(tasks, -(-total // PAIRS_PER_BUCKET)) // layout.parts)
+    blocks = texts.mapInArrow(_pair_batches(path, shards, layout, per_part), "bucket long, block binary")
+    written = blocks.groupBy("bucket").applyInPandas(_pair_writer(path, layout, per_part), _PAIR_SCHEMA)
+    pairs = stored(written, "pair-counts")
     ranges = (
         pairs.filter("kind <> 'counts'")
         .groupBy("kind", "span")
@@ -385,7 +437,8 @@ def train(docs: DataFrame, folder: str, text_col: str = "text") -> Summary:
     of_words = np.sum([[0] * 6, *(r.counts for r in ranges if r.kind == "before")], axis=0)
     summary = Summary(
         shards,
-        buckets,
+        layout.spare,
+        per_part,
         discounts(of_pairs[:4].tolist()),
         discounts(of_words[:4].tolist()),
         int(of_pairs[4]),
@@ -401,7 +454,8 @@ class Model:
 
     def __init__(self, folder: str, summary: Summary):
         self.path, self.summary = local_path(folder), summary
-        self.words = Words(self.path, summary.shards)
+        self.ids = Ids(summary.spare)
+        self.words = Words(self.path, summary.shards, self.ids)
         self.files: dict[str, list[np.ndarray] | None] = {}
 
     def _file(self, name: str, *dtypes: str) -> list[np.ndarray] | None:
@@ -423,15 +477,15 @@ class Model:
                     found[k, a:b] = file[k][at]
         return found
 
-    def _pair_counts(self, keys: np.ndarray) -> np.ndarray:
-        """The counts of distinct keys."""
-        bucket = _buckets_of(keys, self.summary.buckets)
+    def _pair_counts(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """The counts of distinct pairs of ids."""
+        keys, parts = self.ids.keys(before, after)
+        per_part = self.summary.per_part
+        bucket = parts.astype(np.int64) * per_part + _buckets_of(keys, per_part).astype(np.int64)
         order = np.lexsort((keys, bucket))
         sorted_keys, found = keys[order], np.zeros(len(keys), np.int64)
-        edges = np.searchsorted(bucket[order], np.arange(self.summary.buckets + 1))
-        for i in range(self.summary.buckets):
-            own = slice(edges[i], edges[i + 1])
-            file = self._file(f"pairs-{i:06d}", "<u8", "u1") if edges[i] < edges[i + 1] else None
+        for i, own in _spans(bucket[order]):
+            file = self._file(f"pairs-{i:06d}", "<u8", "u1")
             if file is None:
                 continue
             known, small = file
@@ -457,14 +511,17 @@ class Model:
             lower = cut(types, s.word_discounts) / s.types + left * uniform
         else:
             lower = np.full(len(word), uniform)
-        keys, of_key = np.unique(_previous(ids, ends) << np.uint64(32) | ids, return_inverse=True)
-        context, of_context = np.unique(keys >> np.uint64(32), return_inverse=True)
+        context, in_context = np.unique(_previous(ids, ends, self.ids.begin), return_inverse=True)
+        # Pairs by the places of their ids among those of this slice.
+        places = in_context.astype(np.uint64) << HALF | of_word.astype(np.uint64)
+        pairs, of_pair = np.unique(places, return_inverse=True)
+        of_context, after = (pairs >> HALF).astype(np.int64), (pairs & LOWER_HALF).astype(np.int64)
         total, *seen = self._of_ids("context", 4, context.astype(np.int64))
         known = total > 0
         some = np.maximum(total, 1)
         left = np.where(known, sum(d * n for d, n in zip(s.pair_discounts, seen)) / some, 1.0)
-        own = cut(self._pair_counts(keys), s.pair_discounts) / some[of_context]
-        return np.log10(own[of_key] + left[of_context][of_key] * lower[of_word])
+        own = cut(self._pair_counts(context[of_context], word[after]), s.pair_discounts) / some[of_context]
+        return np.log10(own[of_pair] + left[in_context] * lower[of_word])
 
 
 _MODELS: dict[str, Model] = {}
