@@ -1,4 +1,9 @@
+import itertools
+import math
 import re
+import unicodedata
+
+import pytest
 
 from wardframe.llm import quality_rules as Q
 
@@ -53,6 +58,84 @@ def test_counts_of_the_table(spark, folder, texts):
     assert counts_of(Q.quality_verdicts(df)) == {i: expected(t) for i, t in texts.items()}
 
 
+def plain_rates(text):
+    words = WORD.findall(text or "")
+    n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, _ = expected(text)
+    n_lines = sum(bool(LINE.search(x)) for x in (text or "").split("\n"))
+    upper = sum(unicodedata.category(c) == "Lu" for c in text or "")
+    echoes = sum(a == b for a, b in itertools.pairwise(words))
+    return {
+        "symbol_rate": n_symbols / max(word_chars, 1),
+        "upper_rate": upper / max(word_chars, 1),
+        "dup_line_rate": n_dup_lines / max(n_lines, 1),
+        "repeat_rate": n_repeat_words / max(n_words, 1),
+        "echo_rate": echoes / max(n_words, 1),
+        "mean_word": word_chars / max(n_words, 1),
+    }
+
+
+def plain_bounds(rates, measure, error):
+    """The least and the greatest low and high fence, by exact quantiles ``error`` off in rank."""
+    values = sorted(r[measure] for r in rates)
+
+    def at(share):
+        return values[min(max(math.ceil(share * len(values)) - 1, 0), len(values) - 1)]
+
+    def fence(off):  # off: -1 for the lowest high fence, 1 for the highest
+        q1, q3 = at(0.25 - off * error), at(0.75 + off * error)
+        most = Q.RATES.get(measure)
+        slack = max(min(at(0.99 + off * error), most), Q.LEAST_SLACK * most) if most else Q.LENGTH_SLACK
+        return q1 - Q.REACH * (q3 - q1) - slack, q3 + Q.REACH * (q3 - q1) + slack
+
+    (low_in, high_in), (low_out, high_out) = fence(-1), fence(1)
+    return low_out, low_in, high_in, high_out
+
+
+def plain_verdicts(rows, min_rows, error):
+    """Per id True, False, or None where the sketches' error may turn the verdict."""
+    rates = {r.doc_id: plain_rates(r.text) for r in rows}
+    passed = [r for r in rows if not expected(r.text)[-1]]
+    strata = {}
+    for r in passed:
+        for key in ((r.lang, r.source), (r.lang,), ()):
+            strata.setdefault(key, []).append(rates[r.doc_id])
+    found = {r.doc_id: False for r in rows}
+    for r in passed:
+        own, lang, every = (strata[k] for k in ((r.lang, r.source), (r.lang,), ()))
+        large = [s for s in (own, lang) if len(s) >= min_rows]
+        sure, never = True, False
+        for m, value in rates[r.doc_id].items():
+            levels = [plain_bounds(s, m, error) for s in ([*large, every] if m in Q.RATES else large or [every])]
+            if m not in Q.RATES:
+                sure &= value >= max(b[1] for b in levels)
+                never |= value < max(b[0] for b in levels)
+            sure &= value <= min(b[2] for b in levels)
+            never |= value > min(b[3] for b in levels)
+        found[r.doc_id] = True if sure else False if never else None
+    return found
+
+
+@pytest.mark.parametrize("min_rows", [10, Q.MIN_STRATUM])
+def test_verdicts_equal_exact_quantiles(spark, folder, min_rows):
+    df = spark.read.parquet(f"{folder.removesuffix('0.001')}0.01/documents.parquet")
+    want = plain_verdicts(df.collect(), min_rows, 0.005)
+    got = {r.doc_id: r.kept for r in Q.quality_verdicts(df, min_rows=min_rows).collect()}
+    assert {i: k for i, k in got.items() if want[i] is not None} == {i: k for i, k in want.items() if k is not None}
+    assert sum(k is None for k in want.values()) < len(want) / 50
+
+
+def test_a_rate_at_its_fence_is_kept(spark):
+    """Fences of measures that hardly vary: the slack alone, and a value equal to it."""
+    words = [f"w{k:03d}" for k in range(100)]  # 400 characters of words
+    rows = [(i, " ".join(words)) for i in range(200)]
+    # The least slack of symbols is 0.005: two symbols on 400 characters are at it, three beyond.
+    rows += [(200, " ".join(["#001", "#002", *words[2:]]))]
+    rows += [(201, " ".join(["#001", "#002", "#003", *words[3:]]))]
+    df = spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string")
+    found = {r.doc_id: r.kept for r in Q.quality_verdicts(df).collect()}
+    assert found == {i: i != 201 for i in range(202)}
+
+
 def corpus(spark, n, junk):
     """n clean documents in two sources; every ``junk``-th one is full of symbols."""
     rows = []
