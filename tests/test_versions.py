@@ -216,3 +216,13 @@ def test_parts_get_the_narrowest_common_type(spark, tmp_path):
 )
 def test_common_types(one, other, common):
     assert tables.common_type(one, other) == tables.common_type(other, one) == common
+
+
+def test_the_filter_of_months_is_one_lookup(spark):
+    months = [(year, month) for year in range(1992, 1999) for month in range(1, 13)]
+    assert str(incremental._any_month(months)).count("WORKYEAR") == 1
+    days = spark.createDataFrame([(1992, 12), (1993, 0), (1993, 1), (None, None), (1993, None)], "WORKYEAR int, WORKMONTH int")
+    found = lambda wanted: sorted(map(tuple, days.filter(incremental._any_month(wanted)).collect()), key=repr)
+    assert found([(1992, 12)]) == [(1992, 12)]
+    assert found([(1993, 1), (None, None)]) == [(1993, 1), (None, None)]
+    assert found([(1993, None)]) == [(1993, None)] and found([]) == []

@@ -147,10 +147,16 @@ def _folder(value) -> str:
 
 
 def _any_month(months: list[tuple[int, int]]):
-    """Whether a row is of one of the months; a few comparisons, one per month touched."""
-    found = F.lit(False)
+    """Whether a row is of one of the months: one lookup of its month, whatever the number of months touched.
+
+    The filter moves below the projection that parses the day, so each mention of
+    the year or month is a parse per row.
+    """
+    numbered = [100 * year + month for year, month in months if None not in (year, month)]
+    found = F.coalesce((100 * F.col(MONTH[0]) + F.col(MONTH[1])).isin(numbered), F.lit(False))
     for year, month in months:
-        found = found | (F.col(MONTH[0]).eqNullSafe(year) & F.col(MONTH[1]).eqNullSafe(month))
+        if None in (year, month):
+            found = found | (F.col(MONTH[0]).eqNullSafe(year) & F.col(MONTH[1]).eqNullSafe(month))
     return found
 
 
