@@ -48,6 +48,16 @@ def test_the_days_of_a_hot_key_lie_in_several_buckets(spark, sides, tmp_path):
     assert stored.select("file").distinct().count() <= 8
 
 
+def test_buckets_grow_with_the_tables(spark, sides, tmp_path):
+    dim, fact = sides
+    store_for_join(dim, fact, "the key", "k", f"{tmp_path}/g", buckets=2, rows_per_slice=5, rows_per_bucket=25)
+    assert {r.buckets for r in spark.read.parquet(f"{tmp_path}/g/layout").collect()} == {15}  # 365 days
+    assert spark.read.parquet(f"{tmp_path}/g/fact").select(F.input_file_name()).distinct().count() > 8
+    joined = join_stored(spark, f"{tmp_path}/g", SUFFIXES)
+    assert rows(joined) == rows(join_dimension(dim, fact, "the key", "k", SUFFIXES))
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_stored_tables_without_rows_or_layout(spark, sides, tmp_path):
     dim, fact = sides
     store_for_join(dim.limit(0), fact.limit(0), "the key", "k", f"{tmp_path}/e", buckets=2)

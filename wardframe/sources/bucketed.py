@@ -8,6 +8,7 @@ buckets, and both sides of any join partner lie in the same one.
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,8 @@ from wardframe.operators.joins import join_dimension
 from wardframe.sources.tables import join_path
 
 ROWS_PER_SLICE = 1_000_000
+# A task sorts a bucket when it is written and when it is joined.
+ROWS_PER_BUCKET = 1_000_000
 SLICE = "JOIN_SLICE"
 
 
@@ -29,14 +32,18 @@ def store_for_join(
     folder: str,
     buckets: int,
     rows_per_slice: int = ROWS_PER_SLICE,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> None:
     """Writes both tables below ``folder``, each bucket as one file; the layout comes last.
 
+    There are ``buckets`` of them, or more if the larger side has over
+    ``rows_per_bucket`` rows for each; so a task's share does not grow with the tables.
     The small side grows by at most one row per key and ``rows_per_slice`` rows of
     the large side. Rows without a key are kept, spread over all buckets. Equal
     rows of one input split stay in one slice. A folder without its layout cannot be opened.
     """
     spark = dim.sparkSession
+    buckets = max(buckets, math.ceil(max(fact.count(), dim.count()) / rows_per_bucket))
     counts = fact.filter(quoted(fact_key).isNotNull()).groupBy(quoted(fact_key).alias("sliced_key"))
     slices = counts.agg(F.ceil(F.count("*") / F.lit(rows_per_slice)).cast("int").alias("slices")).filter("slices > 1")
     # The split's number parts equal rows, and a task that runs again deals as before.
