@@ -214,6 +214,19 @@ def test_copies_of_a_hot_row_are_spread_over_tasks(spark):
     assert max(r["count"] for r in per_task) < 0.75 * sum(r["count"] for r in per_task)
 
 
+def test_rows_are_not_sorted_to_find_repeated_ones(spark):
+    """Also for a table beyond the broadcast threshold."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(0, 2000, 1, 4).selectExpr("id % 1990 AS k", "concat('text ', id % 1990) AS s")
+        found = D.repeated_rows(df)
+        assert sorted(map(tuple, found.collect())) == [(i, f"text {i}", 2) for i in range(10)]
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_repeated_keys_take_null_as_a_value(spark):
     df = spark.createDataFrame([(None, 1), (None, 1), (2, None), (2, 3)], "a int, b int")
     assert [tuple(r) for r in D.repeated_keys(df, ["a", "b"]).collect()] == [(None, 1, 2)]

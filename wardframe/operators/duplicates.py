@@ -32,7 +32,9 @@ def repeated_rows(df: DataFrame) -> DataFrame:
     """Rows that occur more than once, each listed once with its ``copies``.
 
     First 8-byte hashes are counted, then only rows whose hash recurs are
-    compared in full; this spares the shuffle of all rows at full width.
+    compared in full. Where rows have to be dealt out to meet those hashes, they
+    are looked up in a hash table of these and not sorted: sorting spills every
+    row at full width, the table holds 8 bytes a hash.
     """
     row_hash = F.xxhash64(*[quoted(c) for c in df.columns])
     counts = df.select(row_hash.alias("_row_hash")).groupBy("_row_hash").agg(F.count("*").alias("n"))
@@ -42,7 +44,7 @@ def repeated_rows(df: DataFrame) -> DataFrame:
     recurring = counts.filter("n > 1").select(turned)
     suspects = (
         df.withColumn("_turned_hash", F.bitwise_not(row_hash))
-        .join(recurring, "_turned_hash", "left_semi")
+        .join(recurring.hint("shuffle_hash"), "_turned_hash", "left_semi")
         .drop("_turned_hash")
     )
     return repeated_keys(suspects, df.columns)
