@@ -122,3 +122,19 @@ def test_statistics_of_odd_columns(spark):
     endless = spark.createDataFrame([(float("inf"),)], "v double")
     with pytest.raises(ValueError, match="infinite"):
         statistics.merged_histogram(statistics.sketched(endless, []))
+
+
+def test_a_pass_sketches_a_few_columns_that_are_projected_first(spark):
+    names = [f"c{i}" for i in range(3 * statistics.COLUMNS_PER_PASS - 1)]
+    wide = spark.range(40).select((F.col("id") % 2).alias("g"), *[((F.col("id") * i) % 7 + 0.5).alias(n) for i, n in enumerate(names)])
+    kept = statistics.sketched(wide, ["g"])
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    aggregates = [line for line in plan if "Aggregate [" in line]
+    assert sum(line.count("hll_sketch_agg(") for line in aggregates) == len(names)
+    assert max(line.count("hll_sketch_agg(") for line in aggregates) <= statistics.COLUMNS_PER_PASS
+    assert not any("xxhash64" in line or "nullif" in line for line in aggregates)
+    assert {(r.g, r.column): r.n_rows for r in kept.collect()} == {(g, n): 20 for g in (0, 1) for n in names}
+    found = {r.column: r.n_distinct for r in statistics.merged(kept).collect()}
+    assert found == {n: 1 if i % 7 == 0 else 7 for i, n in enumerate(names)}

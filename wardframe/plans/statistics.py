@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,8 @@ from wardframe.operators.profile import is_missing
 # Sizes of the sketches, and what they are good for.
 DISTINCT_LOG_SIZE, DISTINCT_ERROR = 14, 0.03
 RANKS_KEPT, RANK_ERROR = 800, 0.01
+# Columns of one pass. More make code too long for the JVM to compile, and sketches of more groups than a cache holds.
+COLUMNS_PER_PASS = 7
 
 
 def _identity(df: DataFrame, column: str) -> Column:
@@ -33,21 +36,32 @@ def _identity(df: DataFrame, column: str) -> Column:
 
 
 def sketched(df: DataFrame, by: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows (by..., column, n_rows, n_present, least, greatest, values, ranks) in one pass over ``df``.
+    """Rows (by..., column, n_rows, n_present, least, greatest, values, ranks).
 
+    A pass over ``df`` reads ``by`` and some columns, so that each column is read once.
     Sketches are merged before the shuffle: a row per group and task reaches it,
     whatever the number of rows of a group. Texts have no ends and ranks. A group
     may be null; a table without rows gives none, or counts of 0 where ``by`` is empty.
     """
     columns = [c for c in df.columns if c not in by] if columns is None else list(columns)
+    passes = -(-len(columns) // COLUMNS_PER_PASS)
+    # Neighbours are dealt to several passes, since texts and numbers come in runs.
+    return reduce(DataFrame.unionByName, [_sketched(df, by, columns[i::passes]) for i in range(passes)])
+
+
+def _sketched(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The rows of ``sketched`` for some columns, in one pass."""
     numbers = set(numeric_columns(df))
+    # Identities and numbers are projected first: an aggregate would interpret them for each sketch.
+    same = [_identity(df, c).alias(f"same{i}") for i, c in enumerate(columns)]
+    values = [number(c).alias(f"number{i}") for i, c in enumerate(columns) if c in numbers]
+    groups = [quoted(b).alias(f"group{i}") for i, b in enumerate(by)]
     found = [F.count("*").alias("n_rows")]
     for i, c in enumerate(columns):
-        same = _identity(df, c)
-        found += [F.count(same).alias(f"n{i}"), F.hll_sketch_agg(same, F.lit(DISTINCT_LOG_SIZE)).alias(f"v{i}")]
+        found += [F.count(f"same{i}").alias(f"n{i}"), F.hll_sketch_agg(f"same{i}", F.lit(DISTINCT_LOG_SIZE)).alias(f"v{i}")]
         if c in numbers:
-            ends = [F.min(number(c)).alias(f"lo{i}"), F.max(number(c)).alias(f"hi{i}")]
-            found += [*ends, F.kll_sketch_agg_double(number(c), F.lit(RANKS_KEPT)).alias(f"r{i}")]
+            ends = [F.min(f"number{i}").alias(f"lo{i}"), F.max(f"number{i}").alias(f"hi{i}")]
+            found += [*ends, F.kll_sketch_agg_double(f"number{i}", F.lit(RANKS_KEPT)).alias(f"r{i}")]
 
     def of_number(name: str, i: int, c: str, kind: str) -> Column:
         return F.col(f"{name}{i}") if c in numbers else F.lit(None).cast(kind)
@@ -64,8 +78,8 @@ def sketched(df: DataFrame, by: Sequence[str], columns: Sequence[str] | None = N
         )
         for i, c in enumerate(columns)
     ]
-    groups = df.groupBy(*[quoted(b) for b in by]).agg(*found)
-    return groups.select(*[quoted(b) for b in by], F.inline(F.array(*rows)))
+    counted = df.select(*groups, *same, *values).groupBy(*[f"group{i}" for i in range(len(by))]).agg(*found)
+    return counted.select(*[F.col(f"group{i}").alias(b) for i, b in enumerate(by)], F.inline(F.array(*rows)))
 
 
 def replaced(kept: DataFrame, fresh: DataFrame, by: Sequence[str]) -> DataFrame:
