@@ -90,6 +90,20 @@ def test_rounds_follow_the_number_of_values_only(spark, values, monkeypatch):
     assert len(rounds) <= 2
 
 
+def test_cuts_lie_around_the_wanted_ranks_without_stacking(spark, monkeypatch):
+    def refused(*args):
+        raise AssertionError("values were stacked")
+
+    monkeypatch.setattr(Q, "_bracketed", refused)
+    df = spark.range(20_000).select(F.col("id").alias("a"), (F.col("id") * 2.0).alias("b")).repartition(5)
+    brackets = [Q.Bracket("a", 0.0, 19_999.0, 0, 20_000), Q.Bracket("b", 10_000.0, 20_000.0, 5_000, 5_001)]
+    cuts = Q._cuts(df, brackets, {0: {5_000}, 1: {100, 4_000}}, 200)
+    assert [len(c) for c in cuts] == [2, 4]
+    assert cuts[0][0] <= 5_000 <= cuts[0][1] and cuts[0][1] - cuts[0][0] < 800
+    below, above, low, high = cuts[1]
+    assert 10_000 <= below <= 10_200 <= above <= 11_000 and 17_000 <= low <= 18_000 <= high <= 19_000
+
+
 def test_an_empty_list_means_no_column(spark):
     df = long(spark, [1.0])
     assert P.null_counts(df, ["v"]).count() == 1

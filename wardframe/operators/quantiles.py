@@ -28,7 +28,7 @@ from wardframe.operators.rows import outside
 
 # Values one task may order at the end; more are narrowed down first.
 VALUES_PER_TASK = 1_000_000
-# A sketch misses a rank by at most the number of values over this.
+# A sketch misses a rank by the number of values over this, or less, in 99 of 100 cases.
 SKETCH_ACCURACY = 2000
 
 # The quartiles and the reach of the fences beyond them.
@@ -91,14 +91,21 @@ def _cuts(
         i: [p for r in wanted[i] for p in ((r + 0.5) / b.inside - reach, (r + 0.5) / b.inside + reach)]
         for i, b in enumerate(brackets)
     }
-    asked = sorted({min(max(p, 0.0), 1.0) for ps in places.values() for p in ps})
-    sketched = _bracketed(df, brackets).groupBy("bracket").agg(
-        F.percentile_approx("value", asked, accuracy).alias("at")
+    asked = {i: sorted({min(max(p, 0.0), 1.0) for p in ps}) for i, ps in places.items()}
+    kept = min(max(math.ceil((2.296 * accuracy) ** 1.1085), 8), 65535)
+    # A sketch per bracket in one row, without stacking. The numbers are projected once per column.
+    columns = list(dict.fromkeys(b.column for b in brackets))
+    numbers = df.select(*[number(c).alias(f"{i}") for i, c in enumerate(columns)])
+    value = [F.col(f"{columns.index(b.column)}") for b in brackets]
+    sketches = numbers.agg(
+        *[
+            F.kll_sketch_agg_double(F.when(v.between(b.lo, b.hi), v), F.lit(kept)).alias(f"{i}")
+            for i, (b, v) in enumerate(zip(brackets, value))
+        ]
     )
-    found = {row.bracket: dict(zip(asked, row.at)) for row in sketched.collect()}
-    return [
-        sorted({found[i][min(max(p, 0.0), 1.0)] for p in places[i]}) for i in range(len(brackets))
-    ]
+    at = lambda i: F.array(*[F.lit(p) for p in asked[i]])
+    found = sketches.select(*[F.kll_sketch_get_quantile_double(f"{i}", at(i)).alias(f"{i}") for i in asked]).first()
+    return [sorted(set(found[i])) for i in range(len(brackets))]
 
 
 def _narrow(
