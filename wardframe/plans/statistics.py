@@ -23,7 +23,7 @@ from wardframe.operators.profile import is_missing
 # Sizes of the sketches, and what they are good for.
 DISTINCT_LOG_SIZE, DISTINCT_ERROR = 14, 0.03
 RANKS_KEPT, RANK_ERROR = 800, 0.01
-# Columns of one pass. More make code too long for the JVM to compile, and sketches of more groups than a cache holds.
+# Columns of one pass. Many more make code too long for the JVM to compile.
 COLUMNS_PER_PASS = 7
 
 
