@@ -8,7 +8,7 @@ line items alone: no join, no shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,5 +133,11 @@ def fact_raw(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "lineitem").selectExpr(*_aliased(FACT_RAW))
 
 
+def fact_raw_dealt(spark: SparkSession, folder: str, parts: int, keys: Sequence[str]) -> DataFrame:
+    """``fact_raw`` dealt out by its columns ``keys``; what is shuffled is the columns it is derived from."""
+    dealt = table(spark, folder, "lineitem").repartition(parts, *[F.expr(FACT_RAW[k]) for k in keys])
+    return dealt.selectExpr(*_aliased(FACT_RAW))
+
+
 def _aliased(columns: Mapping[str, str]) -> list[str]:
     return [f"{e} AS `{n}`" for n, e in columns.items()]

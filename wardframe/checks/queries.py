@@ -6,7 +6,8 @@ fixed; the operators themselves return them unrounded.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from wardframe.checks import derived
 from wardframe.operators import columns as C
 from wardframe.operators import duplicates, histogram, profile, quantiles, rows
 from wardframe.plans import gold, incremental, metrics, pipeline, profiling, quality, silver, statistics
-from wardframe.session import scratch_path
+from wardframe.session import remove_scratch, scratch_path, shuffles_released
 from wardframe.sources import (
     MISSING_TOKENS,
     duplicate_headers,
@@ -631,24 +632,41 @@ def csv_heads(spark, folder):
 
 
 FINGERPRINTED_FILES = 8
-
-
-def _fingerprinted(spark: SparkSession, folder: str) -> str:
-    """Both raw tables three times, in several files: as they are, once more, and in another order."""
-    base = scratch_path(spark, "landed")
-    for table, df in (("fact", derived.fact_raw(spark, folder)), ("dim", derived.dim_raw(spark, folder))):
-        columns = [C.quoted(c) for c in df.columns]
-        dealt = df.repartition(FINGERPRINTED_FILES, *columns[:1], *columns[7:8])
-        for copy in ("first", "second", "turned"):
+# A task sorts the rows of a file.
+ROWS_PER_FINGERPRINTED_FILE = 1_000_000
+
+
+def _fingerprinted(spark: SparkSession, folder: str, expected: Sequence[tuple[str, str]]) -> DataFrame:
+    """The manifest of both raw tables three times, in several files: as they are, once more, and in another order.
+
+    A copy goes once its files are in the manifest, before the next one lands, so the disk holds one of them.
+    There are more files if a table has over ``ROWS_PER_FINGERPRINTED_FILE`` rows for each.
+    """
+    fact, dim = derived.fact_raw(spark, folder), derived.dim_raw(spark, folder)
+    files = lambda df: max(FINGERPRINTED_FILES, math.ceil(df.count() / ROWS_PER_FINGERPRINTED_FILE))
+    dealt_by = lambda df: [*df.columns[:1], *df.columns[7:8]]
+    dealt = {
+        "fact": derived.fact_raw_dealt(spark, folder, files(fact), dealt_by(fact)),
+        "dim": dim.repartition(files(dim), *[C.quoted(c) for c in dealt_by(dim)]),
+    }
+    found = scratch_path(spark, "manifest")
+    for copy in ("first", "second", "turned"):
+        base = scratch_path(spark, "landed")
+        for table, df in dealt.items():
+            columns = [C.quoted(c) for c in df.columns]
             order = [c.desc() for c in columns] if copy == "turned" else columns
-            _write_csv(dealt.sortWithinPartitions(*order), join_path(base, table, copy), header=False)
-    return base
+            with shuffles_released(spark):
+                _write_csv(df.sortWithinPartitions(*order), join_path(base, table, copy), header=False)
+        landed = manifest(spark, base, expected=expected if copy == "first" else ())
+        landed.write.mode("append").parquet(found)
+        remove_scratch(spark, base)
+    return spark.read.parquet(found)
 
 
 @query
 def bronze_manifest(spark, folder):
     """Lines per table and copy, and whether the fingerprints of its files tell an order from another."""
-    files = manifest(spark, _fingerprinted(spark, folder), expected=[("providers", "dim/missing/part-00000-never.csv")])
+    files = _fingerprinted(spark, folder, expected=[("providers", "dim/missing/part-00000-never.csv")])
     part = lambda at: F.element_at(F.split("path", "/"), at)
     number = F.regexp_extract("file_name", "part-([0-9]+)", 1)
     files = files.withColumns({"dataset": part(-3), "copy": part(-2), "number": number})

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -61,13 +63,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def remove_scratch(spark: SparkSession) -> None:
-    """Deletes what was written to scratch paths so far.
+def remove_scratch(spark: SparkSession, *paths: str) -> None:
+    """Deletes what was written to the given scratch paths, or to all so far.
 
     Call it when the frames that were read from them are no longer used.
     """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _SCRATCH:
-        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+    for given in paths or tuple(_SCRATCH):
+        _SCRATCH.remove(given)
+        path = jvm.org.apache.hadoop.fs.Path(given)
         path.getFileSystem(conf).delete(path, True)
+
+
+# Spark deletes the shuffle files of an execution when it ends, not when the driver's memory is next cleaned.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Writes in this block leave no shuffle files behind; the session's setting comes back after it."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
