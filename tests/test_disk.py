@@ -6,8 +6,11 @@ import os
 
 import pytest
 
-from wardframe import session
-from wardframe.checks import queries
+from wardframe import schema as S
+from wardframe import session, sources
+from wardframe.checks import derived, queries
+from wardframe.plans import gold, incremental, silver
+from wardframe.sources import Store, versions
 
 SETTING = session.SHUFFLE_CLEANUP
 
@@ -61,8 +64,6 @@ def test_one_landed_copy_is_on_disk_at_a_time(spark, own_tables, monkeypatch):
 
 
 def test_dealt_work_days_are_the_raw_ones(spark, own_tables):
-    from wardframe.checks import derived
-
     plain = derived.fact_raw(spark, own_tables)
     keys = [plain.columns[0], plain.columns[7]]
     dealt = derived.fact_raw_dealt(spark, own_tables, 5, keys)
@@ -92,3 +93,57 @@ def test_one_scratch_path_is_removed(spark):
         spark.range(1).write.parquet(path)
     session.remove_scratch(spark, gone)
     assert os.path.isdir(kept) and not os.path.exists(gone) and kept in session._SCRATCH
+
+
+def landed(df, bronze, name):
+    df.write.option("header", True).mode("append").csv(f"{bronze}/{name}")
+
+
+def in_rows(df):
+    return sorted(map(tuple, df.select(sorted(df.columns)).collect()), key=repr)
+
+
+def test_months_are_dealt_out_in_groups(spark, own_tables, tmp_path, monkeypatch):
+    fact, dim = derived.fact_raw(spark, own_tables), derived.dim_raw(spark, own_tables)
+    bronze, root, dealt, write = f"{tmp_path}/raw", f"{tmp_path}/published", [], versions.write_table
+
+    def watched(df, path, partition_by=(), *options, **named):
+        if partition_by:
+            dealt.append((df.columns, df.count(), df.select(*incremental.MONTH).distinct().count()))
+        write(df, path, partition_by, *options, **named)
+
+    monkeypatch.setattr(versions, "write_table", watched)
+    monkeypatch.setattr(incremental, "DAYS_PER_DEAL", 150)
+    landed(dim, bronze, S.DIM_FILE)
+    late = "WorkDate >= 19960101 OR WorkDate IS NULL"
+    landed(fact.filter(f"NOT ({late})"), bronze, S.FACT_FILE)
+    run = incremental.run_incremental(spark, bronze, root)
+    assert run.months == [(1995, 11), (1995, 12)] and len(dealt) == 2
+    first = Store(spark, root).current().parts("fact_staff")
+    # Days of December land late, beside those of January and those without a month.
+    landed(fact.filter(late).union(fact.filter("WorkDate = 19951231")), bronze, S.FACT_FILE)
+    run = incremental.run_incremental(spark, bronze, root)
+    assert run.months == [(None, None), (1995, 12), (1996, 1)] and len(dealt) == 4
+    second = Store(spark, root).current().parts("fact_staff")
+    assert second["WORKYEAR=1995/WORKMONTH=11"] == first["WORKYEAR=1995/WORKMONTH=11"]
+    assert second["WORKYEAR=1995/WORKMONTH=12"] != first["WORKYEAR=1995/WORKMONTH=12"]
+    assert all(n <= 150 or months == 1 for _, n, months in dealt)
+    assert not [c for columns, _, _ in dealt for c in columns if c.startswith("STAFF_RATIO_") or c == versions.VERSION]
+    whole = gold.fact_staff(silver.silver_fact(fact.union(fact.filter("WorkDate = 19951231"))))
+    found = incremental.load(spark, root).staff
+    assert sorted(found.dtypes) == sorted(whole.dtypes) and in_rows(found) == in_rows(whole)
+
+
+def test_groups_of_months():
+    months, n = [(None, None), (2024, 1), (2024, 2), (2024, 3)], incremental.DAYS_PER_DEAL
+    deals = incremental._deals(months, {months[0]: 5, months[1]: n - 5, months[2]: 3 * n})
+    assert deals == [months[:2], months[2:3], months[3:]]
+    assert incremental._deals(months, {}) == [months] and incremental._deals([], {}) == [[]]
+
+
+def test_partitioned_tables_leave_no_shuffle_files(spark, tmp_path):
+    spark.range(1000).repartition(3, "id").write.parquet(f"{tmp_path}/left")
+    files = shuffle_files(spark)
+    sources.write_table(spark.range(1000).selectExpr("id", "id % 7 AS k"), f"{tmp_path}/t", ["k"])
+    assert files and shuffle_files(spark) <= files
+    assert spark.read.parquet(f"{tmp_path}/t").groupBy("k").count().count() == 7

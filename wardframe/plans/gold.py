@@ -69,11 +69,20 @@ def fact_dates(silver: DataFrame) -> DataFrame:
     )
 
 
-def fact_staff(silver: DataFrame) -> DataFrame:
-    """Daily hours by role, with the employee-to-contractor ratio of each role."""
-    worked = silver.select(*S.WORKED, *[h for role in S.ROLES for h in S.hours(role)])
+def fact_hours(silver: DataFrame) -> DataFrame:
+    """The columns of ``silver`` that the daily hours by role are made of."""
+    return silver.select(*S.WORKED, *[h for role in S.ROLES for h in S.hours(role)])
+
+
+def staff_ratios(hours: DataFrame) -> DataFrame:
+    """``hours`` with the employee-to-contractor ratio of each role."""
     ratios = {
         f"STAFF_RATIO_{role}": guarded_ratio(*[F.col(h) for h in S.hours(role)])
         for role in S.ROLES
     }
-    return fact_dates(worked).withColumns(ratios)
+    return hours.withColumns(ratios)
+
+
+def fact_staff(silver: DataFrame) -> DataFrame:
+    """Daily hours by role, with the employee-to-contractor ratio of each role."""
+    return staff_ratios(fact_dates(fact_hours(silver)))

@@ -11,6 +11,7 @@ All tables become visible in one commit.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,8 +26,10 @@ from wardframe.sources.versions import Published
 RAW_FILES, FACT, DIM, BED, NURSE, STAFF = (
     "raw_files", "fact_table", "dim_table", "dim_bed", "dim_nurse", "fact_staff",
 )
-MONTH = ("WORKYEAR", "WORKMONTH")
+DATE, MONTH, DAY = "WORKDATE", ("WORKYEAR", "WORKMONTH"), "WORKDAY"
 FILE, RUN = "SOURCE_FILE", "READ_BY"
+# Work days whose shuffle files are on disk at a time, some 4 GB; each deal reads Silver once.
+DAYS_PER_DEAL = 50_000_000
 
 
 @dataclass(frozen=True)
@@ -78,7 +81,29 @@ def _live(fact: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def _months(days: DataFrame) -> DataFrame:
-    return gold.fact_dates(days).select(*MONTH).distinct()
+    """Rows (year, month, n_days, n_moved): the work days of each month, and how many have a value in ``moved``.
+
+    They are counted per day first, so each different day is parsed once.
+    """
+    counted = days.groupBy(DATE).agg(F.count("*").alias("n_days"), F.count("moved").alias("n_moved"))
+    return gold.fact_dates(counted).groupBy(*MONTH).agg(F.sum("n_days").alias("n_days"), F.sum("n_moved").alias("n_moved"))
+
+
+def _deals(months: list[tuple[int, int]], n_days: Mapping[tuple[int, int], int]) -> list[list[tuple[int, int]]]:
+    """The months in order, in groups of up to ``DAYS_PER_DEAL`` work days or of one month; one group if there are none.
+
+    A group is dealt out and written before the next one, so the shuffle files
+    on disk at a time do not grow with the table.
+    """
+    deals, size = [[]], 0
+    for month in months:
+        n = n_days.get(month, 0)
+        if deals[-1] and size + n > DAYS_PER_DEAL:
+            deals.append([])
+            size = 0
+        deals[-1].append(month)
+        size += n
+    return deals
 
 
 def run_incremental(
@@ -130,18 +155,30 @@ def run_incremental(
             publication.write(FACT, read, add=True)
         fact = _written(publication, FACT)
         # Months that a changed file held before, and those that it holds now.
-        touched = _months(_live(fact, files).join(moved.select(F.col("path").alias(FILE)), FILE, "left_semi"))
+        moved_path = F.broadcast(moved.select(F.col("path").alias(FILE), F.lit(1).alias("moved")))
+        live = _live(fact, files)
+        held = _months(live.join(moved_path, FILE, "left").select(DATE, "moved")).collect()
+        n_days = {(r[MONTH[0]], r[MONTH[1]]): r["n_days"] for r in held}
+        touched = {(r[MONTH[0]], r[MONTH[1]]) for r in held if r["n_moved"]}
         if not first:
-            old = _live(store.read(FACT, base), known)
-            touched = touched.union(_months(old.join(moved.select(F.col("path").alias(FILE)), FILE, "left_semi")))
-        months = sorted({tuple(r) for r in touched.collect()}, key=lambda m: [(v is not None, v) for v in m])
-        days = gold.fact_staff(_live(fact, files).drop(FILE, RUN))
+            old = _live(store.read(FACT, base), known).join(moved_path, FILE).select(DATE, "moved")
+            touched |= {(r[MONTH[0]], r[MONTH[1]]) for r in _months(old).collect()}
+        months = sorted(touched, key=lambda m: [(v is not None, v) for v in m])
+        # What follows from other columns is added to the rows once they are dealt out.
+        days = gold.fact_dates(gold.fact_hours(live)).drop(DAY)
         names = {"/".join(f"{c}={_folder(v)}" for c, v in zip(MONTH, m)) for m in months}
-        publication.write(STAFF, days.filter(_any_month(months)), MONTH, ["PROVNUM"], keep=lambda part: part not in names)
+        keep = lambda part: part not in names
+        for some in _deals(months, n_days):
+            publication.write(STAFF, days.filter(_any_month(some)), MONTH, ["PROVNUM"], keep=keep, last=_staff)
     done = publication.commit()
     return Run(len(fresh["fact"]) + len(fresh["dim"]), len(gone), months, done.number)
 
 
+def _staff(days: DataFrame) -> DataFrame:
+    """Work days with their months as ``gold.fact_staff`` has them."""
+    return gold.staff_ratios(days.withColumn(DAY, F.dayofmonth(DATE)))
+
+
 def _folder(value) -> str:
     return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
 

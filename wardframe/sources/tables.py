@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardframe.operators.columns import quoted
+from wardframe.session import shuffles_released
 
 
 def join_path(base: str, *parts: str) -> str:
@@ -132,6 +133,7 @@ def write_table(
     max_records_per_file: int = 0,
     append: bool = False,
     last: Callable[[DataFrame], DataFrame] | None = None,
+    folders: Sequence[str] = (),
 ) -> None:
     """Replace the table at ``path``; with ``append``, add to it.
 
@@ -141,7 +143,9 @@ def write_table(
     A partitioned table is first dealt out by its partition columns, so that a
     partition is a few files of good size, not one per task; a partition that
     holds much of the table is split over tasks. ``last`` is applied to the rows
-    as they are dealt out, right before the write.
+    as they are dealt out, right before the write; it may add the columns ``folders``, by
+    which the files of a partition are told apart in folders below its own. The files of the
+    shuffle that deals rows out go when the write ends.
 
     Overwriting deletes first and is not a transaction: one writer per path,
     and never read and write one path in the same plan. Tables that belong
@@ -156,6 +160,8 @@ def write_table(
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", True)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    if not partition_by:
+        writer.parquet(path)
+        return
+    with shuffles_released(df.sparkSession):
+        writer.partitionBy(*partition_by, *folders).parquet(path)

@@ -108,20 +108,24 @@ class Publication:
         lookup_by: Sequence[str] = (),
         keep: Callable[[str], bool] | None = None,
         add: bool = False,
+        last: Callable[[DataFrame], DataFrame] = lambda df: df,
     ) -> list[str]:
-        """Writes ``df`` as (part of) the table; returns the partitions it has rows of.
+        """Writes ``last`` of ``df`` as (part of) the table; returns the partitions it has rows of.
+
+        ``last`` is applied once the rows are dealt out to their partitions, so columns
+        that it adds are not shuffled. It keeps the partition columns as they are.
 
         Without ``keep`` the table is replaced. With it, the partitions that it
         accepts stay as they are, and all others are replaced by what ``df``
         holds. With ``add``, the rows join those of the table.
         """
         folder = join_path(self.store.root, name)
-        tagged = df.withColumn(VERSION, F.lit(self.version))
         if partition_by:
-            write_table(tagged, folder, [*partition_by, VERSION], lookup_by, append=True)
+            tagged = lambda dealt: last(dealt).withColumn(VERSION, F.lit(self.version))
+            write_table(df, folder, partition_by, lookup_by, append=True, last=tagged, folders=[VERSION])
         else:
             # Written to its folder directly, an empty table is there, too.
-            write_table(df, join_path(folder, f"{VERSION}={self.version}"), (), lookup_by)
+            write_table(last(df), join_path(folder, f"{VERSION}={self.version}"), (), lookup_by)
         new = {}
         for path in self.store._folders(folder, len(partition_by), self.version):
             new[path.rpartition("/")[0]] = [path]
@@ -131,7 +135,7 @@ class Publication:
                 new[part] = [*folders, *new.get(part, [])]
         elif keep is not None:
             new = {**{p: f for p, f in old.items() if keep(p)}, **{p: f for p, f in new.items() if not keep(p)}}
-        self.tables[name] = {"schema": df.schema.jsonValue(), "parts": new}
+        self.tables[name] = {"schema": last(df).schema.jsonValue(), "parts": new}
         return sorted(new)
 
     def commit(self) -> Published:
