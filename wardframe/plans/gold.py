@@ -69,9 +69,9 @@ def fact_dates(silver: DataFrame) -> DataFrame:
     )
 
 
-def fact_hours(silver: DataFrame) -> DataFrame:
-    """The columns of ``silver`` that the daily hours by role are made of."""
-    return silver.select(*S.WORKED, *[h for role in S.ROLES for h in S.hours(role)])
+def fact_hours(silver: DataFrame, *more: str) -> DataFrame:
+    """The columns of ``silver`` that the daily hours by role are made of, and ``more`` of its columns."""
+    return silver.select(*S.WORKED, *[h for role in S.ROLES for h in S.hours(role)], *more)
 
 
 def staff_ratios(hours: DataFrame) -> DataFrame:

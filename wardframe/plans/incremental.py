@@ -28,6 +28,8 @@ RAW_FILES, FACT, DIM, BED, NURSE, STAFF = (
 )
 DATE, MONTH, DAY = "WORKDATE", ("WORKYEAR", "WORKMONTH"), "WORKDAY"
 FILE, RUN = "SOURCE_FILE", "READ_BY"
+# Hours of a kind side by side: a row's equal ones, like those of roles that nobody worked in, then compress as one run.
+DEALT = (*S.WORKED, *[h for kind in zip(*map(S.hours, S.ROLES)) for h in kind], *MONTH)
 # Work days whose shuffle files are on disk at a time, some 4 GB; each deal reads Silver once.
 DAYS_PER_DEAL = 50_000_000
 
@@ -165,7 +167,7 @@ def run_incremental(
             touched |= {(r[MONTH[0]], r[MONTH[1]]) for r in _months(old).collect()}
         months = sorted(touched, key=lambda m: [(v is not None, v) for v in m])
         # What follows from other columns is added to the rows once they are dealt out.
-        days = gold.fact_dates(gold.fact_hours(live)).drop(DAY)
+        days = gold.fact_dates(gold.fact_hours(live)).select(*DEALT)
         names = {"/".join(f"{c}={_folder(v)}" for c, v in zip(MONTH, m)) for m in months}
         keep = lambda part: part not in names
         for some in _deals(months, n_days):
@@ -176,7 +178,7 @@ def run_incremental(
 
 def _staff(days: DataFrame) -> DataFrame:
     """Work days with their months as ``gold.fact_staff`` has them."""
-    return gold.staff_ratios(days.withColumn(DAY, F.dayofmonth(DATE)))
+    return gold.staff_ratios(gold.fact_hours(days.withColumn(DAY, F.dayofmonth(DATE)), *MONTH, DAY))
 
 
 def _folder(value) -> str:
